@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import packing, token_counts
+from barloom.llm import packing, quality, token_counts
 from barloom.llm.common import load
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(quality.judge(load(spark, sf_dir, "documents")))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
 
@@ -17,6 +21,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op7_best_fit_packing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op6_quality_rules, op7_best_fit_packing, op10_token_counts)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op6_quality_rules": quality.ORACLE}

@@ -23,11 +23,15 @@ CACHE_SCHEMA = "digest binary, n_tokens long"
 
 
 def read_cache(spark, cache_path: str) -> DataFrame:
-    """The stored counts; empty where the cache was never written."""
+    """The stored counts, one row a digest; empty where the cache was never written. A cache has one writer at a time.
+
+    No aggregation stands between this table and the join that reads it, so that adaptive execution can split the
+    rows of a hot digest.
+    """
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(cache_path)
     if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
         return spark.createDataFrame([], CACHE_SCHEMA)
-    return spark.read.schema(CACHE_SCHEMA).parquet(cache_path).dropDuplicates(["digest"])
+    return spark.read.schema(CACHE_SCHEMA).parquet(cache_path)
 
 
 def encode_counts(misses: DataFrame, tokenizer_path: str) -> DataFrame:
