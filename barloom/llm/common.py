@@ -48,3 +48,9 @@ def whole_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def keep_where(df: DataFrame, condition) -> DataFrame:
+    """Rows where `condition` holds. A generator, unlike a filter, is not pushed below the projections that compute
+    its columns, where each of their array expressions would be evaluated again."""
+    return df.withColumn("_kept", F.explode(F.when(condition, F.array(F.lit(1))))).drop("_kept")
