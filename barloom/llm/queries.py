@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import packing, quality, token_counts
+from barloom.llm import packing, quality, secrets, token_counts
 from barloom.llm.common import load
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(load(spark, sf_dir, "documents")))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(quality.judge(load(spark, sf_dir, "documents")))
 
@@ -21,6 +25,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op6_quality_rules, op7_best_fit_packing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op3_secret_scan, op6_quality_rules, op7_best_fit_packing, op10_token_counts)}
 
-ORACLE_SQL: dict[str, str] = {"op6_quality_rules": quality.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op3_secret_scan": secrets.ORACLE, "op6_quality_rules": quality.ORACLE}
