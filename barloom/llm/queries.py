@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import packing, quality, secrets, token_counts
+from barloom.llm import packing, quality, secrets, token_counts, toxicity
 from barloom.llm.common import load
 
 
@@ -21,10 +21,14 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op3_secret_scan, op6_quality_rules, op7_best_fit_packing, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op3_secret_scan, op6_quality_rules, op7_best_fit_packing, op8_toxicity, op10_token_counts)}
 
 ORACLE_SQL: dict[str, str] = {"op3_secret_scan": secrets.ORACLE, "op6_quality_rules": quality.ORACLE}
