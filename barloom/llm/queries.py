@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import packing, quality, secrets, token_counts, toxicity
+from barloom.llm import decontaminate, packing, quality, secrets, token_counts, toxicity
 from barloom.llm.common import load
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(load(spark, sf_dir, "documents")))
 
@@ -29,6 +33,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op3_secret_scan, op6_quality_rules, op7_best_fit_packing, op8_toxicity, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op3_secret_scan, op6_quality_rules, op7_best_fit_packing, op8_toxicity, op10_token_counts)}
 
 ORACLE_SQL: dict[str, str] = {"op3_secret_scan": secrets.ORACLE, "op6_quality_rules": quality.ORACLE}
