@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import decontaminate, packing, quality, secrets, token_counts, toxicity
+from barloom.llm import byterepeats, decontaminate, packing, quality, secrets, token_counts, toxicity
 from barloom.llm.common import load
 
 
@@ -29,10 +29,14 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.digest(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byterepeats.digest(byterepeats.remove_repeats(load(spark, sf_dir, "documents"), window=100))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op3_secret_scan, op6_quality_rules, op7_best_fit_packing, op8_toxicity, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op3_secret_scan, op6_quality_rules, op7_best_fit_packing, op8_toxicity, op9_suffix_dedup, op10_token_counts)}
 
 ORACLE_SQL: dict[str, str] = {"op3_secret_scan": secrets.ORACLE, "op6_quality_rules": quality.ORACLE}
