@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import byterepeats, decontaminate, packing, quality, secrets, token_counts, toxicity, wordrepeats
+from barloom.llm import byterepeats, decontaminate, neardup, packing, quality, secrets, token_counts, toxicity, wordrepeats
 from barloom.llm.common import load
 
 
@@ -13,6 +13,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(load(spark, sf_dir, "documents"), threshold=0.8)
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(load(spark, sf_dir, "documents")))
 
@@ -41,6 +45,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op3_secret_scan, op5_substring_dedup, op6_quality_rules, op7_best_fit_packing, op8_toxicity, op9_suffix_dedup, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_near_dedup, op3_secret_scan, op5_substring_dedup, op6_quality_rules, op7_best_fit_packing, op8_toxicity, op9_suffix_dedup, op10_token_counts)}
 
 ORACLE_SQL: dict[str, str] = {"op3_secret_scan": secrets.ORACLE, "op6_quality_rules": quality.ORACLE}
