@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import byterepeats, decontaminate, neardup, packing, quality, secrets, token_counts, toxicity, wordrepeats
+from barloom.llm import byterepeats, decontaminate, neardup, packing, pii, quality, secrets, token_counts, toxicity, wordrepeats
 from barloom.llm.common import load
 
 
@@ -21,6 +21,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(load(spark, sf_dir, "documents")))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.scan(load(spark, sf_dir, "documents")))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordrepeats.digest(wordrepeats.remove_repeats(load(spark, sf_dir, "documents"), window=35))
 
@@ -45,6 +49,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_near_dedup, op3_secret_scan, op5_substring_dedup, op6_quality_rules, op7_best_fit_packing, op8_toxicity, op9_suffix_dedup, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_near_dedup, op3_secret_scan, op4_pii, op5_substring_dedup, op6_quality_rules, op7_best_fit_packing, op8_toxicity, op9_suffix_dedup, op10_token_counts)}
 
 ORACLE_SQL: dict[str, str] = {"op3_secret_scan": secrets.ORACLE, "op6_quality_rules": quality.ORACLE}
