@@ -41,9 +41,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def whole_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Only (doc_id, text), NULL text as ''; other columns, whatever their names, are left behind."""
-    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def whole_texts(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """Only (doc_id, text), NULL text as ''; other columns, whatever their names, are left behind or, with `carry`,
+    go along as one struct, _row."""
+    more = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")] if carry else []
+    return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
 def width(spark: SparkSession) -> int:

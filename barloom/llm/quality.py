@@ -52,11 +52,13 @@ def rules() -> list[Rule]:
     ]
 
 
-def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id, text, the base statistics and the arrays that the rules read."""
-    d = whole_texts(docs).select(
+def statistics(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """doc_id, text, the base statistics and the arrays that the rules read; with `carry` the input row as _row."""
+    more = ["_row"] if carry else []
+    d = whole_texts(docs, carry).select(
         "doc_id",
         "text",
+        *more,
         F.array_remove(F.split("text", SPACE), "").alias("_words"),
         F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, " \t\n\x0b\x0c\r", "")) > 0).alias("_lines"),
         F.length(F.translate("text", " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
@@ -66,6 +68,7 @@ def statistics(docs: DataFrame) -> DataFrame:
     d = d.select(
         "doc_id",
         "text",
+        *more,
         "_words",
         F.size("_words").cast("long").alias("n_words"),
         "word_chars",
@@ -115,13 +118,13 @@ def ranked(docs: DataFrame, found: list[Rule]) -> list[tuple[Rule, float, float]
     return sorted(timed, key=lambda x: (-x[2] / max(x[1], 1e-6), x[0].name))
 
 
-def judge(docs: DataFrame, found: list[Rule] | None = None) -> DataFrame:
+def judge(docs: DataFrame, found: list[Rule] | None = None, carry: bool = False) -> DataFrame:
     """statistics() with `rejected_by` (NULL: none) and `kept`."""
     order = [r for r, _, _ in ranked(docs, rules() if found is None else found)]
     verdict = F.when(F.col("base_failed"), F.lit("base"))
     for rule in order:
         verdict = verdict.when(rule.reject, F.lit(rule.name))
-    return statistics(docs).withColumn("rejected_by", verdict).withColumn("kept", F.col("rejected_by").isNull())
+    return statistics(docs, carry).withColumn("rejected_by", verdict).withColumn("kept", F.col("rejected_by").isNull())
 
 
 def digest(judged: DataFrame) -> DataFrame:

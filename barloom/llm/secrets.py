@@ -154,18 +154,19 @@ def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> Da
     return by_rule.groupBy(F.col("d.doc_id").alias("doc_id")).agg(F.collect_set("rule").alias("rules"))
 
 
-def scan(docs: DataFrame, more: list[Rule] | None = None) -> DataFrame:
-    """doc_id, text, base (spans of the base kinds) and spans (all), both sorted.
+def scan(docs: DataFrame, more: list[Rule] | None = None, carry: bool = False) -> DataFrame:
+    """doc_id, text, base (spans of the base kinds) and spans (all), both sorted; with `carry` the input row as _row.
 
     NULL and empty texts have no spans, a NULL doc_id is a value like others, repeated rows are scanned each, an
     empty table gives no rows, other columns are not read.
     """
     rules = BASE + (MORE if more is None else more)
     queries = {r.name: q for r in rules if (q := trigram_query(r.regex)) is not None}
-    texts = whole_texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
+    rest = ["_row"] if carry else []
+    texts = whole_texts(docs, carry).withColumn("doc_id", F.col("doc_id").cast("long"))
     trigrams = sorted(set().union(*[c for q in queries.values() for c in q]))
     found = candidates(build_index(texts, trigrams), queries).withColumnRenamed("doc_id", "_id")
-    d = texts.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", "text", "rules")
+    d = texts.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", "text", *rest, "rules")
     parts = []
     for k, r in enumerate(rules):
         accept = (lambda v, n=r.least: F.length(v) >= n) if r.least else None
@@ -173,8 +174,8 @@ def scan(docs: DataFrame, more: list[Rule] | None = None) -> DataFrame:
         if r.name in queries:
             part = F.when(F.array_contains("rules", r.name), part).otherwise(spans.no_spans())
         parts.append(part)
-    d = d.select("doc_id", "text", F.concat(*parts[: len(BASE)]).alias("_base"), F.concat(*parts[len(BASE) :]).alias("_more"))
-    return d.select("doc_id", "text", F.sort_array("_base").alias("base"), F.sort_array(F.concat("_base", "_more")).alias("spans"))
+    d = d.select("doc_id", "text", *rest, F.concat(*parts[: len(BASE)]).alias("_base"), F.concat(*parts[len(BASE) :]).alias("_more"))
+    return d.select("doc_id", "text", *rest, F.sort_array("_base").alias("base"), F.sort_array(F.concat("_base", "_more")).alias("spans"))
 
 
 def redact(scanned: DataFrame) -> Column:

@@ -1,16 +1,66 @@
-"""Corpus cleaning from documents to packed sequences."""
+"""Corpus cleaning from documents to packed sequences.
+
+Each stage works on all that the one before it kept and, but for the last, returns the columns of documents.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from barloom.llm import decontaminate, neardup, packing, quality, secrets
+from barloom.llm.common import keep_where, load, materialize
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no quality rule rejects."""
+    judged = quality.judge(docs, carry=True).select("_row", "kept")
+    return keep_where(judged, F.col("kept")).select("_row.*")
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates: the one with the least doc_id."""
+    kept = neardup.classes(docs, threshold=0.8).select(F.col("class_id").alias("_class")).distinct()
+    left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_class")), "left_semi")
+    same = left.withColumn("_text", F.when(F.col("doc_id").isNull(), F.md5("text")))
+    return same.dropDuplicates(["doc_id", "_text"]).drop("_text")
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    leaked = decontaminate.leaks(docs, load(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leaked")).distinct()
+    return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("_leaked")), "left_anti")
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, every secret replaced by its kind; n_chars follows."""
+    scanned = secrets.scan(docs, carry=True)
+    out = scanned.select("_row.*", F.when(F.col("_row.text").isNotNull(), secrets.redact(scanned)).alias("_clean"))
+    columns = {"text": F.col("_clean"), "n_chars": F.length("_clean").cast("long")}
+    return out.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents, packed into sequences of 2048 tokens."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+
+
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("near_dedup", near_dedup_stage),
+    ("decontamination", decontamination_stage),
+    ("secret_scan", secret_stage),
+    ("packing", packing_stage),
+]
 
-STAGES: list = []
+#: Near-duplicate classes and the packing plan are no SQL; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STAGES applied in order to documents."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """STAGES applied in order to documents; what a stage returns is written and read again."""
+    docs = load(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
