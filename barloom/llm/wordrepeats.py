@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from barloom.llm.common import width
 
 CHUNK = 1 << 21
+PART_CHARS = 6 << 20
 BASE = int(0x9E3779B97F4A7C15)
 ROWS = "route long, batch long, kind int, a binary, b binary, c binary"
 ASK, TABLE, KNOWN = 0, 1, 2
@@ -245,11 +246,18 @@ def deliver(answers: DataFrame) -> DataFrame:
 
 
 def _numbered(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame]]:
-    """Batches with a number that a repeated run of the same task gives again."""
-    part = TaskContext.get().partitionId()
-    for k, b in enumerate(batches):
-        if len(b):
-            yield (part << 24) | k, b
+    """Parts of about PART_CHARS of text (or one longer text), each with a number that a repeated run of the same task
+    gives again. The arrays of a part are a few dozen times its size, so this bounds a worker's memory."""
+    number = TaskContext.get().partitionId() << 24
+    for b in batches:
+        if not len(b):
+            continue
+        size = b["text"].str.len().to_numpy(np.int64)
+        part = (np.cumsum(size) - 1) // PART_CHARS
+        cut = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+        for s, e in zip(cut, np.append(cut[1:], len(b)), strict=True):
+            yield number, b.iloc[s:e]
+            number += 1
 
 
 def probe_blocks(docs: DataFrame, block: int, buckets: int) -> DataFrame:
