@@ -326,7 +326,7 @@ def remove_repeats(docs: DataFrame, window: int = 100) -> DataFrame:
     n_hot = verdicts.filter("what = 2").count()
     spread = texts.repartition(width(spark), "doc_id")
     look = verdicts.filter("what > 0")
-    later = merge_windows(examine(look, spread, window, max(1, -(-n_hot // 16_384))))
+    later = merge_windows(examine(look, spread, window, max(width(spark), -(-n_hot // 16_384))))
     gone = verdicts.filter("what = 0").select("doc_id", "place").unionByName(later).groupBy("doc_id").agg(F.collect_list("place").alias("places"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
