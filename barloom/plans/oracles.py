@@ -80,7 +80,8 @@ _X = {"m1": "sm_1-vnim_1", "m3": "sm_3-vnim_3", "m6": "sm_6-vnim_6", "cs": "clos
 
 
 def _z(x: str) -> str:
-    return f"CASE WHEN {x} IS NOT NULL THEN greatest(least(({x} - avg({x}) OVER d) / nullif(stddev_samp({x}) OVER d, 0), 3e0), -3e0) END"
+    z = f"(({x} - avg({x}) OVER d) / nullif(stddev_samp({x}) OVER d, 0))"
+    return f"CASE WHEN {z} IS NOT NULL THEN greatest(least({z}, 3e0), -3e0) END"
 
 
 for _u in ("all", "possible_v1", "possible_v2", "possible_v3"):
