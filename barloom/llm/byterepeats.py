@@ -34,8 +34,8 @@ from barloom.llm.runindex import RunIndex
 GRAM = 32
 #: Different segments of one minimiser in a batch from which on it is hot.
 HOT = 4
-CHUNK = 1 << 21
-BLOCK_BYTES = 3 << 20
+CHUNK = 1 << 20
+BLOCK_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 SEGMENTS = "route long, digest long, doc_id long, place long, kind int"
 PLAIN, HOT_ROW, MARK, GONE = 0, 1, 2, 3
