@@ -91,8 +91,8 @@ def ordered(ranking: DataFrame) -> DataFrame:
     return ranking.orderBy(F.col("time").desc(), F.col("alpha_score").desc_nulls_last(), "symbol")
 
 
-def factor_correlation(scores: DataFrame) -> DataFrame:
-    """Pearson correlation of each pair of factors within each session; NULL where one does not vary."""
+def factor_correlation(scores: DataFrame, least: int = 2) -> DataFrame:
+    """Pearson correlation of each pair of factors within each session of at least `least` symbols; NULL where one does not vary."""
     rows = []
     for k, a in enumerate(FACTORS):
         for b in FACTORS[k + 1 :]:
@@ -100,6 +100,6 @@ def factor_correlation(scores: DataFrame) -> DataFrame:
             x, y = F.when(both, F.col(a)), F.when(both, F.col(b))
             rows.append((a, b, x, y))
     stats = [f.alias(f"{n}{k}") for k, (_, _, x, y) in enumerate(rows) for n, f in (("c", F.covar_pop(x, y)), ("x", F.stddev_pop(x)), ("y", F.stddev_pop(y)))]
-    d = scores.groupBy("time").agg(*stats)
+    d = scores.groupBy("time").agg(F.count("*").alias("_n"), *stats).filter(F.col("_n") >= least)
     pairs = F.array(*[F.struct(F.lit(a).alias("factor_a"), F.lit(b).alias("factor_b"), F.try_divide(F.col(f"c{k}"), F.col(f"x{k}") * F.col(f"y{k}")).alias("correlation")) for k, (a, b, _, _) in enumerate(rows)])
     return d.select("time", F.explode(pairs).alias("p")).select("time", "p.*")

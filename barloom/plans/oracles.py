@@ -246,7 +246,7 @@ ORACLES = {
     ),
     "spread_equity": sql("SELECT time, round(spread, 6) + 0e0 AS spread, round(product(1 + spread) OVER (ORDER BY time), 6) + 0e0 AS cum_spread FROM sp_all", "sp_all"),
     **{f"quintile_returns{s}": sql(f"SELECT quintile, {r('mean_return')}, n_days FROM qr_{u}", f"qr_{u}") for s, u in (("", "all"), ("_possible", "possible_v2"))},
-    **{f"signals_{s}": sql(f"SELECT symbol, time, {r('close', 'rsi_14')}, score, up, down FROM sig_{s} WHERE up OR down", f"sig_{s}") for s in ("bsr", "pvd")},
+    **{f"signals_{s}": sql(f"SELECT symbol, time, {r('close', 'rsi_14')}{', score' if s == 'bsr' else ''}, up, down FROM sig_{s} WHERE up OR down", f"sig_{s}") for s in ("bsr", "pvd")},
     **{
         f"trades_{s}_{v}": sql(
             f"""SELECT a.symbol, a.time AS entry_time, x.time AS exit_time, {r('entry_price', 'exit_price')}, round(exit_price/entry_price - 1, 6) + 0e0 AS "return", (x.n - a.n)::BIGINT AS holding_days FROM (
@@ -277,14 +277,14 @@ ORACLES = {
     "scoped_replace": sql(f"SELECT symbol, time, round(m_1 * CASE WHEN symbol = '{SYMBOL}' AND time >= '{START}'::TIMESTAMP THEN 2e0 ELSE 1e0 END, 6) + 0e0 AS m_1, {r('m_3', 'm_6', 'm_12')} FROM mom", "mom"),
     "range_replace": sql("SELECT time, symbol, CASE WHEN time BETWEEN '1995-03-01 07:00:00'::TIMESTAMP AND '1995-03-31 07:00:00'::TIMESTAMP THEN 0.5e0 ELSE round(alpha_score, 6) + 0e0 END AS alpha_score FROM rank_all_1", "rank_all_1"),
     "parse_index_csv": f"""SELECT strptime(trim(time), '%d/%m/%Y') + INTERVAL 7 HOURS AS time, replace(trim(open), ',', '')::DOUBLE AS open, replace(trim(high), ',', '')::DOUBLE AS high, replace(trim(low), ',', '')::DOUBLE AS low, replace(trim(close), ',', '')::DOUBLE AS close,
- round_even(nullif(regexp_extract(upper(volume), '([\\d.]+)([KMB])', 1), '')::DOUBLE * CASE regexp_extract(upper(volume), '([\\d.]+)([KMB])', 2) WHEN 'K' THEN 1e3 WHEN 'M' THEN 1e6 WHEN 'B' THEN 1e9 END, 0)::BIGINT AS volume, replace(trim(change_percentage), '%', '')::DOUBLE AS change_percentage FROM ({fixtures.RAW_CSV_SQL}) y""",
+ round_even(nullif(regexp_extract(upper(volume), '([\\d.]+)([KMB])', 1), '')::DOUBLE * CASE regexp_extract(upper(volume), '([\\d.]+)([KMB])', 2) WHEN 'K' THEN 1e3 WHEN 'M' THEN 1e6 WHEN 'B' THEN 1e9 END, 0)::DOUBLE AS volume, replace(trim(change_percentage), '%', '')::DOUBLE AS change_percentage FROM ({fixtures.RAW_CSV_SQL}) y""",
     "date_sequence": "SELECT unnest(generate_series(TIMESTAMP '2024-02-27 07:00:00', TIMESTAMP '2024-03-02 07:00:00', INTERVAL 1 DAY)) AS time",
 }
 
 _PAIRS = [(a, b) for k, a in enumerate(["momentum_adjusted", "trend_score", "volatility_score", "rsi_14_z"]) for b in ["momentum_adjusted", "trend_score", "volatility_score", "rsi_14_z"][k + 1 :]]
 ORACLES["factor_corr"] = sql(
     "\nUNION ALL ".join(
-        f"SELECT time, '{a}' AS factor_a, '{b}' AS factor_b, round(covar_pop({a}, {b}) / nullif(stddev_pop({a}) FILTER ({b} IS NOT NULL) * stddev_pop({b}) FILTER ({a} IS NOT NULL), 0), 6) + 0e0 AS correlation FROM f_possible_v2_2 GROUP BY time" for a, b in _PAIRS
+        f"SELECT time, '{a}' AS factor_a, '{b}' AS factor_b, round(covar_pop({a}, {b}) / nullif(stddev_pop({a}) FILTER ({b} IS NOT NULL) * stddev_pop({b}) FILTER ({a} IS NOT NULL), 0), 6) + 0e0 AS correlation FROM f_possible_v2_2 GROUP BY time HAVING count(*) >= 5" for a, b in _PAIRS
     ),
     "f_possible_v2_2",
 )

@@ -183,7 +183,7 @@ for _name, _args in {"rank_v1": (1,), "rank_v2": (2,), "rank_v3": (3,), "rank_v2
 
 @query
 def factor_corr(s, d):
-    return rounded(ranking.factor_correlation(ranking.factors(ranking.in_universe(features(s, d), "possible_v2"), 2)))
+    return rounded(ranking.factor_correlation(ranking.factors(ranking.in_universe(features(s, d), "possible_v2"), 2), 5))
 
 
 @query
@@ -255,7 +255,8 @@ def quintile_returns_possible(s, d):
 def _signals(strategy: str):
     def run(s, d):
         x = trades.signals(features(s, d), strategy, START).filter("up OR down")
-        return rounded(x.select("symbol", "time", "close", "rsi_14", "score", "up", "down"))
+        score = ["score"] if strategy == "bsr" else []
+        return rounded(x.select("symbol", "time", "close", "rsi_14", *score, "up", "down"))
 
     return run
 
@@ -348,7 +349,8 @@ def range_replace(s, d):
 
 @query
 def parse_index_csv(s, d):
-    return ingest.parse_index_csv(fixtures.raw_index_csv(s))
+    parsed = ingest.parse_index_csv(fixtures.raw_index_csv(s))
+    return parsed.withColumn("volume", F.col("volume").cast("double"))  # NULL compares alike in any client
 
 
 @query
