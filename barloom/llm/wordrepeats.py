@@ -220,9 +220,11 @@ def deliver(answers: DataFrame) -> DataFrame:
         table = next(r for r in rows if r[1] == TABLE)
         ids, counts = np.frombuffer(table[2], "<i8"), np.frombuffer(table[3], "<i8")
         at = np.unique(np.concatenate([unpack_rising(r[4]) for r in rows]))
+        if not len(at):
+            return pd.DataFrame({"_row": [], "places": []}).astype({"_row": "int64"})
         end = np.cumsum(counts)
         doc = np.searchsorted(end, at, "right")
-        cut = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])[: len(doc)])
+        cut = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
         out = []
         for s, e in zip(cut, np.append(cut[1:], len(at)), strict=True):
             k = doc[s]
