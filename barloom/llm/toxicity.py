@@ -212,7 +212,8 @@ def train(docs: DataFrame, labels: DataFrame, usable=None, max_train: int = MAX_
         got = got.sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
         yield pd.DataFrame({"model": [pickle.dumps(fit(got["text"].tolist(), got["_toxic"].astype(int).tolist()))]})
 
-    return pickle.loads(rows.mapInPandas(run, "model binary").first()["model"])
+    row = rows.mapInPandas(run, "model binary").first()  # an empty input may leave no task to run
+    return pickle.loads(row["model"]) if row else fit([], [])
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
