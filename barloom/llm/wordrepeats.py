@@ -29,6 +29,8 @@ PART_CHARS = 6 << 20
 BASE = int(0x9E3779B97F4A7C15)
 ROWS = "route long, batch long, kind int, a binary, b binary, c binary"
 ASK, TABLE, KNOWN = 0, 1, 2
+#: What names a row of the input, the same in each scan of it: its doc_id and a digest of its text.
+KEY = ["_id", "_text"]
 _space = np.zeros(256, bool)
 _space[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -144,7 +146,7 @@ def ask(batch: int, rows: np.ndarray, counts: np.ndarray, at: np.ndarray, digest
     known = np.sort(at[order[np.repeat(sizes > 1, sizes)]])
     held = np.add.reduceat(block[order].astype(np.int64), starts) > 0 if len(starts) else np.empty(0, bool)
     leader = order[starts]
-    yield _rows([(_spread(batch), batch, TABLE, rows.astype("<i8").tobytes(), counts.astype("<i8").tobytes(), pack_rising(known))])
+    yield _rows([(_spread(batch), batch, TABLE, np.ascontiguousarray(rows, "<i8").tobytes(), counts.astype("<i8").tobytes(), pack_rising(known))])
     bucket = ((digest[leader] >> np.uint64(33)) % np.uint64(buckets)).astype(np.uint32)
     sort = np.lexsort((at[leader], bucket))
     leader, bucket, held = leader[sort], bucket[sort], held[sort]
@@ -214,22 +216,25 @@ def answer(asked: DataFrame, extra_bytes: int, need_block: bool) -> DataFrame:
 
 
 def deliver(answers: DataFrame) -> DataFrame:
-    """(_row, places): the places of each document, packed; documents without any are left out."""
+    """(_id, _text, places): the places of each document, packed; documents without any are left out.
+
+    Equal rows are the same document more than once. All their windows repeat, so each of them has the same places.
+    """
 
     def settle(rows: list[tuple]) -> pd.DataFrame:
         table = next(r for r in rows if r[1] == TABLE)
-        ids, counts = np.frombuffer(table[2], "<i8"), np.frombuffer(table[3], "<i8")
+        ids, counts = np.frombuffer(table[2], "<i8").reshape(-1, 2), np.frombuffer(table[3], "<i8")
         at = np.unique(np.concatenate([unpack_rising(r[4]) for r in rows]))
         if not len(at):
-            return pd.DataFrame({"_row": [], "places": []}).astype({"_row": "int64"})
+            return pd.DataFrame({"_id": [], "_text": [], "places": []}).astype({"_id": "int64", "_text": "int64"})
         end = np.cumsum(counts)
         doc = np.searchsorted(end, at, "right")
         cut = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
         out = []
         for s, e in zip(cut, np.append(cut[1:], len(at)), strict=True):
             k = doc[s]
-            out.append((ids[k], pack_rising(at[s:e] - (end[k] - counts[k]))))
-        return pd.DataFrame(out, columns=["_row", "places"])
+            out.append((*ids[k], pack_rising(at[s:e] - (end[k] - counts[k]))))
+        return pd.DataFrame(out, columns=["_id", "_text", "places"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, rows = None, []
@@ -244,7 +249,7 @@ def deliver(answers: DataFrame) -> DataFrame:
             yield settle(rows)
 
     dealt = answers.repartition(width(answers.sparkSession), "batch").sortWithinPartitions("batch", "kind")
-    return dealt.mapInPandas(run, "_row long, places binary")
+    return dealt.mapInPandas(run, "_id long, _text long, places binary").dropDuplicates(KEY)
 
 
 def _numbered(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame]]:
@@ -271,7 +276,7 @@ def probe_blocks(docs: DataFrame, block: int, buckets: int) -> DataFrame:
             doc_end = np.repeat(end, counts)[: len(h)]
             inner = np.arange(len(words)) - np.repeat(end - counts, counts)
             at = np.flatnonzero(np.arange(len(h)) + block <= doc_end)
-            yield from ask(batch, b["_row"].to_numpy(), counts, at, h[at], np.empty((len(at), 0), np.uint8), inner[at] % block == 0, buckets)
+            yield from ask(batch, b[KEY].to_numpy(np.int64), counts, at, h[at], np.empty((len(at), 0), np.uint8), inner[at] % block == 0, buckets)
 
     return docs.mapInPandas(run, ROWS)
 
@@ -292,7 +297,7 @@ def compare_windows(joined: DataFrame, window: int, block: int, buckets: int) ->
             np.add.at(near, anchors + 1, -1)
             at = np.flatnonzero((np.cumsum(near[: len(h)]) > 0) & (np.arange(len(h)) + window <= np.repeat(end, counts)[: len(h)]))
             extra = np.concatenate([(h[at] >> np.uint64(32)).astype("<u4").view(np.uint8).reshape(-1, 4), other[at].view(np.uint8).reshape(-1, 8)[:, :2]], axis=1)
-            yield from ask(batch, b["_row"].to_numpy(), counts, at, h[at], extra, np.zeros(len(at), bool), buckets)
+            yield from ask(batch, b[KEY].to_numpy(np.int64), counts, at, h[at], extra, np.zeros(len(at), bool), buckets)
 
     return joined.mapInPandas(run, ROWS)
 
@@ -306,10 +311,11 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     spark = docs.sparkSession
     block = (window + 1) // 2
     buckets = 2 * width(spark)
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("_row", F.monotonically_increasing_id())
-    anchors = deliver(answer(probe_blocks(base.select("_row", "text"), block, buckets), 0, True))
-    spread = base.repartition(width(spark), "_row")
-    joined = spread.join(anchors, "_row").select("_row", "text", "places").sortWithinPartitions("_row")
+    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    base = base.withColumns({"_id": F.coalesce("doc_id", F.lit(-(1 << 62))), "_text": F.xxhash64("text")})
+    anchors = deliver(answer(probe_blocks(base.select(*KEY, "text"), block, buckets), 0, True))
+    spread = base.repartition(width(spark), *KEY)
+    joined = spread.join(anchors, KEY).select(*KEY, "text", "places").sortWithinPartitions(*KEY)
     repeated = deliver(answer(compare_windows(joined, window, block, buckets), 6, False))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -331,7 +337,7 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
             out = pd.DataFrame(rows, columns=["doc_id", "n_words", "removed", "kept"])
             yield out.astype({"doc_id": "Int64"})
 
-    return spread.join(repeated, "_row", "left").select("doc_id", "text", "places").mapInPandas(
+    return spread.join(repeated, KEY, "left").select("doc_id", "text", "places").mapInPandas(
         cut, "doc_id long, n_words long, removed array<struct<start:long,end:long>>, kept string"
     )
 
