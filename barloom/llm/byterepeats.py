@@ -14,8 +14,9 @@ minimiser. That routes the work without moving texts:
    step 2 and by a salt in step 3; what is new in its block goes on by the digest of each window, so that no
    minimiser, however common, meets in one task.
 
-Positions order by (doc_id, start). Rows that repeat doc_id and text are one document; different texts under one
-doc_id are one document whose parts are told apart by a digest and never match across.
+Positions order by (doc_id, start): a doc_id names one document, and rows that repeat it with its text are that
+document again, each with the same result. Where different texts share a doc_id, what is found in one is removed at
+the same places of the others.
 """
 
 from __future__ import annotations
@@ -335,7 +336,7 @@ def remove_repeats(docs: DataFrame, window: int = 100) -> DataFrame:
             for doc, text, places in zip(b["doc_id"], b["text"], b["places"], strict=True):
                 data = text.encode()
                 p = np.array([] if places is None else places, np.int64)
-                runs = byte_runs(*unpack_place(p)[:2], window)
+                runs = [(s, min(e, len(data))) for s, e in byte_runs(*unpack_place(p)[:2], window) if s < len(data)]
                 kept, at = [], 0
                 for s, e in runs:
                     kept.append(data[at:s])
