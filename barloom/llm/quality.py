@@ -144,9 +144,9 @@ WITH d AS (
     len(list_filter(words, lambda x: regexp_matches(x, '\p{Lu}.*\p{Lu}') AND NOT regexp_matches(x, '\p{Ll}'))) AS shouted,
     len(list_filter(list_zip(words[2:], words), lambda p: p[1] IS NOT NULL AND p[1] = p[2])) AS stutter FROM w
 ), p AS (
-  SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM w WHERE len(words) >= 5
+  SELECT doc_id, unnest(list_transform(range(1, len(words) - 3), lambda i: {'i': i, 's': array_to_string(words[i:i+4], ' ')})) AS u FROM w WHERE len(words) >= 5
 ), q AS (
-  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i:i+4]) AS c FROM p
+  SELECT doc_id, u.i AS i, count(*) OVER (PARTITION BY doc_id, u.s) AS c FROM p
 ), r AS (
   SELECT doc_id, count(DISTINCT j)::BIGINT AS n_repeat_words
   FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM q WHERE c > 1) x GROUP BY doc_id
