@@ -31,6 +31,7 @@ ROWS = "route long, batch long, kind int, a binary, b binary, c binary"
 ASK, TABLE, KNOWN = 0, 1, 2
 #: What names a row of the input, the same in each scan of it: its doc_id and a digest of its text.
 KEY = ["_id", "_text"]
+NO_ID = -(1 << 62)
 _space = np.zeros(256, bool)
 _space[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -311,9 +312,9 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     spark = docs.sparkSession
     block = (window + 1) // 2
     buckets = 2 * width(spark)
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    base = base.withColumns({"_id": F.coalesce("doc_id", F.lit(-(1 << 62))), "_text": F.xxhash64("text")})
-    anchors = deliver(answer(probe_blocks(base.select(*KEY, "text"), block, buckets), 0, True))
+    # one set of columns for both reads of the dealt texts, so that they share one exchange
+    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("_text", F.xxhash64("text"))
+    anchors = deliver(answer(probe_blocks(base, block, buckets), 0, True))
     spread = base.repartition(width(spark), *KEY)
     joined = spread.join(anchors, KEY).select(*KEY, "text", "places").sortWithinPartitions(*KEY)
     repeated = deliver(answer(compare_windows(joined, window, block, buckets), 6, False))
@@ -321,7 +322,7 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for doc, text, places in zip(b["doc_id"], b["text"], b["places"], strict=True):
+            for doc, text, places in zip(b["_id"], b["text"], b["places"], strict=True):
                 data = text.encode()
                 a, e = word_places(data)
                 gone = np.zeros(len(a) + 1, np.int64)
@@ -334,12 +335,12 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
                 runs = [{"start": int(s), "end": int(t)} for s, t in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)]
                 kept = b" ".join([data[s:t] for s, t in zip(a[~covered].tolist(), e[~covered].tolist(), strict=True)])
                 rows.append((doc, len(a), runs, kept.decode()))
-            out = pd.DataFrame(rows, columns=["doc_id", "n_words", "removed", "kept"])
-            yield out.astype({"doc_id": "Int64"})
+            yield pd.DataFrame(rows, columns=["doc_id", "n_words", "removed", "kept"])
 
-    return spread.join(repeated, KEY, "left").select("doc_id", "text", "places").mapInPandas(
+    out = spread.join(repeated, KEY, "left").select("_id", "text", "places").mapInPandas(
         cut, "doc_id long, n_words long, removed array<struct<start:long,end:long>>, kept string"
     )
+    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
 
 
 def digest(removed: DataFrame) -> DataFrame:
