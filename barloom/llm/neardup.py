@@ -8,7 +8,8 @@ that is broadcast has at most IDF_FLOOR times the mean number of different words
 
 Each set is sketched by improved consistent weighted sampling (two sets agree in a sample with the probability of
 their weighted Jaccard similarity), cut into bands. Equal texts are one item from the start. Documents that
-share a band meet in chunks of bounded size, drawn anew for each band, and are compared by short outlines. A chunk
+share a band meet in chunks of bounded size, drawn anew for each band, and are compared by a byte of each sample and by
+short outlines. A chunk
 gives the pairs that hold its likely classes together (to hubs, among hubs, and to the most similar ones), a few a
 document and never all pairs of a large group; hubs of several chunks of one band value meet again. Each pair is
 verified by the exact weighted Jaccard similarity of the two whole texts. Classes are the connected components of
@@ -36,8 +37,10 @@ IDF_SHARE = 0.25
 CHUNK = 512
 #: How often the hubs of the chunks of one band value meet again.
 ROUNDS = 4
-#: Estimated plain similarity from which a pair is verified, and bytes of the outline that estimates it.
+#: Estimated similarity from which a pair of a large chunk looks close, and bytes of the outline that estimates it.
 HINT, OUTLINE = 0.70, 256
+#: Equal samples from which a pair is verified: over four standard deviations under 0.8 of ROWS * BANDS.
+LEAST = 24
 #: Documents in a chunk up to which all its close pairs are verified.
 SMALL = 24
 
@@ -149,25 +152,31 @@ def outlines(g: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.where(full, (_mix(least) % np.uint64(255)).astype(np.uint8) + 1, 0).astype(np.uint8).reshape(-1, OUTLINE)
 
 
-def _alike(outline: np.ndarray) -> np.ndarray:
-    """Estimated similarities of all rows of a chunk."""
-    out = np.empty((len(outline), len(outline)), np.float32)
+def _alike(sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(estimated similarities, numbers of equal samples) of all rows of a chunk.
+
+    The estimate is the greater one of the plain similarity (outlines) and the weighted one (samples).
+    """
+    outline, sample = sketch[:, :OUTLINE], sketch[:, OUTLINE:]
+    out = np.empty((len(sketch), len(sketch)), np.float32)
+    equal = np.empty((len(sketch), len(sketch)), np.int64)
     full = outline > 0
-    for k, (x, f) in enumerate(zip(outline, full, strict=True)):
-        out[k] = ((outline == x) & f).sum(1) / np.maximum((full | f).sum(1), 1)
+    for k, (x, f, y) in enumerate(zip(outline, full, sample, strict=True)):
+        equal[k] = (sample == y).sum(1)
+        out[k] = np.maximum(((outline == x) & f).sum(1) / np.maximum((full | f).sum(1), 1), equal[k] / (ROWS * BANDS))
     np.fill_diagonal(out, 0)
-    return out
+    return out, equal
 
 
-def _chunk_pairs(docs: np.ndarray, outline: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
+def _chunk_pairs(docs: np.ndarray, sketch: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
     """Pairs of a chunk to verify, and the rows that stand for it when chunks of one band value meet.
 
-    A small chunk gives all pairs that look close. In a larger one, hubs are chosen one by one, each for the most
+    A small chunk gives all pairs with LEAST equal samples. In a larger one, hubs are chosen one by one, each for the most
     documents that look linked to it and have no hub yet; every document is paired with its hub, hubs with each
     other, and every document with its three most similar ones: what holds each class together, a few pairs a
     document, instead of the square of the group.
     """
-    near = _alike(outline)
+    near, equal = _alike(sketch)
     pairs: set[tuple[int, int]] = set()
     n = len(docs)
 
@@ -179,7 +188,7 @@ def _chunk_pairs(docs: np.ndarray, outline: np.ndarray) -> tuple[list[tuple[int,
 
     if n <= SMALL:
         for k in range(n):
-            add(k, np.flatnonzero(near[k, :k] >= HINT))
+            add(k, np.flatnonzero(equal[k, :k] >= LEAST))
         return sorted(pairs), np.arange(n)
     linked = near >= 0.8
     alone = ~linked.any(1)
@@ -337,7 +346,7 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
                     continue
                 s = sketches(g, w, counts, ROWS * BANDS)
                 bands = np.stack([_mix(rolling_row(s[:, ROWS * k : ROWS * k + ROWS])) for k in range(BANDS)], 1).view(np.int64)
-                yield pd.DataFrame({"doc_id": ids[at : at + 2000][counts > 0], "sketch": [x.tobytes() for x in outlines(g, counts)], "bands": list(bands)})
+                yield pd.DataFrame({"doc_id": ids[at : at + 2000][counts > 0], "sketch": [x.tobytes() for x in np.hstack([outlines(g, counts), s.astype(np.uint8)])], "bands": list(bands)})
 
     signed = texts.filter("doc_id IS NOT NULL").mapInPandas(sign, "doc_id long, sketch binary, bands array<long>")
     signed = materialize(signed.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "sketches")

@@ -230,6 +230,13 @@ def test_near_duplicate_recall_on_the_table(spark):
                 assert s > 0.0 or got[a] != got[b]
 
 
+def test_near_duplicates_of_repeated_lines(spark):
+    line = passage(10, 7) + "\n"
+    rows = [(1, line * 400), (2, line * 380 + passage(10, 8)), (3, passage(300, 9))]
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 1, 3: 3}
+
+
 def test_sampling_estimates_weighted_jaccard():
     r = np.random.default_rng(0)
     g = np.sort(r.integers(0, 2**63, 400).astype(np.uint64))
