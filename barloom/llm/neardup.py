@@ -13,7 +13,9 @@ short outlines. A chunk
 gives the pairs that hold its likely classes together (to hubs, among hubs, and to the most similar ones), a few a
 document and never all pairs of a large group; hubs of several chunks of one band value meet again. Each pair is
 verified by the exact weighted Jaccard similarity of the two whole texts. Classes are the connected components of
-the verified links, found by label propagation on tables.
+the verified links, found by label propagation on tables. Then all pairs of different classes that share a large band
+value are compared, block against block, and those with LEAST equal samples verified too, so that what the chunks
+leave out parts no class.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.byterepeats import grouped
 from barloom.llm.common import materialize, whole_texts, width
 from barloom.llm.wordrepeats import _mix, rolling, word_digests
 
@@ -271,6 +274,52 @@ def candidate_pairs(signed: DataFrame) -> DataFrame:
         members = again.drop("n").join(total, ["band", "value"]).select(F.col("a").alias("doc_id"), "sketch", "band", "value", "n")
 
 
+def crossing_pairs(signed: DataFrame, found: DataFrame) -> DataFrame:
+    """(a, b): all pairs of different classes that share a band value of more than SMALL documents and LEAST samples.
+
+    The documents of a band value are dealt to blocks, a class of CHUNK or more to its own ones, and every two blocks
+    meet but those of one class. A pair is compared in the first band that it shares. Smaller values have
+    been compared whole by `candidate_pairs`.
+    """
+    spark = signed.sparkSession
+    known = signed.join(found, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.substring("sketch", OUTLINE + 1, ROWS * BANDS).alias("sample"), "bands")
+    entries = known.select("doc_id", "class_id", F.posexplode("bands").alias("band", "value"))
+    sizes = entries.groupBy("band", "value", "class_id").agg(F.count("*").alias("n"))
+    large = F.col("n") >= CHUNK
+    mixed = sizes.groupBy("band", "value").agg(F.sum(F.when(large, 0).otherwise(F.col("n"))).alias("rest"), F.sum("n").alias("total"), F.count("*").alias("several"))
+    mixed = mixed.filter((F.col("total") > SMALL) & (F.col("several") > 1)).drop("several", "total")
+    dealt = materialize(sizes.join(mixed, ["band", "value"]).select("band", "value", "class_id", large.alias("own"), F.greatest(F.lit(1), F.ceil(F.when(large, F.col("n")).otherwise(F.col("rest")) / CHUNK)).alias("parts")), "class-sizes")
+    if dealt.isEmpty():
+        return spark.createDataFrame([], "a long, b long")
+    block = F.struct("own", F.when(F.col("own"), F.col("class_id")).otherwise(F.lit(0)).alias("of"), F.pmod(F.xxhash64("doc_id", "band"), "parts").alias("part"))
+    placed = entries.join(dealt, ["band", "value", "class_id"]).select("doc_id", "band", "value", block.alias("block"))
+    placed = materialize(placed, "blocks")
+    blocks = placed.select("band", "value", "block").distinct()
+    other = blocks.select("band", "value", F.col("block").alias("right"))
+    meets = blocks.withColumnRenamed("block", "left").join(other, ["band", "value"]).filter("left <= right AND NOT (left.own AND right.own AND left.of = right.of)")
+    meets = materialize(meets.select("band", "value", "left", "right", F.monotonically_increasing_id().alias("meet")), "meets")
+    sides = meets.select("band", "value", F.col("left").alias("block"), "meet", F.lit(0).alias("side")).unionByName(meets.filter("left != right").select("band", "value", F.col("right").alias("block"), "meet", F.lit(1).alias("side")))
+    rows = placed.join(sides, ["band", "value", "block"]).select("doc_id", "band", "meet", "side").join(known, "doc_id")
+    rows = rows.repartition(width(spark), "meet").sortWithinPartitions("meet", "side")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in grouped(batches, "meet"):
+            for _, b in whole.groupby("meet"):
+                docs, label, side = (b[c].to_numpy(np.int64) for c in ("doc_id", "class_id", "side"))
+                sample = np.frombuffer(b"".join(b["sample"]), np.uint8).reshape(len(b), -1)
+                bands, band = np.stack(b["bands"].tolist()), int(b["band"].iloc[0])
+                left, right, out = np.flatnonzero(side == 0), np.flatnonzero(side == 1), []
+                for k in left:
+                    j = right if len(right) else left[left > k]
+                    j = j[label[j] != label[k]]
+                    j = j[(sample[j] == sample[k]).sum(1) >= LEAST]
+                    j = j[(bands[j] == bands[k]).argmax(1) == band]
+                    out.append(np.stack([np.minimum(docs[j], docs[k]), np.maximum(docs[j], docs[k])], 1))
+                yield pd.DataFrame(np.concatenate(out), columns=["a", "b"])
+
+    return rows.mapInPandas(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
     """(a, b, similarity) of the pairs at or above the threshold, from the whole texts of both."""
     spark = pairs.sparkSession
@@ -322,7 +371,10 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """doc_id, class_id (the least doc_id of the class), n_links (of its text, verified), a row for each row of `docs`.
+    """doc_id, class_id (the least doc_id of the class), n_links (of its text), a row for each row of `docs`.
+
+    n_links counts the links that were verified: all but those inside a class that share only band values of more than
+    SMALL documents, of which it holds those that were needed to find the class.
 
     Equal texts, NULL and empty ones included, are one class. Texts without words are like no other text. An empty
     table gives no rows; other columns are not read; a NULL doc_id takes the class of its text. Repeated rows are one
@@ -352,7 +404,13 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     signed = materialize(signed.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "sketches")
     pairs = materialize(candidate_pairs(signed), "pairs")
     links = materialize(verified(pairs, texts, idf, threshold).dropDuplicates(["a", "b"]), "links")
-    found = components(links).withColumnRenamed("doc_id", "rep")
+    found = components(links)
+    crossing = materialize(crossing_pairs(signed, found).join(pairs, ["a", "b"], "left_anti"), "crossing")
+    if not crossing.isEmpty():
+        more = materialize(verified(crossing, texts, idf, threshold).dropDuplicates(["a", "b"]), "links")
+        links = links.unionByName(more)
+        found = components(links)
+    found = found.withColumnRenamed("doc_id", "rep")
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n"))
     known = reps.join(found, "rep", "left").join(degree, "rep", "left").select("_digest", F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("n", F.lit(0)).alias("n_links"))
     # stored, so that no aggregation stands before the join and a hot text's rows can be split

@@ -237,6 +237,39 @@ def test_near_duplicates_of_repeated_lines(spark):
     assert got == {1: 1, 2: 1, 3: 3}
 
 
+def _links(texts, n_docs):
+    """Pairs at 0.8 or more by the exact similarity, from (shingles, weights) of all texts."""
+    idf = neardup.word_shares(texts, n_docs)
+    rows = sorted((r["doc_id"], r["text"]) for r in texts.collect())
+    g, w, counts = neardup.shingles([t for _, t in rows], idf)
+    end = np.cumsum(counts)
+    sets = [(g[e - c : e], w[e - c : e]) for e, c in zip(end, counts, strict=True)]
+    return [(rows[i][0], rows[j][0]) for i in range(len(rows)) for j in range(i) if neardup.similarity(sets[i], sets[j]) >= 0.8]
+
+
+def test_near_duplicates_across_hubs(spark):
+    base, r, texts = words(1000, 20), np.random.default_rng(21), []
+
+    def edited(own):
+        w = list(base)
+        for at, n in own.items():
+            w[at] = f"edit{n}"
+        texts.append(" ".join(w))
+
+    for u in range(14):  # two close groups, linked only by a pair that is neither of hubs nor among the most similar ones
+        at = r.permutation(200) * 5
+        first = {int(k): 10_000 * u + n for n, k in enumerate(at[:14])}
+        second = {int(k): 10_000 * u + n for n, k in enumerate(at[:4])} | {int(k): 10_000 * u + 500 + n for n, k in enumerate(at[14:24])}
+        for g, group in enumerate((first, second)):
+            edited(group)
+            for v in range(5):
+                own = {int(k): 10_000 * u + 1000 * (g + 1) + 100 * v + n for n, k in enumerate(at[30 + 20 * v + 10 * g :][:5])}
+                edited(group | own)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {x["doc_id"]: x["class_id"] for x in neardup.classes(df).collect()}
+    assert all(got[a] == got[b] for a, b in _links(df, len(texts)))
+
+
 def test_sampling_estimates_weighted_jaccard():
     r = np.random.default_rng(0)
     g = np.sort(r.integers(0, 2**63, 400).astype(np.uint64))
