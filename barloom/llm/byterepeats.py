@@ -14,9 +14,8 @@ minimiser. That routes the work without moving texts:
    step 2 and by a salt in step 3; what is new in its block goes on by the digest of each window, so that no
    minimiser, however common, meets in one task.
 
-Positions order by (doc_id, start): a doc_id names one document, and rows that repeat it with its text are that
-document again, each with the same result. Where different texts share a doc_id, what is found in one is removed at
-the same places of the others.
+Positions order by (doc_id, text_id, start): a row is named by its doc_id and a digest of its text. Rows that repeat both
+are one document, which is no earlier copy of itself: each has the result of that document.
 """
 
 from __future__ import annotations
@@ -38,7 +37,7 @@ HOT = 4
 CHUNK = 1 << 20
 BLOCK_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-SEGMENTS = "route long, digest long, doc_id long, place long, kind int"
+SEGMENTS = "route long, digest long, doc_id long, text_id long, place long, kind int"
 PLAIN, HOT_ROW, MARK, GONE = 0, 1, 2, 3
 
 
@@ -156,6 +155,22 @@ def _runs(doc: np.ndarray, start: np.ndarray, count: np.ndarray) -> tuple[np.nda
     return doc[first], start[first], count
 
 
+def _names(doc: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of each row's name, rising by doc_id and text_id; a row of each name)."""
+    order = np.lexsort((text, doc))
+    d, t = doc[order], text[order]
+    new = np.concatenate([[True], (d[1:] != d[:-1]) | (t[1:] != t[:-1])])[: len(d)]
+    number = np.empty(len(doc), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return number, order[new]
+
+
+def _later(fresh: np.ndarray, name: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Rows that follow the first of their group, but for those that are that row again."""
+    first = np.maximum.accumulate(np.where(fresh, np.arange(len(fresh)), 0))
+    return ~fresh & ((name != name[first]) | (place != place[first]))
+
+
 def _frame(**columns) -> pd.DataFrame:
     return pd.DataFrame(columns)
 
@@ -163,8 +178,9 @@ def _frame(**columns) -> pd.DataFrame:
 def segments(docs: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            order = np.argsort(b["doc_id"].to_numpy(np.int64), kind="stable")
-            ids = b["doc_id"].to_numpy(np.int64)[order]
+            ids, names = b["doc_id"].to_numpy(np.int64), b["text_id"].to_numpy(np.int64)
+            order = _names(ids, names)[1]
+            ids, names = ids[order], names[order]
             data = [b["text"].iloc[k].encode() for k in order]
             got = [np.concatenate(x) for x in zip(*batch_segments(data, window), strict=True)]
             if not got:
@@ -176,17 +192,17 @@ def segments(docs: DataFrame, window: int) -> DataFrame:
             again = np.zeros(len(doc), bool)
             again[sort[same]] = True
             gone = np.flatnonzero(again)
-            d, s, c = _runs(ids[doc[gone]], start[gone], count[gone])
-            yield _frame(route=_mix(d.astype(np.uint64)).view(np.int64), digest=np.zeros(len(d), np.int64), doc_id=d, place=pack_place(s, c, 0), kind=np.full(len(d), GONE, np.int32))
+            d, s, c = _runs(doc[gone], start[gone], count[gone])
+            yield _frame(route=_mix(ids[d].astype(np.uint64)).view(np.int64), digest=np.zeros(len(d), np.int64), doc_id=ids[d], text_id=names[d], place=pack_place(s, c, 0), kind=np.full(len(d), GONE, np.int32))
             left = sort[~same]
             r = route[left]
             first = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
             sizes = np.diff(np.append(first, len(r)))
             hot = np.repeat(sizes >= HOT, sizes)
             own = np.where(hot, _mix((r ^ (digest[left] * 3)).view(np.uint64)).view(np.int64), r)
-            yield _frame(route=own, digest=digest[left], doc_id=ids[doc[left]], place=pack_place(start[left], count[left], inner[left]), kind=np.where(hot, HOT_ROW, PLAIN).astype(np.int32))
+            yield _frame(route=own, digest=digest[left], doc_id=ids[doc[left]], text_id=names[doc[left]], place=pack_place(start[left], count[left], inner[left]), kind=np.where(hot, HOT_ROW, PLAIN).astype(np.int32))
             marks = r[first[sizes >= HOT]]
-            yield _frame(route=marks, digest=np.zeros(len(marks), np.int64), doc_id=np.zeros(len(marks), np.int64), place=np.zeros(len(marks), np.int64), kind=np.full(len(marks), MARK, np.int32))
+            yield _frame(route=marks, digest=np.zeros(len(marks), np.int64), doc_id=np.zeros(len(marks), np.int64), text_id=np.zeros(len(marks), np.int64), place=np.zeros(len(marks), np.int64), kind=np.full(len(marks), MARK, np.int32))
 
     return docs.mapInPandas(run, SEGMENTS)
 
@@ -214,93 +230,97 @@ def grouped(batches: Iterator[pd.DataFrame], key: str, least: int = 0, weigh=Non
 
 
 def first_segments(found: DataFrame) -> DataFrame:
-    """(what, key, doc_id, place): what 0: removed; 1: examine under its minimiser; 2: examine as hot."""
-    dealt = found.repartition(width(found.sparkSession), "route").sortWithinPartitions("route", "digest", "doc_id", "place")
+    """(what, key, doc_id, text_id, place): what 0: removed; 1: examine under its minimiser; 2: examine as hot."""
+    dealt = found.repartition(width(found.sparkSession), "route").sortWithinPartitions("route", "digest", "doc_id", "text_id", "place")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in grouped(batches, "route"):
-            route, digest, doc, place, kind = (b[c].to_numpy() for c in ("route", "digest", "doc_id", "place", "kind"))
+            route, digest, ids, names, place, kind = (b[c].to_numpy() for c in ("route", "digest", "doc_id", "text_id", "place", "kind"))
+            doc, of = _names(ids, names)
             group = np.cumsum(np.concatenate([[False], route[1:] != route[:-1]]))
             marked = np.zeros(group[-1] + 1, bool)
             marked[group[kind == MARK]] = True
             real = np.flatnonzero((kind == PLAIN) | (kind == HOT_ROW))
             g, dg = group[real], digest[real]
             fresh = np.concatenate([[True], (g[1:] != g[:-1]) | (dg[1:] != dg[:-1])])[: len(real)]
-            gone = np.concatenate([real[~fresh], np.flatnonzero(kind == GONE)])
+            gone = np.concatenate([real[_later(fresh, doc[real], place[real])], np.flatnonzero(kind == GONE)])
             d, s, c = doc[gone], *unpack_place(place[gone])[:2]
             order = np.lexsort((s, d))
             d, s, c = _runs(d[order], s[order], c[order])
-            yield _frame(what=np.zeros(len(d), np.int32), key=np.zeros(len(d), np.int64), doc_id=d, place=pack_place(s, c, 0))
+            yield _frame(what=np.zeros(len(d), np.int32), key=np.zeros(len(d), np.int64), doc_id=ids[of[d]], text_id=names[of[d]], place=pack_place(s, c, 0))
             reps = real[fresh]
             g = group[reps]
             several = np.bincount(g, minlength=group[-1] + 1)[g] > 1
             hot = (kind[reps] == HOT_ROW) | marked[g]
             look = hot | several | (place[reps] & 1).astype(bool)
             x = reps[look]
-            yield _frame(what=np.where(hot[look], 2, 1).astype(np.int32), key=route[x], doc_id=doc[x], place=place[x])
+            yield _frame(what=np.where(hot[look], 2, 1).astype(np.int32), key=route[x], doc_id=ids[x], text_id=names[x], place=place[x])
 
-    return dealt.mapInPandas(run, "what int, key long, doc_id long, place long")
+    return dealt.mapInPandas(run, "what int, key long, doc_id long, text_id long, place long")
 
 
 def examine(look: DataFrame, texts: DataFrame, window: int, salts: int) -> DataFrame:
-    """(key, digest, doc_id, place, kind): removed runs (GONE) and, of hot blocks, windows that are new there (PLAIN)."""
+    """(key, digest, doc_id, text_id, place, kind): removed runs (GONE) and, of hot blocks, windows that are new there (PLAIN)."""
     spark = look.sparkSession
-    wanted = look.groupBy("doc_id").agg(F.collect_list(F.struct("what", "key", "place")).alias("wanted"))
-    joined = wanted.join(texts, "doc_id")
+    wanted = look.groupBy("doc_id", "text_id").agg(F.collect_list(F.struct("what", "key", "place")).alias("wanted"))
+    joined = wanted.join(texts, ["doc_id", "text_id"])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for doc, wanted_, text in zip(b["doc_id"], b["wanted"], b["text"], strict=True):
+            b = b.drop_duplicates(["doc_id", "text_id"])
+            for doc, name, wanted_, text in zip(b["doc_id"], b["text_id"], b["wanted"], b["text"], strict=True):
                 data = text.encode()
-                salt = xxhash.xxh3_64_intdigest(int(doc).to_bytes(8, "little", signed=True)) % salts
+                salt = xxhash.xxh3_64_intdigest(int(doc).to_bytes(8, "little", signed=True) + int(name).to_bytes(8, "little", signed=True)) % salts
                 for x in wanted_:
                     start, count = x["place"] >> 24, (x["place"] >> 1) & ((1 << 23) - 1)
-                    rows.append((x["what"], salt if x["what"] == 2 else x["key"], doc, start, data[start : start + count + window - 1]))
-            yield pd.DataFrame(rows, columns=["what", "key", "doc_id", "start", "piece"])
+                    rows.append((x["what"], salt if x["what"] == 2 else x["key"], doc, name, start, data[start : start + count + window - 1]))
+            yield pd.DataFrame(rows, columns=["what", "key", "doc_id", "text_id", "start", "piece"])
 
-    pieces_ = joined.mapInPandas(cut, "what int, key long, doc_id long, start long, piece binary")
-    dealt = pieces_.repartition(width(spark), "what", "key").sortWithinPartitions("what", "key", "doc_id", "start")
+    pieces_ = joined.mapInPandas(cut, "what int, key long, doc_id long, text_id long, start long, piece binary")
+    dealt = pieces_.repartition(width(spark), "what", "key").sortWithinPartitions("what", "key", "doc_id", "text_id", "start")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         two = xxhash.xxh3_128_digest
         for whole in grouped(batches, "key", BLOCK_BYTES, lambda b: int(b["piece"].str.len().sum())):
             for what, b in whole.groupby("what"):
-                b = b.sort_values(["doc_id", "start"], kind="stable")
+                b = b.drop_duplicates(["doc_id", "text_id", "start"]).sort_values(["doc_id", "text_id", "start"], kind="stable")
                 strings = b["piece"].tolist()
-                doc, start = b["doc_id"].to_numpy(np.int64), b["start"].to_numpy(np.int64)
+                ids, names, start = (b[c].to_numpy(np.int64) for c in ("doc_id", "text_id", "start"))
+                doc, of = _names(ids, names)
                 index = RunIndex(strings, window)
                 valid, again = index.repeated()
                 at = np.flatnonzero(again)
                 s = np.searchsorted(index.start, at, "right") - 1
                 d, f, c = _runs(doc[s], start[s] + at - index.start[s], np.ones(len(at), np.int64))
-                yield _frame(key=_mix(d.astype(np.uint64)).view(np.int64), digest=np.zeros(len(d), np.int64), doc_id=d, place=pack_place(f, c, 0), kind=np.full(len(d), GONE, np.int32))
+                yield _frame(key=_mix(ids[of[d]].astype(np.uint64)).view(np.int64), digest=np.zeros(len(d), np.int64), doc_id=ids[of[d]], text_id=names[of[d]], place=pack_place(f, c, 0), kind=np.full(len(d), GONE, np.int32))
                 if what == 2:
                     at = np.flatnonzero(valid & ~again)
                     s = np.searchsorted(index.start, at, "right") - 1
                     inner = at - index.start[s]
                     h = np.frombuffer(b"".join(two(strings[k][i : i + window]) for k, i in zip(s.tolist(), inner.tolist(), strict=True)), np.int64).reshape(-1, 2)
-                    yield _frame(key=h[:, 0], digest=h[:, 1], doc_id=doc[s], place=pack_place(start[s] + inner, np.int64(1), 0), kind=np.full(len(at), PLAIN, np.int32))
+                    yield _frame(key=h[:, 0], digest=h[:, 1], doc_id=ids[s], text_id=names[s], place=pack_place(start[s] + inner, np.int64(1), 0), kind=np.full(len(at), PLAIN, np.int32))
 
-    return dealt.mapInPandas(run, "key long, digest long, doc_id long, place long, kind int")
+    return dealt.mapInPandas(run, "key long, digest long, doc_id long, text_id long, place long, kind int")
 
 
 def merge_windows(found: DataFrame) -> DataFrame:
-    """(doc_id, place) of removed runs: of equal windows of different blocks the first stays."""
-    dealt = found.repartition(width(found.sparkSession), "key").sortWithinPartitions("key", "digest", "doc_id", "place")
+    """(doc_id, text_id, place) of removed runs: of equal windows of different blocks the first stays."""
+    dealt = found.repartition(width(found.sparkSession), "key").sortWithinPartitions("key", "digest", "doc_id", "text_id", "place")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in grouped(batches, "key"):
-            key, digest, doc, place, kind = (b[c].to_numpy() for c in ("key", "digest", "doc_id", "place", "kind"))
+            key, digest, ids, names, place, kind = (b[c].to_numpy() for c in ("key", "digest", "doc_id", "text_id", "place", "kind"))
+            doc, of = _names(ids, names)
             x = np.flatnonzero(kind == PLAIN)
             fresh = np.concatenate([[True], (key[x][1:] != key[x][:-1]) | (digest[x][1:] != digest[x][:-1])])[: len(x)]
-            gone = np.concatenate([x[~fresh], np.flatnonzero(kind == GONE)])
+            gone = np.concatenate([x[_later(fresh, doc[x], place[x])], np.flatnonzero(kind == GONE)])
             d, s, c = doc[gone], *unpack_place(place[gone])[:2]
             order = np.lexsort((s, d))
             d, s, c = _runs(d[order], s[order], c[order])
-            yield _frame(doc_id=d, place=pack_place(s, c, 0))
+            yield _frame(doc_id=ids[of[d]], text_id=names[of[d]], place=pack_place(s, c, 0))
 
-    return dealt.mapInPandas(run, "doc_id long, place long")
+    return dealt.mapInPandas(run, "doc_id long, text_id long, place long")
 
 
 def byte_runs(starts: np.ndarray, counts: np.ndarray, window: int) -> list[tuple[int, int]]:
@@ -322,13 +342,13 @@ def remove_repeats(docs: DataFrame, window: int = 100) -> DataFrame:
     columns are not read. A NULL doc_id orders before all others.
     """
     spark = docs.sparkSession
-    texts = whole_texts(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))).alias("doc_id"), "text")
+    texts = whole_texts(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))).alias("doc_id"), F.xxhash64("text").alias("text_id"), "text")
     verdicts = materialize(first_segments(segments(texts, window)), "segment-verdicts")
     n_hot = verdicts.filter("what = 2").count()
-    spread = texts.repartition(width(spark), "doc_id")
+    spread = texts.repartition(width(spark), "doc_id", "text_id")
     look = verdicts.filter("what > 0")
     later = merge_windows(examine(look, spread, window, max(width(spark), -(-n_hot // 16_384))))
-    gone = verdicts.filter("what = 0").select("doc_id", "place").unionByName(later).groupBy("doc_id").agg(F.collect_list("place").alias("places"))
+    gone = verdicts.filter("what = 0").select("doc_id", "text_id", "place").unionByName(later).groupBy("doc_id", "text_id").agg(F.collect_list("place").alias("places"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -344,7 +364,7 @@ def remove_repeats(docs: DataFrame, window: int = 100) -> DataFrame:
                 rows.append((doc, len(data), [{"start": s, "end": e} for s, e in runs], b"".join([*kept, data[at:]])))
             yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "spans", "kept"])
 
-    out = spread.join(gone, "doc_id", "left").mapInPandas(cut, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    out = spread.join(gone, ["doc_id", "text_id"], "left").mapInPandas(cut, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
     return out.withColumn("doc_id", F.nullif("doc_id", F.lit(-(1 << 62))))
 
 

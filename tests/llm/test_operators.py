@@ -176,6 +176,17 @@ def test_byte_repeats(docs, nothing, monkeypatch):
     assert byterepeats.remove_repeats(nothing).count() == 0
 
 
+def test_byte_repeats_under_repeated_and_missing_ids(spark):
+    a, b, c, d = (passage(90, 30 + k) for k in range(4))
+    rows = [(1, a), (1, a), (None, b), (None, c + " " + c), (2, d), (2, c), (3, b + " own")]
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        got = {(r["doc_id"], r["n_bytes"], bytes(r["kept"])) for r in byterepeats.remove_repeats(df).collect()}
+        want = {(1, len(a), a.encode()), (None, len(b), b.encode()), (2, len(d), d.encode()), (2, len(c), b"")}
+        assert want <= got and len(got) == 6 and {len(k) for i, _, k in got if i == 3} == {4}
+        assert all(len(c) <= len(k) < len(c) + 2 for i, n, k in got if i is None and n > len(b) + 100)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.binary(max_size=40).map(lambda b: bytes(97 + x % 3 for x in b)), min_size=1, max_size=6), st.integers(2, 9))
 def test_run_index(strings, w):
