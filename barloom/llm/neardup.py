@@ -38,7 +38,7 @@ IDF_FLOOR = 256
 IDF_SHARE = 0.25
 #: Documents of one band value that meet in a task.
 CHUNK = 512
-#: How often the hubs of the chunks of one band value meet again.
+#: How often the hubs of the chunks of one band value meet again; what has not met by then does in `crossing_pairs`.
 ROUNDS = 4
 #: Estimated similarity from which a pair of a large chunk looks close, and bytes of the outline that estimates it.
 HINT, OUTLINE = 0.70, 256

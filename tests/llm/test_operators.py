@@ -281,6 +281,20 @@ def test_near_duplicates_across_hubs(spark):
     assert all(got[a] == got[b] for a, b in _links(df, len(texts)))
 
 
+def test_near_duplicates_that_no_chunk_brings_together(spark, monkeypatch):
+    base, r, texts = " ".join(words(700, 40)), np.random.default_rng(41), []
+    for u in range(100):  # pairs of 0.85 among many texts of about 0.7 that hold one long passage
+        own = words(150, 500 + u)
+        other = list(own)
+        for n, k in enumerate(r.permutation(30)[:13]):
+            other[5 * k] = f"edit{u}x{n}"
+        texts += [base + " " + " ".join(own), base + " " + " ".join(other)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(neardup, "CHUNK", 2)
+    got = {x["doc_id"]: x["class_id"] for x in neardup.classes(df).collect()}
+    assert all(got[2 * u] == got[2 * u + 1] for u in range(100)) and all(got[a] == got[b] for a, b in _links(df, 200))
+
+
 def test_sampling_estimates_weighted_jaccard():
     r = np.random.default_rng(0)
     g = np.sort(r.integers(0, 2**63, 400).astype(np.uint64))
