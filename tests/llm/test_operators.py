@@ -281,6 +281,14 @@ def test_near_duplicates_across_hubs(spark):
     assert all(got[a] == got[b] for a, b in _links(df, len(texts)))
 
 
+def test_classes_do_not_hang_on_the_pairs_of_chunks(spark, monkeypatch):
+    base = words(300, 60)
+    rows = [(k, " ".join([*base[: 5 * k], f"own{k}", *base[5 * k + 1 :]])) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(neardup, "candidate_pairs", lambda signed: spark.createDataFrame([(0, 1)], "a long, b long"))
+    assert {r["class_id"] for r in neardup.classes(df).collect()} == {0}
+
+
 def test_near_duplicates_that_no_chunk_brings_together(spark, monkeypatch):
     base, r, texts = " ".join(words(700, 40)), np.random.default_rng(41), []
     for u in range(100):  # pairs of 0.85 among many texts of about 0.7 that hold one long passage
