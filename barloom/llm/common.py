@@ -48,6 +48,19 @@ def whole_texts(docs: DataFrame, carry: bool = False) -> DataFrame:
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
+def numbered_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, no_id, text) for Python workers: pandas would turn 64-bit ids that stand beside a NULL into doubles, so
+    a missing doc_id goes as 0 with no_id set. NULL text is ''."""
+    return docs.select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("text"), F.lit("")).alias("text")
+    )
+
+
+def with_missing_ids(df: DataFrame) -> DataFrame:
+    """What `numbered_texts` named, with NULL for a missing doc_id again."""
+    return df.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")
+
+
 def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -2,15 +2,17 @@
 
 A configuration is a multiset of piece lengths that fits one sequence. The covering linear program over the
 length histogram (at most `capacity` numbers, so it fits the driver whatever the corpus) is solved by
-multiplicative weights: each round prices one configuration with an unbounded-knapsack dynamic program and
-lowers the weights of what it covers. The fractional plan is rounded down and what is left is packed best fit,
-again on the histogram. The plan maps (length, rank among pieces of that length) to (sequence, offset), so
-assigning is one pass over the pieces; only their (length, bucket) ranks need a shuffle, of a few bytes a piece.
+multiplicative weights: each round prices configurations with an unbounded-knapsack dynamic program, lowers the
+weights of what they cover and ends where the dual bound proves the plan near enough. The fractional plan is rounded
+down and what is left is packed best fit, again on the histogram. The plan maps (length, rank among pieces of that
+length) to (sequence, offset), so assigning is one pass over the pieces; only their (length, bucket) ranks need a shuffle,
+of a few bytes a piece.
 """
 
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,99 +20,169 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import materialize, whole_texts, width
+from barloom.llm.common import materialize, numbered_texts, with_missing_ids
 from barloom.llm.wordmemo import LowerWordIds, memo
 
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES = "doc_id long, no_id boolean, piece int, start long, length long, ids_crc32 long"
+COLUMNS = ["doc_id", "no_id", "piece", "start", "length", "ids_crc32"]
+#: Pieces of one length that are ranked in one group.
+BUCKET_ROWS = 50_000
 
 
 def tokenize_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int = 0) -> DataFrame:
-    """Each document's ids, then `end_id`, cut at multiples of `capacity`."""
+    """Each document's ids, then `end_id`, cut at multiples of `capacity`; no_id marks a missing doc_id."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = memo(LowerWordIds, tokenizer_path).ids
         end, step = np.array([end_id], "<u4").tobytes(), 4 * capacity
         for b in batches:
-            rows = []
-            for doc_id, text in zip(b["doc_id"], b["text"], strict=True):
+            sizes, sums = np.empty(len(b), np.int64), []
+            for k, text in enumerate(b["text"]):
                 data = ids(text) + end
-                rows += [
-                    (doc_id, k, at // 4, min(step, len(data) - at) // 4, zlib.crc32(data[at : at + step]))
-                    for k, at in enumerate(range(0, len(data), step))
-                ]
-            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+                sizes[k] = len(data) // 4
+                sums += [zlib.crc32(data[at : at + step]) for at in range(0, len(data), step)]
+            n = -(-sizes // capacity)
+            row = np.repeat(np.arange(len(b)), n)
+            piece = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            start = piece * capacity
+            yield pd.DataFrame(
+                {
+                    "doc_id": b["doc_id"].to_numpy()[row],
+                    "no_id": b["no_id"].to_numpy()[row],
+                    "piece": piece.astype(np.int32),
+                    "start": start,
+                    "length": np.minimum(capacity, sizes[row] - start),
+                    "ids_crc32": np.array(sums, np.int64),
+                }
+            )
 
-    return whole_texts(docs).mapInPandas(run, PIECES)
+    return numbered_texts(docs).mapInPandas(run, PIECES)
 
 
-def _price(value: np.ndarray, capacity: int) -> np.ndarray:
-    """Unbounded knapsack: counts by length of the configuration of the greatest value."""
+def _prices(value: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Unbounded knapsack over the lengths with a value: (greatest value, length that it takes) for each room."""
     best, pick = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
-    gain = value[1:]
-    for c in range(1, capacity + 1):
-        total = best[c - 1 :: -1] + gain[:c] if c < capacity + 1 else None
-        k = int(total.argmax())
-        best[c], pick[c] = total[k], k + 1
-    counts, c = np.zeros(capacity + 1, np.int64), capacity
-    while c > 0:
-        if value[pick[c]] > 0:
-            counts[pick[c]] += 1
-        c -= pick[c]
-    return counts
-
-
-def solve(histogram: np.ndarray, capacity: int, rounds: int = 600, eps: float = 0.3) -> list[tuple[np.ndarray, int]]:
-    """(counts by length, times) whose sum is the histogram; histogram[l] is the number of pieces of length l."""
-    left = histogram.astype(np.int64).copy()
-    plan: list[tuple[np.ndarray, int]] = []
-    if left[capacity]:  # a full piece is a configuration by itself
-        full = np.zeros(capacity + 1, np.int64)
-        full[capacity] = 1
-        plan.append((full, int(left[capacity])))
-        left[capacity] = 0
-    need = left.astype(float)
-    present = need > 0
-    if not present.any():
-        return plan
-    lengths = np.arange(capacity + 1)
-    weight = np.where(present, lengths / capacity, 0.0)
-    covered, chosen = np.zeros(capacity + 1), {}
+    lengths = np.flatnonzero(value > 0)
+    gain = value[lengths]
+    for room, n in zip(range(capacity + 1), np.searchsorted(lengths, np.arange(capacity + 1), "right").tolist(), strict=True):
+        if n:
+            total = best[room - lengths[:n]] + gain[:n]
+            k = int(total.argmax())
+            best[room], pick[room] = total[k], lengths[k]
+    return best, pick
+
+
+def _filled(pick: np.ndarray, first: int, room: int) -> tuple[tuple[int, int], ...]:
+    """The configuration of length `first` and the best use of the room beside it, as (length, times) pairs."""
+    counts = {first: 1}
+    while room > 0 and pick[room]:
+        counts[int(pick[room])] = counts.get(int(pick[room]), 0) + 1
+        room -= pick[room]
+    return tuple(sorted(counts.items()))
+
+
+def fractional(need: np.ndarray, capacity: int, rounds: int, eps: float = 0.1, gap: float = 0.002) -> dict[tuple[tuple[int, int], ...], float]:
+    """Configurations and how often each is used in a fractional plan that covers `need`, within `gap` of the bound or after `rounds`.
+
+    Each round prices every length by its weight, takes for each length the best configuration that holds it and, of
+    these, those nearly as good as the best; the weights of what they cover fall. The weights over the price of
+    the best configuration are a dual solution, so their value bounds every plan from below: rounds end there.
+    """
+    lengths = np.flatnonzero(need)
+    weight = np.zeros(capacity + 1)
+    weight[lengths] = lengths / capacity
+    covered, used, spent, bound = np.zeros(capacity + 1), {}, 0.0, 0.0
     for _ in range(rounds):
-        config = _price(weight, capacity)
-        used = config > 0
-        if not used.any():
-            break
-        times = float((need[used] / config[used]).min())
-        key = tuple(np.flatnonzero(used)), tuple(config[used])
-        chosen[key] = chosen.get(key, 0.0) + times
-        covered[used] += times * config[used]
-        weight[used] *= np.exp(-eps * times * config[used] / need[used])
+        best, pick = _prices(weight, capacity)
+        bound = max(bound, float(weight @ need) / best[capacity])
+        total = weight[lengths] + best[capacity - lengths]
+        added = np.zeros(capacity + 1)
+        for config in {_filled(pick, int(x), capacity - int(x)) for x in lengths[total >= (1 - eps / 2) * best[capacity]]}:
+            ls, cs = np.array(config).T
+            times = float((need[ls] / cs).min()) * eps
+            used[config] = used.get(config, 0.0) + times
+            spent += times
+            added[ls] += times * cs
+        covered += added
+        weight[lengths] *= np.exp(-np.minimum(added[lengths] / need[lengths], 1.0))
         weight /= weight.max()
-        weight[present] = np.maximum(weight[present], 1e-12)
-    over = np.maximum(1.0, (covered / np.where(present, need, 1.0)))
-    for (ls, cs), x in sorted(chosen.items(), key=lambda kv: -kv[1]):  # round down, never beyond what is there
-        ls, cs = np.array(ls), np.array(cs)
-        if float(ls @ cs) < 0.98 * capacity:
-            continue
-        times = int(min(x / over[ls].max(), (left[ls] // cs).min()))
-        if times > 0:
-            config = np.zeros(capacity + 1, np.int64)
-            config[ls] = cs
-            left[ls] -= times * cs
-            plan.append((config, times))
-    while left.any():  # best fit decreasing, in bulk: the longest piece, then always the longest that still fits
-        config, room = np.zeros(capacity + 1, np.int64), capacity
-        for length in np.flatnonzero(left)[::-1]:
-            n = min(room // length, left[length])
-            config[length] += n
-            room -= n * length
-            if not room:
-                break
-        used = config > 0
-        times = int((left[used] // config[used]).min())
-        left[used] -= times * config[used]
-        plan.append((config, times))
-    return plan
+        weight[lengths] = np.maximum(weight[lengths], 1e-12)
+        least = float((covered[lengths] / need[lengths]).min())
+        if least > 0 and spent / least <= (1 + gap) * bound:
+            break
+    scale = max(1e-9, float((covered[lengths] / need[lengths]).max()))
+    return {config: x / scale for config, x in used.items()}
+
+
+def best_fit(histogram: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Best fit decreasing, all pieces of a length at once: (configuration, times) pairs.
+
+    Sequences with the same contents are one group. A length goes to the groups with the least room that
+    takes it, as often as it fits, as piece by piece best fit would do.
+    """
+    left = {}  # room: groups of (configuration, times)
+    rooms: list[int] = []
+    done: list[tuple[dict[int, int], int]] = []
+
+    def put(config: dict[int, int], times: int, room: int) -> None:
+        if not room:
+            done.append((config, times))
+            return
+        if room not in left:
+            insort(rooms, room)
+        left.setdefault(room, []).append((config, times))
+
+    for length in np.flatnonzero(histogram)[::-1].tolist():
+        n = int(histogram[length])
+        while n:
+            at = bisect_left(rooms, length)
+            room = rooms[at] if at < len(rooms) else capacity
+            most = room // length
+            config, times = left[room].pop() if at < len(rooms) else ({}, -(-n // most))
+            if at < len(rooms) and not left[room]:
+                del left[room], rooms[at]
+            whole = min(times, n // most)
+            if whole:
+                put(config | {length: most}, whole, room - most * length)
+                n, times = n - whole * most, times - whole
+            if times and n:  # the last, partly filled one
+                put(config | {length: n}, 1, room - n * length)
+                n, times = 0, times - 1
+            if times and config:
+                put(config, times, room)
+    return done + [g for groups in left.values() for g in groups]
+
+
+def solve(histogram: np.ndarray, capacity: int, rounds: int = 40) -> list[tuple[np.ndarray, int]]:
+    """(counts by length, times) whose sum is the histogram; histogram[l] is the number of pieces of length l.
+
+    The fractional plan is rounded down, what it leaves is packed best fit. Where best fit alone needs fewer
+    sequences, its plan is taken.
+    """
+    plain = best_fit(histogram, capacity)
+    need = histogram.astype(np.int64).copy()
+    need[capacity] = 0  # a full piece is a sequence by itself
+    plan: list[tuple[dict[int, int], int]] = []
+    least = -(-int(histogram @ np.arange(capacity + 1)) // capacity)
+    if need.any():
+        left = need.copy()
+        for config, x in sorted(fractional(need, capacity, rounds).items(), key=lambda kv: -kv[1]):
+            ls, cs = np.array(config).T
+            times = int(min(x, (left[ls] // cs).min()))
+            if times > 0:
+                left[ls] -= times * cs
+                plan.append((dict(config), times))
+        plan += best_fit(left, capacity)
+    if histogram[capacity]:
+        plan.append(({capacity: 1}, int(histogram[capacity])))
+    if sum(t for _, t in plan) > max(least, sum(t for _, t in plain)):
+        plan = plain
+    out = []
+    for config, times in plan:
+        counts = np.zeros(capacity + 1, np.int64)
+        counts[list(config)] = list(config.values())
+        out.append((counts, times))
+    return out
 
 
 def slots(plan: list[tuple[np.ndarray, int]], capacity: int) -> dict[str, np.ndarray]:
@@ -128,23 +200,25 @@ def slots(plan: list[tuple[np.ndarray, int]], capacity: int) -> dict[str, np.nda
     return {"key": (table[:, 0] << 40) + table[:, 1], "first": table[:, 1], "sequence": table[:, 2], "n": table[:, 3], "offset": table[:, 4]}
 
 
-def pack(pieces: DataFrame, capacity: int = 2048, rounds: int = 600) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 2048, rounds: int = 40) -> DataFrame:
     """Adds sequence_id and offset to a table of pieces with a `length` from 1 to `capacity`.
 
     `pieces` is read twice and must be stored. Ties in length are broken by bucket and doc_id. An empty table
-    gives no rows. Pieces of one length, however many, are ranked in buckets by doc_id, so no task holds them all.
+    gives no rows. Pieces of one length are ranked in buckets of about BUCKET_ROWS by a hash of doc_id, so no task
+    holds a length that many pieces share.
     """
     spark = pieces.sparkSession
     histogram = np.zeros(capacity + 1, np.int64)
     for r in pieces.groupBy("length").count().collect():  # at most `capacity` rows
         histogram[r["length"]] = r["count"]
     plan = spark.sparkContext.broadcast(slots(solve(histogram, capacity, rounds), capacity))
-    bucketed = pieces.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(max(width(spark), 64))))
+    parts = spark.createDataFrame([(int(n), -(-int(histogram[n]) // BUCKET_ROWS)) for n in np.flatnonzero(histogram)], "length long, _parts long")
+    bucketed = pieces.join(F.broadcast(parts), "length").withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), "_parts"))
     sizes = bucketed.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
     before = sizes.select(
         "length", "_bucket", (F.sum("_n").over(Window.partitionBy("length").orderBy("_bucket")) - F.col("_n")).alias("_before")
     )
-    ranked = bucketed.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece")) - 1)
+    ranked = bucketed.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("doc_id", "no_id", "piece")) - 1)
     ranked = ranked.join(before, ["length", "_bucket"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -155,20 +229,20 @@ def pack(pieces: DataFrame, capacity: int = 2048, rounds: int = 600) -> DataFram
             within = rank - p["first"][at]
             yield pd.DataFrame(
                 {
-                    **{c: b[c] for c in ("doc_id", "piece", "start", "length", "ids_crc32")},
+                    **{c: b[c] for c in COLUMNS},
                     "sequence_id": p["sequence"][at] + within // p["n"][at],
                     "offset": p["offset"][at] + within % p["n"][at] * length,
                 }
             )
 
-    columns = ["doc_id", "piece", "start", "length", "ids_crc32", "_rank"]
-    return ranked.select(columns).mapInPandas(place, PIECES + ", sequence_id long, offset long")
+    return with_missing_ids(ranked.select(*COLUMNS, "_rank").mapInPandas(place, PIECES + ", sequence_id long, offset long"))
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048) -> DataFrame:
     """One row for each piece of each document: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     NULL and empty texts are one piece that holds only the end id. Repeated rows are packed each. Other columns
-    are ignored. Documents beyond `capacity` are cut, all others stay whole.
+    are ignored, an empty table gives no rows, a NULL doc_id is kept as it is. Documents beyond `capacity`, however
+    long, are cut into full pieces and a last one; all others stay whole. Ties in length are broken by bucket and doc_id.
     """
     return pack(materialize(tokenize_pieces(docs, tokenizer_path, capacity), "pieces"), capacity)

@@ -10,15 +10,18 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-
-import numpy as np
+from codecs import charmap_decode
+from struct import pack
 
 #: Entries kept by a worker before it starts anew: bounds memory, never changes a result.
 MEMO_ENTRIES = 700_000
 
-#: Letters that are one code point under NFC and whose lower case is one code point, then plain marks.
-_PLAIN = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:|$%&*#]*)\Z")
+#: Letters that are one code point under NFC and whose lower case is one code point, and marks that may follow them.
+_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+\Z").match
+_MARKS = ".,!?;:|$%&*#"
 _WORDS = re.compile(r"[^\t-\r ]+").findall
+#: Controls at which str.split cuts and the tokenizer does not.
+_SEPARATORS = re.compile("[\x1c-\x1f]").search
 
 
 def _byte_chars() -> list[str]:
@@ -28,7 +31,7 @@ def _byte_chars() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
-_CHARS = _byte_chars()
+_CHARS = "".join(_byte_chars())
 
 
 def file_version(path: str) -> str:
@@ -39,6 +42,18 @@ def file_version(path: str) -> str:
         return hashlib.sha256(f.read() + tokenizers.__version__.encode()).hexdigest()
 
 
+class _Known(dict):
+    """What each word stands for; a word that is not there is worked out once."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, word: str):
+        got = self[word] = self.find(word)
+        return got
+
+
 class _Memo:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -46,20 +61,22 @@ class _Memo:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
-        self.known: dict = {}
-        self.parts: dict[str, tuple[int, ...]] = {}
+        self.known = _Known(self._word)
+        self.parts: dict[str, bytes] = {}
 
-    def _library(self, text: str) -> tuple[int, ...]:
-        return tuple(self.tokenizer.encode(text, add_special_tokens=False).ids)
+    def _library(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return pack(f"<{len(ids)}I", *ids)
 
-    def _part(self, pretoken: str) -> tuple[int, ...]:
-        """Ids of one pretoken, merged by the library's model."""
+    def _part(self, pretoken: str) -> bytes:
+        """Ids of one pretoken, merged by the library's model, as little-endian uint32 bytes."""
         got = self.parts.get(pretoken)
         if got is None:
             if len(self.parts) > MEMO_ENTRIES:
                 self.parts.clear()
-            chars = pretoken if pretoken.isascii() and " " not in pretoken else "".join(_CHARS[b] for b in pretoken.encode())
-            got = self.parts[pretoken] = tuple(t.id for t in self.merge(chars))
+            chars = pretoken if pretoken.isascii() and " " not in pretoken else charmap_decode(pretoken.encode(), "strict", _CHARS)[0]
+            ids = [t.id for t in self.merge(chars)]
+            got = self.parts[pretoken] = pack(f"<{len(ids)}I", *ids)
         return got
 
 
@@ -67,21 +84,16 @@ class LowerWordIds(_Memo):
     """word_bpe_49k.json: lower case, white space dropped; the ids of a text as little-endian uint32 bytes."""
 
     def _word(self, word: str) -> bytes:
-        m = _PLAIN.match(word)
-        ids = self._part(m[2].lower()) + (self._part(m[3]) if m[3] else ()) if m else self._library(word)
-        return np.array(ids, "<u4").tobytes()
+        core = word.rstrip(_MARKS)
+        if core.isalpha() and (core.isascii() or _LETTERS(core)):
+            ids = self._part(core.lower())
+            return ids if len(core) == len(word) else ids + self._part(word[len(core) :])
+        return self._library(word)
 
     def ids(self, text: str) -> bytes:
-        words, known = _WORDS(text), self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
+        words, known = _WORDS(text) if _SEPARATORS(text) else text.split(), self.known
         if len(known) > MEMO_ENTRIES:
             known.clear()
-        for w in words:
-            if w not in known:
-                known[w] = self._word(w)
         return b"".join(map(known.__getitem__, words))
 
 
@@ -91,12 +103,13 @@ class ByteWordCounts(_Memo):
     def _word(self, word: str) -> int:
         """Tokens of a space-led or leading word; -1 where white space at its edges needs the whole text."""
         bare = word[1:] if word[:1] == " " else word
+        core = bare.rstrip(_MARKS)
+        if core.isalpha() and (core.isascii() or _LETTERS(core)):
+            n = len(self._part(word[: len(word) - len(bare) + len(core)]))
+            return (n if len(core) == len(bare) else n + len(self._part(bare[len(core) :]))) // 4
         if not bare or bare != bare.strip():
             return -1
-        m = _PLAIN.match(word)
-        if m:
-            return len(self._part(m[1] + m[2])) + (len(self._part(m[3])) if m[3] else 0)
-        return len(self._library(word))
+        return len(self._library(word)) // 4
 
     def count(self, text: str) -> int:
         if not text:
@@ -104,18 +117,13 @@ class ByteWordCounts(_Memo):
         known, total = self.known, 0
         if len(known) > MEMO_ENTRIES:
             known.clear()
-        get = known.get
-        for k, line in enumerate(text.split("\n")):
-            total += k > 0
-            for j, part in enumerate(line.split(" ")):
-                word = " " + part if j else part
-                n = get(word)
-                if n is None:
-                    n = known[word] = self._word(word)
-                if n < 0:
-                    return len(self._library(text))
-                total += n
-        return total
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            counts = [known[first], *map(known.__getitem__, [" " + w for w in rest])]
+            if min(counts) < 0:
+                return len(self._library(text)) // 4
+            total += 1 + sum(counts)
+        return total - 1
 
 
 _made: dict[tuple[type, str], _Memo] = {}

@@ -134,6 +134,32 @@ def test_plan_covers_the_histogram(counts):
     plan = packing.solve(h, 32, 60)
     assert (sum(c * t for c, t in plan) == h).all()
     assert all(c @ np.arange(33) <= 32 for c, _ in plan)
+    room: list[int] = []  # best fit decreasing, piece by piece
+    for length in np.repeat(np.arange(33), h)[::-1].tolist():
+        fits = [r for r in room if r >= length]
+        if fits:
+            room.remove(min(fits))
+        room.append((min(fits) if fits else 32) - length)
+    assert sum(t for _, t in packing.best_fit(h, 32)) == len(room) >= sum(t for _, t in plan)
+
+
+def test_plan_is_no_worse_than_best_fit():
+    r, cap = np.random.default_rng(1), 2048
+    draws = [r.lognormal(5.5, 1, 20_000), r.integers(700, 1400, 9_000), r.integers(1, 2049, 9_000), r.integers(600, 760, 20_000), r.exponential(300, 20_000)]
+    won = 0
+    for x in draws:
+        h = np.bincount(np.clip(x.astype(int), 1, cap), minlength=cap + 1)
+        plan, plain = packing.solve(h, cap), sum(t for _, t in packing.best_fit(h, cap))
+        assert (sum(c * t for c, t in plan) == h).all() and sum(t for _, t in plan) <= plain
+        won += sum(t for _, t in plan) < plain
+    assert won
+
+
+def test_packing_keeps_ids(spark):
+    big = (1 << 60) + 7
+    df = spark.createDataFrame([(big, "a b"), (None, "c"), (None, None), (big, "other text under one id"), (0, "d")], "doc_id long, text string").coalesce(1)
+    rows = packing.pack_documents(df, LOWER, 64).collect()
+    assert Counter(r["doc_id"] for r in rows) == {big: 2, None: 2, 0: 1}
 
 
 # --- 5, 9: repeats
