@@ -365,6 +365,50 @@ def test_leaks(spark, docs, nothing):
     assert decontaminate.leaks(nothing, bench).count() == 0 and decontaminate.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_leaks_against_brute_force(spark):
+    r = np.random.default_rng(5)
+    vocabulary = [f"w{k}" for k in range(60)]
+    items = [" ".join(r.choice(vocabulary, r.integers(4, 40))) + ". " + " ".join(r.choice(vocabulary, r.integers(2, 20))) for _ in range(60)]
+    texts = []
+    for k in range(30):
+        w = list(r.choice(vocabulary, 300))
+        for _ in range(r.integers(0, 4)):
+            own = items[r.integers(0, 60)].split()
+            for _ in range(r.integers(0, 4)):
+                own[r.integers(0, len(own))] = "edit"
+            at = r.integers(0, 300)
+            w[at:at] = own
+        texts.append(" ".join(w))
+    index = decontaminate.Index(list(enumerate(items)))
+    prober = decontaminate.Prober(index, 0.5)
+    step = prober.passage // 2
+    want = set()
+    for d, t in enumerate(texts):
+        x = [prober._word(w) for w in t.split()]
+        for begin in range(0, max(1, len(x) - step), step):
+            p = x[begin : begin + prober.passage]
+            held = {a * index.base + b for a, b in zip(p, p[1:], strict=False) if a >= 0 and b >= 0} | {a * index.base + index.base - 1 for a in p if a >= 0}
+            for i in range(60):
+                score = sum(x[l.index(i)] for t_, (l, x, _) in zip(index.keys.tolist(), index.lists, strict=True) if t_ in held and i in l)
+                shares = [len(s & decontaminate._shingles_of(p, len(next(iter(s))))) / len(s) if s else 1.0 for s in index.parts[i]]
+                if score >= 0.5 - 1e-9 and min(shares) >= 0.8:
+                    want.add((d, i))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    one, many = ({(x["doc_id"], x["item_id"]): x["score"] for x in decontaminate.leaks(df, bench, shard_bytes=n).collect()} for n in (1 << 20, 700))
+    assert set(one) == want and len(want) > 10 and one == many
+
+
+def test_any_passage_counts(spark):
+    w = [f"q{k}" for k in range(30)]
+    item = " ".join(w[:24]) + ". " + " ".join(w[24:30])
+    close = [*w[:10], "edit", *w[11:24]]
+    first = " ".join([*close, *w[24:30]])  # question 15 of 20, answer whole
+    rows = [((1 << 60) + 7, first + " " + passage(400, 3) + " " + " ".join(w[:24])), (None, item), (None, "nothing of it"), ((1 << 60) + 9, item + " " + passage(300, 4) + " " + item.replace("q29", "other"))]
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), spark.createDataFrame([(None, item)], "item_id long, text string"), similar=0.75).collect()}
+    assert got == {((1 << 60) + 7, None), (None, None), ((1 << 60) + 9, None)}
+
+
 # --- 3, 4: spans
 
 
