@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import whole_texts
+from barloom.llm.common import numbered_texts, whole_texts, with_missing_ids
 
 MAX_TRAIN = 3000
 _words = re.compile(r"[^\t-\r ]+")
@@ -199,17 +199,18 @@ def train(docs: DataFrame, labels: DataFrame, usable=None, max_train: int = MAX_
     """Fits on at most `max_train` labelled documents for which `usable` (a column over doc_id) holds.
 
     Their ids (a bounded number) are broadcast to the documents; their texts meet in one task, which fits. Rows
-    with a NULL label or doc_id are not used. Without labels the model scores every text alike.
+    with a NULL label or doc_id are not used; of several labels of one doc_id the greatest counts, of several texts the
+    first in order; repeated rows are one by then. Without labels, or documents, the model scores every text alike.
     """
-    known = labels.select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("_toxic")).dropna()
+    known = labels.select(F.col("doc_id").cast("long").alias("_id"), F.col("toxic").cast("int").alias("_toxic")).dropna()
     if usable is not None:
         known = known.filter(usable(F.col("_id")))
-    known = known.orderBy(F.xxhash64("_id"), "_id", "_toxic").limit(max_train)
-    rows = whole_texts(docs).join(F.broadcast(known), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "_toxic").repartition(1)
+    known = known.groupBy("_id").agg(F.max("_toxic").alias("_toxic")).orderBy(F.xxhash64("_id"), "_id").limit(max_train)
+    met = whole_texts(docs).join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
+    rows = met.groupBy("doc_id", "_toxic").agg(F.min("text").alias("text")).repartition(1)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        got = pd.concat([*batches, pd.DataFrame({"doc_id": [], "text": [], "_toxic": []})])
-        got = got.sort_values(["doc_id", "text"]).drop_duplicates("doc_id")
+        got = pd.concat([*batches, pd.DataFrame({"doc_id": [], "text": [], "_toxic": []})]).sort_values("doc_id")
         yield pd.DataFrame({"model": [pickle.dumps(fit(got["text"].tolist(), got["_toxic"].astype(int).tolist()))]})
 
     row = rows.mapInPandas(run, "model binary").first()  # an empty input may leave no task to run
@@ -219,7 +220,8 @@ def train(docs: DataFrame, labels: DataFrame, usable=None, max_train: int = MAX_
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, score, spans (array of start, end, probability: code points of words with a marginal over 0.5).
 
-    NULL and empty texts get the score of no evidence; repeated rows are scored each; other columns are not read.
+    NULL and empty texts get the score of no evidence; texts of any length are read whole; repeated rows are scored
+    each; a NULL doc_id is kept; an empty table gives no rows; other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -239,9 +241,9 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
                         places = [m.span() for m in _words.finditer(texts[row])]
                         first = int(ends[row] - lengths[row])
                         spans[row] = [{"start": places[h][0], "end": places[h][1], "probability": float(p[first + h])} for h in hits]
-                yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy(), "score": s, "spans": spans})
+                yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy(), "no_id": b["no_id"].to_numpy(), "score": s, "spans": spans})
 
-    return whole_texts(docs).mapInPandas(run, "doc_id long, score double, spans array<struct<start:int,end:int,probability:double>>")
+    return with_missing_ids(numbered_texts(docs).mapInPandas(run, "doc_id long, no_id boolean, score double, spans array<struct<start:int,end:int,probability:double>>"))
 
 
 def held_out(doc_id: Column) -> Column:

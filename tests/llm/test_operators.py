@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from barloom.llm import byterepeats, decontaminate, neardup, packing, pii, quality, secrets, token_counts, toxicity, wordrepeats
@@ -96,8 +97,10 @@ def test_token_counts(spark, docs, nothing, tmp_path):
             t = text(r["doc_id"])
             n = len(_loaded[BYTE].encode(t, add_special_tokens=False).ids)
             assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(t.encode()), n, n > 1024)
-        stored = spark.read.parquet(cache)
+        stored = spark.read.option("recursiveFileLookup", True).parquet(cache)
         assert stored.count() == stored.distinct().count() == len({t or "" for t in TEXTS})  # the second call adds none
+    stored.write.parquet(cache + "/again")  # a retried append
+    assert token_counts.token_counts(docs, BYTE, cache).count() == len(TEXTS) + 2
     assert token_counts.token_counts(nothing, BYTE).count() == 0
 
 
@@ -547,6 +550,10 @@ def test_toxic_documents_are_found(spark, nothing):
     assert all(got[k]["held_out"] == (k in set(held)) for k in range(600))
     assert np.mean([got[k]["predicted"] == labels[k][1] for k in held]) > 0.95
     assert got[1000]["score"] == got[1001]["score"] < 0.5
+    mixed = spark.createDataFrame([((1 << 60) + 7, "a b"), (None, "c"), ((1 << 60) + 7, rows[0][1])], "doc_id long, text string").coalesce(1)
+    assert Counter(r["doc_id"] for r in toxicity.digest(mixed, lab).collect()) == {(1 << 60) + 7: 2, None: 1}
+    both = lab.unionByName(lab.withColumn("toxic", F.lit(0)))  # the greatest of several labels counts
+    assert toxicity.train(df.unionByName(df), both)["weights"] == toxicity.train(df, lab)["weights"]
     model = toxicity.train(df, lab)
     spans = by_id(toxicity.score(df, model))[1002]["spans"]
     assert [(s["start"], s["end"]) for s in spans] == [(2, 11)]
