@@ -46,7 +46,9 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts.token_counts(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+    """Counts are kept from run to run where the session names a folder for them; else a run starts with none."""
+    cache = spark.conf.get("spark.barloom.tokenCache", None)
+    return token_counts.token_counts(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), cache, limit=1024)
 
 
 QUERIES = {f.__name__: f for f in (op1_decontamination, op2_near_dedup, op3_secret_scan, op4_pii, op5_substring_dedup, op6_quality_rules, op7_best_fit_packing, op8_toxicity, op9_suffix_dedup, op10_token_counts)}
