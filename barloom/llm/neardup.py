@@ -3,11 +3,12 @@
 A document is the weighted set of its five-word shingles: term frequency times an inverse document frequency. The
 frequency of a shingle is taken from its words (the mean over the five) and damped to 1 .. 1 + IDF_SHARE, so
 that one rare edit does not outweigh a page of common text and 0.8 keeps its meaning. Frequencies are counted over
-all documents; only words in at least one of IDF_FLOOR documents differ from the greatest value, so the table
-that is broadcast has at most IDF_FLOOR times the mean number of different words of a document.
+all documents; only words in at least one of IDF_FLOOR documents, and of them the IDF_WORDS most frequent ones, weigh less
+than a word met once: this is the weight's definition, and it bounds the table that is broadcast to 4 MB.
 
 Each set is sketched by improved consistent weighted sampling (two sets agree in a sample with the probability of
-their weighted Jaccard similarity), cut into bands. Equal texts are one item from the start. Documents that
+their weighted Jaccard similarity), cut into bands. Equal texts are one item from the start, named by their digest and
+a number: doc_ids, which may be missing or shared, play no part until the end. Items that
 share a band meet in chunks of bounded size, drawn anew for each band, and are compared by a byte of each sample and by
 short outlines. A chunk
 gives the pairs that hold its likely classes together (to hubs, among hubs, and to the most similar ones), a few a
@@ -36,6 +37,7 @@ SHINGLE = 5
 ROWS, BANDS = 4, 11
 IDF_FLOOR = 256
 IDF_SHARE = 0.25
+IDF_WORDS = 1 << 18
 #: Documents of one band value that meet in a task.
 CHUNK = 512
 #: How often the hubs of the chunks of one band value meet again; what has not met by then does in `crossing_pairs`.
@@ -120,7 +122,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def word_shares(texts: DataFrame, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """(digests, idf from 0 to 1) of words in at least one of IDF_FLOOR documents; all others have 1."""
+    """(digests, idf from 0 to 1) of the most frequent words; all others have 1."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -134,7 +136,7 @@ def word_shares(texts: DataFrame, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
             yield pd.DataFrame({"word": w[first].view(np.int64), "df": np.diff(np.append(first, len(w)))})
 
     df = texts.select("text").mapInPandas(run, "word long, df long").groupBy("word").agg(F.sum("df").alias("df"))
-    rows = df.filter(F.col("df") * IDF_FLOOR >= n_docs).collect()
+    rows = df.filter(F.col("df") * IDF_FLOOR >= n_docs).orderBy(F.col("df").desc(), "word").limit(IDF_WORDS).collect()
     words = np.array([r["word"] for r in rows], np.int64).view(np.uint64)
     share = np.array([max(0.0, np.log(max(n_docs, 1) / r["df"])) / np.log(IDF_FLOOR) for r in rows])
     order = np.argsort(words)
@@ -321,16 +323,17 @@ def crossing_pairs(signed: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
-    """(a, b, similarity) of the pairs at or above the threshold, from the whole texts of both."""
+    """(a, b, similarity) of the pairs at or above the threshold, from the whole texts of both; `pairs` has the digests
+    da and db beside a and b, `texts` has digest and text, copies and all."""
     spark = pairs.sparkSession
     shared = spark.sparkContext.broadcast(idf)
-    spread = texts.repartition(width(spark), "doc_id")
-    sizes = pairs.groupBy("a").agg(F.count("*").alias("_n"))
+    spread = texts.groupBy("digest").agg(F.first("text").alias("text"))
+    sizes = pairs.groupBy("a", "da").agg(F.count("*").alias("_n"))
     salts = F.greatest(F.lit(1), F.ceil(F.col("_n") / 64)).cast("int")
-    members = pairs.join(sizes, "a").select("a", F.col("b").alias("doc_id"), F.pmod(F.xxhash64("b"), salts).cast("int").alias("salt"))
-    members = members.join(spread, "doc_id").select("a", "salt", F.lit(1).alias("role"), "doc_id", "text")
-    leaders = sizes.select(F.col("a").alias("doc_id"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
-    leaders = leaders.join(spread, "doc_id").select(F.col("doc_id").alias("a"), "salt", F.lit(0).alias("role"), "doc_id", "text")
+    members = pairs.join(sizes.drop("da"), "a").select("a", F.col("b").alias("doc_id"), F.col("db").alias("digest"), F.pmod(F.xxhash64("b"), salts).cast("int").alias("salt"))
+    members = members.join(spread, "digest").select("a", "salt", F.lit(1).alias("role"), "doc_id", "text")
+    leaders = sizes.select("a", F.col("da").alias("digest"), salts.alias("salts")).join(spread, "digest")
+    leaders = leaders.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"), F.col("a").alias("doc_id"), "text")
     dealt = members.unionByName(leaders).repartition(width(spark), "a", "salt").sortWithinPartitions("a", "salt", "role")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -370,51 +373,78 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select(F.col("a").alias("doc_id"), F.col("label").alias("class_id"))
 
 
-def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """doc_id, class_id (the least doc_id of the class), n_links (of its text), a row for each row of `docs`.
-
-    n_links counts the links that were verified: all but those inside a class that share only band values of more than
-    SMALL documents, of which it holds those that were needed to find the class.
-
-    Equal texts, NULL and empty ones included, are one class. Texts without words are like no other text. An empty
-    table gives no rows; other columns are not read; a NULL doc_id takes the class of its text. Repeated rows are one
-    item; different texts under one doc_id are joined through it.
-    """
+def class_table(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """A stored table with one row for each different text: digest (its MD5), class_id, n_links, keeper (the digest of the
+    text that stands for its class), keeper_id (the least doc_id of that text)."""
     spark = docs.sparkSession
-    texts = whole_texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    keyed = texts.select("doc_id", F.unhex(F.md5("text")).alias("_digest"))
-    reps = keyed.groupBy("_digest").agg(F.min("doc_id").alias("rep"))
+    texts = whole_texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5("text")).alias("digest"), "text")
+    named = texts.groupBy("digest").agg(F.min("doc_id").alias("least"))
+    named = materialize(named.withColumn("node", F.monotonically_increasing_id()), "named-texts")
     n_docs = docs.count()
     idf = word_shares(texts, n_docs)
     shared = spark.sparkContext.broadcast(idf)
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            ids = b["doc_id"].to_numpy()
-            for at in range(0, len(b), 2000):
-                part = b["text"].iloc[at : at + 2000].tolist()
-                g, w, counts = shingles(part, shared.value)
+        for whole in batches:
+            whole = whole.drop_duplicates("digest")
+            for at in range(0, len(whole), 2000):
+                b = whole.iloc[at : at + 2000]
+                g, w, counts = shingles(b["text"].tolist(), shared.value)
                 if not len(g):
                     continue
                 s = sketches(g, w, counts, ROWS * BANDS)
                 bands = np.stack([_mix(rolling_row(s[:, ROWS * k : ROWS * k + ROWS])) for k in range(BANDS)], 1).view(np.int64)
-                yield pd.DataFrame({"doc_id": ids[at : at + 2000][counts > 0], "sketch": [x.tobytes() for x in np.hstack([outlines(g, counts), s.astype(np.uint8)])], "bands": list(bands)})
+                yield pd.DataFrame({"digest": b["digest"][counts > 0], "sketch": [x.tobytes() for x in np.hstack([outlines(g, counts), s.astype(np.uint8)])], "bands": list(bands)})
+
+    signed = texts.select("digest", "text").mapInPandas(sign, "digest binary, sketch binary, bands array<long>")
+    signed = signed.join(named, "digest").select(F.col("node").alias("doc_id"), "sketch", "bands").dropDuplicates(["doc_id"])
+    signed = materialize(signed, "sketches")
+    ends = [named.select(F.col("node").alias(x), F.col("digest").alias(f"d{x}")) for x in "ab"]
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return materialize(verified(pairs.join(ends[0], "a").join(ends[1], "b"), texts.select("digest", "text"), idf, threshold).dropDuplicates(["a", "b"]), "links")
 
-    signed = texts.filter("doc_id IS NOT NULL").mapInPandas(sign, "doc_id long, sketch binary, bands array<long>")
-    signed = materialize(signed.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]), "sketches")
     pairs = materialize(candidate_pairs(signed), "pairs")
-    links = materialize(verified(pairs, texts, idf, threshold).dropDuplicates(["a", "b"]), "links")
+    links = linked(pairs)
     found = components(links)
     crossing = materialize(crossing_pairs(signed, found).join(pairs, ["a", "b"], "left_anti"), "crossing")
     if not crossing.isEmpty():
-        more = materialize(verified(crossing, texts, idf, threshold).dropDuplicates(["a", "b"]), "links")
-        links = links.unionByName(more)
+        links = links.unionByName(linked(crossing))
         found = components(links)
-    found = found.withColumnRenamed("doc_id", "rep")
-    degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("n"))
-    known = reps.join(found, "rep", "left").join(degree, "rep", "left").select("_digest", F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("n", F.lit(0)).alias("n_links"))
-    # stored, so that no aggregation stands before the join and a hot text's rows can be split
-    return keyed.join(materialize(known, "classes"), "_digest").select("doc_id", "class_id", "n_links")
+    found = found.withColumnRenamed("doc_id", "node")
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n"))
+    known = named.join(found, "node", "left").join(degree, "node", "left").select("digest", "least", F.coalesce("class_id", "node").alias("class"), F.coalesce("n", F.lit(0)).alias("n_links"))
+    known = materialize(known, "classes")
+    order = F.struct(F.col("least").isNull().alias("none"), "least", "digest")
+    keepers = materialize(known.groupBy("class").agg(F.min(order).alias("k")), "keepers")
+    # stored, so that no aggregation stands before the joins and a large class or a hot text can be split
+    known = known.join(keepers, "class").select("digest", F.col("k.least").alias("class_id"), "n_links", F.col("k.digest").alias("keeper"), F.col("k.least").alias("keeper_id"))
+    return materialize(known, "class-table")
+
+
+def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """doc_id, class_id (the least doc_id of the class), n_links (of its text), a row for each row of `docs`.
+
+    n_links counts the links that were verified: all but those inside a class that share only band values of more than
+    SMALL documents, of which it holds those that were needed to find the class.
+
+    Equal texts, NULL and empty ones included, are one class. Texts without words are like no other text. Different texts
+    under one doc_id are items of their own; a NULL doc_id takes the class of its text, and a class of such rows
+    alone has the class_id NULL. Texts of any length are read whole, repeated rows are one item, an empty table gives
+    no rows, other columns are not read.
+    """
+    keyed = whole_texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5("text")).alias("digest"))
+    return keyed.join(class_table(docs, threshold), "digest").select("doc_id", "class_id", "n_links")
+
+
+def keepers(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """The rows of `docs` that stand for their class, with all their columns: of each class one row, the text with the least
+    doc_id (rows with a NULL doc_id stand only for classes that have no other)."""
+    table = class_table(docs, threshold)
+    kept = table.filter("digest = keeper").select("digest", "keeper_id")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.unhex(F.md5(F.coalesce(F.col("text"), F.lit("")))).alias("digest"))
+    met = rows.join(kept, "digest").filter(F.col("_id").eqNullSafe(F.col("keeper_id")))
+    return met.dropDuplicates(["digest"]).select("_row.*")
 
 
 def rolling_row(x: np.ndarray) -> np.ndarray:

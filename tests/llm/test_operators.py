@@ -270,6 +270,31 @@ def test_near_duplicate_recall_on_the_table(spark):
                 assert s > 0.0 or got[a] != got[b]
 
 
+def test_near_duplicate_classes_do_not_hang_on_ids(spark):
+    x, y, big = passage(200, 80), passage(200, 81), (1 << 60) + 7
+    rows = [(1, x), (1, y), (2, x + " tail"), (3, y + " tail"), (None, passage(200, 82)), (None, passage(200, 82) + " tail"), (None, passage(90, 83)), (big, passage(90, 84)), (big, passage(90, 84)), (big + 1, passage(90, 84) + " t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = Counter((r["doc_id"], r["class_id"], r["n_links"]) for r in neardup.classes(df).collect())
+    assert got == {(1, 1, 1): 2, (2, 1, 1): 1, (3, 1, 1): 1, (None, None, 1): 2, (None, None, 0): 1, (big, big, 1): 2, (big + 1, big, 1): 1}
+    left = [(r["doc_id"], r["text"]) for r in neardup.keepers(df).collect()]
+    assert sorted(i for i, _ in left if i) == [1, 1, big] and len(left) == 5 and {x, y} <= {t for _, t in left}
+
+
+def test_near_duplicate_recall_at_the_threshold(spark):
+    r, rows = np.random.default_rng(70), []
+    for k in range(150):  # pairs with shares of own words about the threshold
+        w = words(300, 7000 + k)
+        other = list(w)
+        for at in r.permutation(60)[: r.integers(4, 9)]:
+            other[5 * at] = f"own{k}x{at}"
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(other))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {x["doc_id"]: x["class_id"] for x in neardup.classes(df).collect()}
+    want = _links(df, len(rows))
+    assert len(want) > 60 and np.mean([got[a] == got[b] for a, b in want]) >= 0.99
+    assert sum(got[2 * k] == got[2 * k + 1] for k in range(150)) <= len(want)
+
+
 def test_near_duplicates_of_repeated_lines(spark):
     line = passage(10, 7) + "\n"
     rows = [(1, line * 400), (2, line * 380 + passage(10, 8)), (3, passage(300, 9))]
