@@ -98,3 +98,24 @@ def test_oracles(spark):
         names = sorted(got.columns)
         want = db.execute(f"select {', '.join(names)} from ({sql}) x").fetchall()
         assert sorted(map(tuple, got.select(names).collect())) == sorted(want), name
+
+
+def test_hostile_tables(spark, tmp_path):
+    big = (1 << 60) + 7
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first()["text"]
+    clean = [f"the {k} river " + " ".join(f"word{k}x{j}" for j in range(60)) for k in range(6)]
+    bad = clean[4] + " " + item
+    rows = [(1, clean[0]), (1, clean[1]), (1, clean[2]), (None, clean[0]), (None, clean[3]), (None, bad), (None, None), (None, ""), (big, clean[5]), (big, clean[5]), (big + 1, clean[5] + " end")]
+    df = spark.createDataFrame([(i, t, None, "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").coalesce(1)
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs, kept = spark.read.parquet(f"{tmp_path}/documents.parquet"), []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        kept.append(sorted(((r["doc_id"], r["text"]) for r in docs.collect()), key=str))
+    left = sorted([(1, clean[0]), (1, clean[1]), (1, clean[2]), (None, clean[3]), (None, bad), (big, clean[5])], key=str)
+    assert len(kept[0]) == 9 and kept[1] == left and kept[2] == kept[3] == [x for x in left if x[1] != bad]
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter(r["doc_id"] for r in out) == {1: 3, None: 1, big: 1}
+    df.limit(0).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
