@@ -2,14 +2,14 @@
 
 A window is 35 words. Every document is cut into non-overlapping reference blocks of 18 words; any window holds at
 least one whole block, so a window that occurs twice is found by probing the index of blocks with every rolling
-18-word window. Anchors that meet are then extended: all windows around them are compared by a digest of their
-35 words, which leaves exactly the maximal repeats, and every word under one is removed.
+18-word window. Anchors that meet are then extended: all windows around them are compared by 96 bits of digest beside
+their bucket, which leaves exactly the maximal repeats, and every word under one is removed.
 
 Only digests travel. A batch of documents sends each bucket of the index one row of packed arrays (32 bits a probe
 within its bucket, the position as a difference), at most one probe for each different sequence of the batch, so
 a passage that a third of all documents share costs a bucket one probe for each batch. Answers go back as
-positions by batch. The number of buckets follows the number of shuffle partitions, so a bucket's size does not
-grow with the corpus. Texts are dealt out once by row and read twice from that exchange.
+positions by batch. The number of buckets follows the bytes of all texts, so that no bucket grows with the corpus, and
+buckets are dealt out evenly. Texts are dealt out once by row and read twice from that exchange.
 """
 
 from __future__ import annotations
@@ -18,20 +18,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import width
+from barloom.llm.common import numbered_texts, width, with_missing_ids
 
 CHUNK = 1 << 21
 PART_CHARS = 6 << 20
-BASE = int(0x9E3779B97F4A7C15)
+BASE, OTHER = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+#: Words of more bytes are digested one by one.
+LONG_WORD = 256
 ROWS = "route long, batch long, kind int, a binary, b binary, c binary"
 ASK, TABLE, KNOWN = 0, 1, 2
-#: What names a row of the input, the same in each scan of it: its doc_id and a digest of its text.
-KEY = ["_id", "_text"]
-NO_ID = -(1 << 62)
+#: What names a row of the input, the same in each scan of it: its doc_id, or that it has none, and 128 bits of its text.
+KEY = ["_id", "_none", "_text", "_more"]
+#: Text bytes of a bucket of the index.
+BUCKET_BYTES = 8 << 20
+_lane = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 _space = np.zeros(256, bool)
 _space[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -42,34 +47,46 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    up, down = np.full(max(n, 1), base, np.uint64), np.full(max(n, 1), pow(base, -1, 1 << 64), np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+def _pairs(x: np.ndarray, y: np.ndarray, base: int) -> np.ndarray:
+    return _mix(x * np.uint64(base) + y)
 
 
-_table: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+def _levels(values: np.ndarray, size: int, base: int) -> dict[int, np.ndarray]:
+    """Digests of every 1, 2, 4 .. consecutive values, up to `size`."""
+    out, span = {1: values}, 1
+    while span * 2 <= size:
+        out[span * 2] = _pairs(out[span][:-span], out[span][span:], base)
+        span *= 2
+    return out
 
 
-def _scaled(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of `base` and of its inverse modulo 2**64, kept up to a few chunks."""
-    if n > 4 * CHUNK:
-        return _powers(n, base)
-    if base not in _table or len(_table[base][0]) < n:
-        _table[base] = _powers(max(n, CHUNK), base)
-    up, down = _table[base]
-    return up[:n], down[:n]
+def _chained(levels: dict[int, np.ndarray], spans: list[int], n: int, base: int) -> np.ndarray:
+    out, at = None, 0
+    for span in spans:
+        part = levels[span][at : at + n]
+        out, at = part if out is None else _pairs(out, part, base), at + span
+    return out
 
 
 def rolling(values: np.ndarray, size: int, base: int = BASE) -> np.ndarray:
-    """Digests of every `size` consecutive values."""
-    n = len(values)
-    if n < size:
+    """Digests of every `size` consecutive values: of halves, mixed again at each level, not a sum of powers, in which
+    patterned sequences could cancel out."""
+    n = len(values) - size + 1
+    if n < 1:
         return np.empty(0, np.uint64)
-    up, down = _scaled(n, base)
-    s = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * down, out=s[1:])
-    return _mix((s[size:] - s[:-size]) * up[: n - size + 1])
+    return _chained(_levels(values, size, base), [1 << k for k in range(size.bit_length()) if size >> k & 1], n, base)
+
+
+def rolling_twice(values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two digests of every `size` consecutive values that cut them in different places."""
+    n = len(values) - size + 1
+    if n < 1:
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    spans = [1 << k for k in range(size.bit_length()) if size >> k & 1]
+    levels = _levels(values, size, BASE)
+    if len(spans) == 1:
+        return levels[size], rolling(values, size, OTHER)
+    return _chained(levels, spans, n, BASE), _chained(levels, spans[::-1], n, OTHER)
 
 
 def word_places(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -83,12 +100,17 @@ def word_digests(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     out, counts = [], np.zeros(len(texts), np.int64)
 
     def take(data: bytes, owners: list[int], ends: list[int]) -> None:
-        raw = np.frombuffer(data, np.uint8)
-        up, down = _scaled(len(raw), BASE)
-        s = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum(_mix(raw.astype(np.uint64) + np.uint64(1)) * down, out=s[1:])
         a, b = word_places(data)
-        out.append(_mix((s[b] - s[a]) * up[a] + (b - a).astype(np.uint64)) if len(a) else np.empty(0, np.uint64))
+        size = b - a
+        eight = np.ndarray(len(data) + 1, "<u8", data + bytes(8), strides=(1,))  # the eight bytes from each place on
+        h = _mix((size.astype(np.uint64) + np.uint64(1)) * np.uint64(BASE))
+        for k in range(0, min(int(size.max(initial=0)), LONG_WORD), 8):
+            left = np.flatnonzero(size > k) if k else slice(None)
+            rest = np.minimum(size[left] - k, 8)
+            h[left] = _mix(h[left] ^ (eight[a[left] + k] & _lane[rest]))
+        for k in np.flatnonzero(size > LONG_WORD):
+            h[k] = xxhash.xxh3_64_intdigest(data[a[k] : b[k]])
+        out.append(h)
         np.add.at(counts, owners, np.diff(np.searchsorted(a, [0, *ends])))
 
     held, owners, ends, total = [], [], [], 0
@@ -212,22 +234,23 @@ def answer(asked: DataFrame, extra_bytes: int, need_block: bool) -> DataFrame:
         if rows:
             yield settle(rows)
 
-    dealt = asked.repartition(width(asked.sparkSession), "route").sortWithinPartitions("kind", "route", "batch")
+    n = width(asked.sparkSession)
+    dealt = asked.repartitionById(n, F.pmod("route", F.lit(n)).cast("int")).sortWithinPartitions("kind", "route", "batch")
     return dealt.mapInPandas(run, "batch long, kind int, a binary, b binary, c binary")
 
 
 def deliver(answers: DataFrame) -> DataFrame:
-    """(_id, _text, places): the places of each document, packed; documents without any are left out.
+    """(KEY, places): the places of each document, packed; documents without any are left out.
 
     Equal rows are the same document more than once. All their windows repeat, so each of them has the same places.
     """
 
     def settle(rows: list[tuple]) -> pd.DataFrame:
         table = next(r for r in rows if r[1] == TABLE)
-        ids, counts = np.frombuffer(table[2], "<i8").reshape(-1, 2), np.frombuffer(table[3], "<i8")
+        ids, counts = np.frombuffer(table[2], "<i8").reshape(-1, len(KEY)), np.frombuffer(table[3], "<i8")
         at = np.unique(np.concatenate([unpack_rising(r[4]) for r in rows]))
         if not len(at):
-            return pd.DataFrame({"_id": [], "_text": [], "places": []}).astype({"_id": "int64", "_text": "int64"})
+            return pd.DataFrame({**{k: np.empty(0, np.int64) for k in KEY}, "places": []})
         end = np.cumsum(counts)
         doc = np.searchsorted(end, at, "right")
         cut = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
@@ -235,7 +258,7 @@ def deliver(answers: DataFrame) -> DataFrame:
         for s, e in zip(cut, np.append(cut[1:], len(at)), strict=True):
             k = doc[s]
             out.append((*ids[k], pack_rising(at[s:e] - (end[k] - counts[k]))))
-        return pd.DataFrame(out, columns=["_id", "_text", "places"])
+        return pd.DataFrame(out, columns=[*KEY, "places"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, rows = None, []
@@ -250,7 +273,7 @@ def deliver(answers: DataFrame) -> DataFrame:
             yield settle(rows)
 
     dealt = answers.repartition(width(answers.sparkSession), "batch").sortWithinPartitions("batch", "kind")
-    return dealt.mapInPandas(run, "_id long, _text long, places binary").dropDuplicates(KEY)
+    return dealt.mapInPandas(run, ", ".join(f"{k} long" for k in KEY) + ", places binary").dropDuplicates(KEY)
 
 
 def _numbered(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame]]:
@@ -283,7 +306,7 @@ def probe_blocks(docs: DataFrame, block: int, buckets: int) -> DataFrame:
 
 
 def compare_windows(joined: DataFrame, window: int, block: int, buckets: int) -> DataFrame:
-    """Requests for all windows that hold an anchor: 64 bits and 16 of another digest."""
+    """Requests for all windows that hold an anchor: 32 bits of one digest and 64 of another."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch, b in _numbered(batches):
@@ -291,13 +314,13 @@ def compare_windows(joined: DataFrame, window: int, block: int, buckets: int) ->
             end = np.cumsum(counts)
             anchors = [unpack_rising(p) + e - c for p, e, c in zip(b["places"], end, counts, strict=True)]
             anchors = np.concatenate([*anchors, np.empty(0, np.int64)])
-            h, other = rolling(words, window), rolling(words, window, 0xD1342543DE82EF95)
+            h, other = rolling_twice(words, window)
             near = np.zeros(len(words) + 1, np.int64)
             begin = np.repeat(end - counts, counts)
             np.add.at(near, np.maximum(begin[anchors], anchors - (window - block)), 1)
             np.add.at(near, anchors + 1, -1)
             at = np.flatnonzero((np.cumsum(near[: len(h)]) > 0) & (np.arange(len(h)) + window <= np.repeat(end, counts)[: len(h)]))
-            extra = np.concatenate([(h[at] >> np.uint64(32)).astype("<u4").view(np.uint8).reshape(-1, 4), other[at].view(np.uint8).reshape(-1, 8)[:, :2]], axis=1)
+            extra = other[at].astype("<u8").view(np.uint8).reshape(-1, 8)
             yield from ask(batch, b[KEY].to_numpy(np.int64), counts, at, h[at], extra, np.zeros(len(at), bool), buckets)
 
     return joined.mapInPandas(run, ROWS)
@@ -311,18 +334,20 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     """
     spark = docs.sparkSession
     block = (window + 1) // 2
-    buckets = 2 * width(spark)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(4 * width(spark), -(-size // BUCKET_BYTES))
     # one set of columns for both reads of the dealt texts, so that they share one exchange
-    base = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("_text", F.xxhash64("text"))
+    named = numbered_texts(docs).select(F.col("doc_id").alias("_id"), F.col("no_id").cast("long").alias("_none"), "text")
+    base = named.select("_id", "_none", "text", F.xxhash64("text").alias("_text"), F.xxhash64(F.lit(OTHER - (1 << 64)), "text").alias("_more"))
     anchors = deliver(answer(probe_blocks(base, block, buckets), 0, True))
     spread = base.repartition(width(spark), *KEY)
     joined = spread.join(anchors, KEY).select(*KEY, "text", "places").sortWithinPartitions(*KEY)
-    repeated = deliver(answer(compare_windows(joined, window, block, buckets), 6, False))
+    repeated = deliver(answer(compare_windows(joined, window, block, buckets), 8, False))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for doc, text, places in zip(b["_id"], b["text"], b["places"], strict=True):
+            for doc, none, text, places in zip(b["_id"], b["_none"], b["text"], b["places"], strict=True):
                 data = text.encode()
                 a, e = word_places(data)
                 gone = np.zeros(len(a) + 1, np.int64)
@@ -334,13 +359,13 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
                 edge = np.diff(np.concatenate([[False], covered, [False]]).astype(np.int8))
                 runs = [{"start": int(s), "end": int(t)} for s, t in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)]
                 kept = b" ".join([data[s:t] for s, t in zip(a[~covered].tolist(), e[~covered].tolist(), strict=True)])
-                rows.append((doc, len(a), runs, kept.decode()))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_words", "removed", "kept"])
+                rows.append((doc, none > 0, len(a), runs, kept.decode()))
+            yield pd.DataFrame(rows, columns=["doc_id", "no_id", "n_words", "removed", "kept"])
 
-    out = spread.join(repeated, KEY, "left").select("_id", "text", "places").mapInPandas(
-        cut, "doc_id long, n_words long, removed array<struct<start:long,end:long>>, kept string"
+    out = spread.join(repeated, KEY, "left").select("_id", "_none", "text", "places").mapInPandas(
+        cut, "doc_id long, no_id boolean, n_words long, removed array<struct<start:long,end:long>>, kept string"
     )
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(NO_ID)))
+    return with_missing_ids(out)
 
 
 def digest(removed: DataFrame) -> DataFrame:

@@ -187,6 +187,23 @@ def test_word_repeats(docs, nothing):
     assert wordrepeats.remove_repeats(nothing).count() == 0
 
 
+def test_word_digests_tell_patterned_words_apart(spark):
+    a = [0]
+    while len(a) < 2048:
+        a += [1 - x for x in a]
+    one, two = ("".join("ab"[x] for x in a), "".join("ba"[x] for x in a))
+    common = " ".join(words(34, 5))
+    rows = [(1, common + " " + one), (2, common + " " + two), ((1 << 60) + 7, common + " " + one[:300]), (None, "x")]
+    got = wordrepeats.digest(wordrepeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))).collect()
+    assert {(r["doc_id"], r["n_removed"]) for r in got} == {(1, 0), (2, 0), ((1 << 60) + 7, 0), (None, 0)}
+    swapped = [np.array([[3, 5], [5, 3]][k], np.uint64)[np.array(a[:32])] for k in (0, 1)]
+    assert all(x[0] != y[0] for x, y in [(wordrepeats.rolling(s, 32), wordrepeats.rolling(t, 32)) for s, t in [swapped]])
+    data = [w.encode() for w in [" ".join(words(500, 6)), "é" * 200 + " " + "é" * 100, "a" * 7 + " " + "a" * 8 + " " + "a" * 9 + " a" * 3]]
+    digests, counts = wordrepeats.word_digests(data)
+    every = [w for d in data for w in d.split()]
+    assert counts.sum() == len(every) and len(set(digests.tolist())) == len(set(every)) == len(set(zip(digests.tolist(), every)))
+
+
 def test_byte_repeats(docs, nothing, monkeypatch):
     w = 100
     got = by_id(byterepeats.digest(byterepeats.remove_repeats(docs, w)))
