@@ -3,7 +3,8 @@
 1. Each rule's regex is parsed on the driver into a Boolean query over the trigrams that every match must hold
    (an OR of ANDs). A rule without mandatory trigrams scans every text.
 2. The index is cut by document: a shard of about SHARD_DOCS documents has one posting list for each trigram that
-   some query needs, so no list grows with the corpus however common its trigram.
+   some query needs, so no list grows with the corpus however common its trigram. Every AND has an anchor, its
+   rarest trigram, without which none of its lists is of use: a text is tested for the others only behind it.
 3. Posting lists are intersected and united inside each shard; what comes out are (document, rule) candidates.
 4. Candidates are verified by the regex itself on the whole text, which also gives the spans.
 
@@ -121,19 +122,44 @@ def trigram_query(regex: str) -> list[frozenset[str]] | None:
     return None if query is None else sorted(query, key=sorted)
 
 
-def build_index(docs: DataFrame, trigrams: list[str], shard_docs: int = SHARD_DOCS) -> DataFrame:
-    """(shard, postings): postings maps each trigram to the doc_ids of the shard's documents that hold it."""
+#: Letters of running text, the common ones first; what is not among them is rarer still.
+_COMMON = "etaoinshrdlcumwfgypbvkjxqz"
+
+
+def anchors(queries: dict[str, list[frozenset[str]]]) -> dict[str, list[str]]:
+    """anchor: the further trigrams of its ANDs. Every AND holds an anchor; one that serves several counts once."""
+    waiting = [c for q in queries.values() for c in q]
+
+    def worth(t: str) -> tuple:
+        return sum(t in c for c in waiting), sum(_COMMON.find(x) % len(f"{_COMMON} ") for x in t), t
+
+    found: dict[str, set[str]] = {}
+    while waiting:
+        best = max(sorted(set().union(*waiting)), key=worth)
+        found[best] = set().union(*[c for c in waiting if best in c]) - {best}
+        waiting = [c for c in waiting if best not in c]
+    return {a: sorted(more) for a, more in found.items()}
+
+
+def build_index(docs: DataFrame, queries: dict[str, list[frozenset[str]]], shard_docs: int = SHARD_DOCS) -> DataFrame:
+    """(shard, postings): postings maps each trigram to the rows (doc_id, text_id) of the shard that hold it behind an
+    anchor; rows are named by doc_id and a digest of the text."""
     shards = max(1, math.ceil(docs.count() / shard_docs))
-    low = docs.select("doc_id", F.lower("text").alias("_low"))
-    held = low.select("doc_id", F.array_compact(F.array(*[F.when(F.contains("_low", F.lit(t)), F.lit(t)) for t in trigrams])).alias("_held"))
-    entries = held.select(F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard"), "doc_id", F.explode("_held").alias("trigram"))
-    lists = entries.groupBy("shard", "trigram").agg(F.collect_set(F.struct("doc_id")).alias("ids"))
+    low = docs.select("doc_id", "text_id", F.lower("text").alias("_low"))
+    no = F.array().cast("array<string>")
+
+    def held(t: str) -> Column:
+        return F.contains("_low", F.lit(t))
+
+    behind = [F.when(held(a), F.array_compact(F.array(F.lit(a), *[F.when(held(t), F.lit(t)) for t in more]))).otherwise(no) for a, more in anchors(queries).items()]
+    entries = low.select(F.pmod(F.xxhash64("doc_id", "text_id"), F.lit(shards)).alias("shard"), F.struct("doc_id", "text_id").alias("row"), F.explode(F.flatten(F.array(*behind))).alias("trigram"))
+    lists = entries.groupBy("shard", "trigram").agg(F.collect_set("row").alias("ids"))
     return lists.groupBy("shard").agg(F.map_from_entries(F.collect_list(F.struct("trigram", "ids"))).alias("postings"))
 
 
 def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> DataFrame:
-    """(doc_id, rules): documents whose trigrams satisfy the query of at least one rule."""
-    empty = F.array().cast("array<struct<doc_id:bigint>>")
+    """(doc_id, text_id, rules): rows whose trigrams satisfy the query of at least one rule."""
+    empty = F.array().cast("array<struct<doc_id:bigint,text_id:bigint>>")
 
     def postings(t: str) -> Column:
         return F.coalesce(F.try_element_at("postings", F.lit(t)), empty)
@@ -151,22 +177,21 @@ def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> Da
             ids = all_of(clause) if ids is None else F.array_union(ids, all_of(clause))
         found.append(F.struct(F.lit(name).alias("rule"), ids.alias("ids")))
     by_rule = index.select(F.explode(F.array(*found)).alias("f")).select("f.rule", F.explode("f.ids").alias("d"))
-    return by_rule.groupBy(F.col("d.doc_id").alias("doc_id")).agg(F.collect_set("rule").alias("rules"))
+    return by_rule.groupBy("d.doc_id", "d.text_id").agg(F.collect_set("rule").alias("rules"))
 
 
 def scan(docs: DataFrame, more: list[Rule] | None = None, carry: bool = False) -> DataFrame:
     """doc_id, text, base (spans of the base kinds) and spans (all), both sorted; with `carry` the input row as _row.
 
-    NULL and empty texts have no spans, a NULL doc_id is a value like others, repeated rows are scanned each, an
-    empty table gives no rows, other columns are not read.
+    NULL and empty texts have no spans, texts of any length are scanned whole, a NULL doc_id is a value like others,
+    repeated rows are scanned each, an empty table gives no rows, other columns are not read.
     """
     rules = BASE + (MORE if more is None else more)
     queries = {r.name: q for r in rules if (q := trigram_query(r.regex)) is not None}
     rest = ["_row"] if carry else []
-    texts = whole_texts(docs, carry).withColumn("doc_id", F.col("doc_id").cast("long"))
-    trigrams = sorted(set().union(*[c for q in queries.values() for c in q]))
-    found = candidates(build_index(texts, trigrams), queries).withColumnRenamed("doc_id", "_id")
-    d = texts.join(found, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select("doc_id", "text", *rest, "rules")
+    texts = whole_texts(docs, carry).withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text_id", F.xxhash64("text"))
+    found = candidates(build_index(texts.select("doc_id", "text", "text_id"), queries), queries).withColumnRenamed("doc_id", "_id").withColumnRenamed("text_id", "_text")
+    d = texts.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_id") == F.col("_text")), "left").select("doc_id", "text", *rest, "rules")
     parts = []
     for k, r in enumerate(rules):
         accept = (lambda v, n=r.least: F.length(v) >= n) if r.least else None

@@ -10,6 +10,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPAN_TYPE = "array<struct<start:int,kind:int,end:int,value:string>>"
+GROUP = 256
+PLACED = "array<struct<at:int,parts:array<struct<gap:string,m:string,v:string>>>>"
+
+
+def let(value: Column, body) -> Column:
+    """`body(v)` with `v` standing for `value`, worked out once: written into another lambda itself, an expression is
+    worked out again for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def no_spans() -> Column:
@@ -20,12 +28,19 @@ def find(text: Column, pattern: Column | str, kind: int, accept=None, group: int
     """Leftmost non-overlapping matches of `pattern`. `accept(value)` drops matches by their `group`, without a retry.
 
     The text between matches comes from split, the matches from regexp_extract_all: their lengths add up to places.
+    Places are summed over groups of GROUP matches, then inside each group, so that a text with very many matches
+    costs a little more than their number, not its square.
     """
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
     whole = F.regexp_extract_all(text, pattern, F.lit(0))
     judged = F.regexp_extract_all(text, pattern, F.lit(group)) if group else whole
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("m"), judged.alias("v"))
-    start = F.struct(F.lit(0).alias("at"), no_spans().alias("out"))
+
+    def grouped(p: Column) -> Column:
+        several = F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / GROUP).cast("int")), lambda k: F.slice(p, k * GROUP + 1, GROUP))
+        return F.when(F.size(p) <= GROUP, F.array(p)).otherwise(several)
+
+    groups = let(parts, grouped)
 
     def step(a: Column, p: Column) -> Column:
         at = a["at"] + F.length(p["gap"])
@@ -34,7 +49,15 @@ def find(text: Column, pattern: Column | str, kind: int, accept=None, group: int
         span = F.struct(at.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), p["m"].alias("value"))
         return F.struct(F.coalesce(end, at).alias("at"), F.when(ok, F.array_append(a["out"], span)).otherwise(a["out"]).alias("out"))
 
-    return F.when(F.regexp_like(text, pattern), F.aggregate(parts, start, step, lambda a: a["out"])).otherwise(no_spans())
+    def sizes(a: Column, g: Column) -> Column:
+        size = F.aggregate(g, F.lit(0), lambda n, p: n + F.length(p["gap"]) + F.coalesce(F.length(p["m"]), F.lit(0)))
+        return F.struct((a["at"] + size).alias("at"), F.array_append(a["out"], F.struct(a["at"].alias("at"), g.alias("parts"))).alias("out"))
+
+    def spans_of(g: Column) -> Column:
+        return F.aggregate(g["parts"], F.struct(g["at"].alias("at"), no_spans().alias("out")), step, lambda a: a["out"])
+
+    placed = F.aggregate(groups, F.struct(F.lit(0).alias("at"), F.array().cast(PLACED).alias("out")), sizes, lambda a: a["out"])
+    return F.when(F.regexp_like(text, pattern), F.flatten(F.transform(placed, spans_of))).otherwise(no_spans())
 
 
 def text_of(spans: Column, names: list[str]) -> Column:
@@ -60,12 +83,11 @@ def replace(text: Column, spans: Column, by) -> Column:
             ),
         ).otherwise(F.array_append(a, s)),
     )
-    out = F.aggregate(
-        merged,
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda a, s: F.struct(
-            s["end"].alias("at"), F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), by(s)).alias("out")
-        ),
-        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))),
-    )
-    return F.when(F.size(spans) == 0, text).otherwise(out)
+    def pieces(m: Column) -> Column:
+        def piece(s: Column, i: Column) -> Column:
+            at = F.coalesce(F.get(m, i - 1)["end"], F.lit(0))
+            return F.concat(F.substring(text, at + 1, s["start"] - at), by(s))
+
+        return F.concat(F.array_join(F.transform(m, piece), ""), F.substring(text, F.element_at(m, -1)["end"] + 1, F.length(text)))
+
+    return F.when(F.size(spans) == 0, text).otherwise(let(merged, pieces))
