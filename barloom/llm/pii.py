@@ -1,14 +1,15 @@
 """Personal data and the terms that disclose it (operator 4). DataFrame and SQL functions only.
 
 Entities are the values of the pattern kinds (e-mail, IP address, card, phone). Terms are words of TERM_LETTERS letters
-or more within CONTEXT words of an entity. Over the whole corpus, n(t) documents hold term t, n(e) hold entity e
+or more; the CONTEXT terms before an entity and those after it, however far away, stand near it. Over the whole corpus, n(t) documents hold term t, n(e) hold entity e
 and n(t, e) hold t near e. A term discloses an entity if seeing it makes the entity likely, P(e | t) =
 n(t, e) / n(t) at REVEAL or more, if that is information, log2(P(e | t) / P(e)) at BITS or more, and if
-SUPPORT documents show it. In documents that hold the entity, every occurrence of such a term is a further
-span: it is removed where P(e | t) is at REMOVE or more and generalised to its first letter below.
+SUPPORT documents show it. In texts that hold the entity (a term alone, elsewhere, protects nobody and stays), every
+occurrence of such a term is a further span: it is removed where P(e | t) is at REMOVE or more and generalised to its first letter below.
 
 Counts are aggregated before each exchange, so an entity or a term that a third of all rows share is one row of a map
-task; nothing is collected.
+task; nothing is collected. Spans follow from the text alone: they are found once, stored under the text's digest and
+joined to all rows.
 """
 
 from __future__ import annotations
@@ -80,23 +81,32 @@ def _terms(text: Column) -> Column:
 
 
 def contexts(found: DataFrame) -> DataFrame:
-    """(doc_id, pairs): each document's different (entity, term) pairs, from (doc_id, text, base)."""
-    reach = 16 * CONTEXT
+    """Each row's different pairs, entity and term joined by a line feed, from (text, base).
 
-    def near(s: Column) -> Column:
-        before = F.substring(F.col("text"), F.greatest(s["start"] - reach, F.lit(0)) + 1, F.least(s["start"], F.lit(reach)))
-        after = F.substring(F.col("text"), s["end"] + 1, F.lit(reach))
-        b, a = _terms(before), _terms(after)
-        terms = F.array_distinct(F.concat(F.slice(b, F.greatest(F.size(b) - CONTEXT + 1, F.lit(1)), F.lit(CONTEXT)), F.slice(a, 1, CONTEXT)))
-        return F.transform(terms, lambda t: F.struct(_entity(s).alias("entity"), t.alias("term")))
+    Terms, and the two ends of each entity, are sorted by place once. The place of an end in that order, less the ends
+    before it, is the number of terms before it: no search through the text for each entity.
+    """
+    ends = F.flatten(F.transform("base", lambda s: F.array(*[F.struct(s[side].alias("at"), F.lit(0).alias("term"), _entity(s).alias("entity"), F.lit(side).alias("side")) for side in ("start", "end")])))
+
+    def pairs(terms: Column) -> Column:
+        places = F.transform(terms, lambda t: F.struct(t["start"].alias("at"), F.lit(1).alias("term"), F.lit("").alias("entity"), F.lit("").alias("side")))
+        order = F.transform(F.sort_array(F.concat(ends, places)), lambda x, i: F.struct(x["term"].alias("term"), x["entity"].alias("entity"), x["side"].alias("side"), i.alias("i")))
+
+        def near(x: Column, k: Column) -> Column:
+            n, before = x["i"] - k, x["side"] == "start"
+            first, size = F.when(before, F.greatest(n - CONTEXT, F.lit(0))).otherwise(n), F.when(before, F.least(n, F.lit(CONTEXT))).otherwise(CONTEXT)
+            return F.transform(F.slice(terms, first + 1, size), lambda t: F.concat(x["entity"], F.lit("\n"), F.lower(t["value"])))
 
-    return found.select("doc_id", F.array_distinct(F.flatten(F.transform("base", near))).alias("pairs"))
+        return F.flatten(F.transform(F.filter(order, lambda x: x["term"] == 0), near))
+
+    terms = F.sort_array(spans.find(F.col("text"), rf"{LETTERS}{{{TERM_LETTERS},}}", 0))
+    return found.select(F.array_distinct(spans.let(terms, pairs)).alias("pairs"))
 
 
 def disclosing_terms(found: DataFrame, docs: DataFrame) -> DataFrame:
     """(entity, term, reveal, bits) at or over the thresholds; `found`: documents with entities, `docs`: all."""
-    near = contexts(found).select(F.explode("pairs").alias("p")).groupBy("p.entity", "p.term").agg(F.count("*").alias("n_near")).filter(F.col("n_near") >= SUPPORT)
-    near = materialize(near, "disclosure")
+    near = contexts(found).select(F.explode("pairs").alias("p")).groupBy("p").agg(F.count("*").alias("n_near")).filter(F.col("n_near") >= SUPPORT)
+    near = materialize(near.select(F.substring_index("p", "\n", 1).alias("entity"), F.substring_index("p", "\n", -1).alias("term"), "n_near"), "disclosure")
     holders = found.select(F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
     words = docs.select(F.explode(F.array_distinct(_terms(F.col("text")))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     scored = near.join(holders, "entity").join(words, "term").withColumn("_docs", F.lit(docs.count()))
@@ -108,36 +118,36 @@ def disclosing_terms(found: DataFrame, docs: DataFrame) -> DataFrame:
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, text, base (spans of the pattern kinds) and spans (with those of disclosing terms), both sorted.
 
-    NULL and empty texts have no spans, repeated rows are scanned each (and count as documents), an empty table gives
-    no rows, other columns are not read. Rows that share a doc_id share the terms found for it.
+    NULL and empty texts have no spans, texts of any length are scanned whole, repeated rows each have the spans of
+    their text (and count as documents), an empty table gives no rows, other columns are not read. Rows of one
+    doc_id, or without one, are judged by their own texts.
     """
-    texts = whole_texts(docs).withColumn("doc_id", F.col("doc_id").cast("long"))
-    based = texts.withColumn("base", base_spans(F.col("text")))
+    texts = whole_texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.unhex(F.md5("text")).alias("_digest"))
+    based = texts.select("_digest", "text", base_spans(F.col("text")).alias("base"))
     found = materialize(keep_where(based, F.size("base") > 0), "entities")
     disclosed = disclosing_terms(found, texts)
-    held = found.select("doc_id", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"))
-    by_doc = (
-        held.join(disclosed, "entity")
-        .groupBy("doc_id", "term")
-        .agg(F.max("reveal").alias("reveal"))
-        .groupBy("doc_id")
-        .agg(F.array_join(F.array_sort(F.collect_list(F.when(F.col("reveal") >= REMOVE, F.col("term")))), "|").alias("_remove"), F.array_join(F.array_sort(F.collect_list(F.when(F.col("reveal") < REMOVE, F.col("term")))), "|").alias("_soften"))
-        .withColumnRenamed("doc_id", "_id")
-    )
+    held = found.select("_digest", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity")).distinct()
+    terms_of = held.join(disclosed, "entity").groupBy("_digest", "term").agg(F.max("reveal").alias("reveal"))
+    strong = F.col("reveal") >= REMOVE
+
+    def listed(which: Column) -> Column:
+        return F.array_join(F.array_sort(F.collect_list(F.when(which, F.col("term")))), "|")
+
+    terms_of = terms_of.groupBy("_digest").agg(listed(strong).alias("_remove"), listed(~strong).alias("_soften"))
+    different = found.groupBy("_digest").agg(F.first("text").alias("text"), F.first("base").alias("base"))
 
     def terms(words: str, kind: int) -> Column:
         pattern = F.concat(F.lit(rf"(?iu)(?<!{LETTERS})(?:"), F.col(words), F.lit(rf")(?!{LETTERS})"))
-        return F.when(F.length(words) > 0, spans.find(F.col("text"), pattern, kind)).otherwise(spans.no_spans())
-
-    marked = found.join(by_doc, F.col("doc_id").eqNullSafe(F.col("_id"))).select("doc_id", "text", "base", terms("_remove", REMOVED).alias("r"), terms("_soften", GENERALISED).alias("g"))
-    free = marked.select(
-        "doc_id",
-        F.xxhash64("text").alias("_text"),
-        F.filter(F.concat("r", "g"), lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"]))).alias("more"),
-    ).dropDuplicates(["doc_id", "_text"])
-    free = free.select(F.col("doc_id").alias("_id"), "_text", "more")
-    out = based.withColumn("_hash", F.xxhash64("text")).join(free, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_text")), "left")
-    return out.select("doc_id", "text", "base", F.sort_array(F.concat("base", F.coalesce("more", spans.no_spans()))).alias("spans"))
+        return F.when(F.length(words) > 0, spans.find(F.col("_rest"), pattern, kind)).otherwise(spans.no_spans())
+
+    # terms are looked for beside the entities: those are blanked out, each place stays where it is
+    rest = spans.replace(F.col("text"), F.col("base"), lambda s: F.repeat(F.lit("\n"), s["end"] - s["start"]))
+    marked = different.join(terms_of, "_digest", "left").withColumn("_rest", F.when(F.col("_remove").isNotNull(), rest))
+    free = F.concat(terms("_remove", REMOVED), terms("_soften", GENERALISED))
+    # stored, so that no aggregation stands before the join and the rows of a hot text can be split
+    marked = materialize(marked.select("_digest", "base", F.sort_array(F.concat("base", free)).alias("spans")), "spans")
+    out = texts.join(marked, "_digest", "left")
+    return out.select("doc_id", "text", *[F.coalesce(c, spans.no_spans()).alias(c) for c in ("base", "spans")])
 
 
 def sanitised(scanned: DataFrame) -> Column:

@@ -509,6 +509,9 @@ def test_trigram_queries():
     assert secrets.trigram_query("[0-9a-f]{24,}") is None and secrets.trigram_query("a?b*c") is None
     assert secrets.trigram_query("AKIA[A-Z]+") == [frozenset({"aki", "kia"})]
     assert secrets.trigram_query("(abc|abcd)x*") == [frozenset({"abc"})]
+    queries = {r.name: q for r in secrets.BASE + secrets.MORE if (q := secrets.trigram_query(r.regex))}
+    chosen = secrets.anchors(queries)
+    assert all(set(c) & set(chosen) for q in queries.values() for c in q) and len(chosen) < 16
     for rule in secrets.BASE + secrets.MORE:
         q = secrets.trigram_query(rule.regex)
         assert q is None or all(len(t) == 3 for c in q for t in c)
@@ -532,6 +535,53 @@ def test_terms_that_disclose(spark):
     assert out[0] == "Please write to <TERM> the <TERM> at <EMAIL> <TERM>" and out[10] == rows[4][1]
 
 
+def test_terms_against_brute_force(spark):
+    r = np.random.default_rng(11)
+    names = ["zorblax", "quimby", "Ärzte", "wurmloch", "hassel", "tribon"]
+    common = [f"common{chr(97 + k)}{chr(97 + k)}" for k in range(26)]
+    rows = []
+    for k in range(300):
+        w = list(r.choice(common, r.integers(1, 60)))
+        for _ in range(r.integers(0, 3) if k % 5 == 0 else 0):
+            e, at = r.integers(0, 6), r.integers(0, len(w) + 1)
+            w[at:at] = [names[e], "of", "x" * 150 + "1", f"id{e}@mail{e}.example.org,"] if r.random() < 0.9 else [f"id{e}@mail{e}.example.org"]
+        rows.append((int(k // 2) if k % 7 else None, " ".join(w)))
+    rows += rows[:5]
+    entity = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+    near, holders, holding = Counter(), Counter(), Counter()
+    for _, t in rows:
+        terms = [(m.start(), m[0].lower()) for m in re.finditer(r"[^\W\d_]{4,}", t)]
+        found = list(entity.finditer(t))
+        pairs = {(m[0].lower(), x) for m in found for x in [y for at, y in terms if at < m.start()][-8:] + [y for at, y in terms if at >= m.end()][:8]}
+        near.update(pairs)
+        holders.update({m[0].lower() for m in found})
+        holding.update({x for _, x in terms})
+    bits = {p: np.log2(n / holding[p[1]] * len(rows) / holders[p[0]]) for p, n in near.items()}
+    told = {p: n / holding[p[1]] for p, n in near.items() if n >= 3 and n / holding[p[1]] >= 0.5 and bits[p] >= 4}
+    assert len(told) >= 4
+    want = []
+    for i, t in rows:
+        found = list(entity.finditer(t))
+        best: dict[str, float] = {}
+        for e, x in told:
+            if e in {m[0].lower() for m in found}:
+                best[x] = max(best.get(x, 0), told[e, x])
+        spans = [(m.start(), "email", m.end()) for m in found]
+        for x, p in best.items():
+            for m in re.finditer(rf"(?i)(?<![^\W\d_]){x}(?![^\W\d_])", t):
+                if not any(f.start() < m.end() and m.start() < f.end() for f in found):
+                    spans.append((m.start(), "removed" if p >= 0.9 else "generalised", m.end()))
+        want.append((i, ",".join(f"{n}:{a}:{b}" for a, n, b in sorted(spans))))
+    got = [(r["doc_id"], r["spans"]) for r in pii.digest(pii.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_places_of_very_many_matches(spark):
+    t = "".join(f"é{'x' * (k % 7)} a@b.c" for k in range(3000))
+    got = pii.digest(pii.scan(spark.createDataFrame([(1, t)], "doc_id long, text string"))).first()
+    assert got["base_sha256"] == hashlib.sha256(base_spans(PII_KINDS, t).encode()).hexdigest() and got["n_email"] == 3000
+
+
 # --- 6: quality
 
 
