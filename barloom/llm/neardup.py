@@ -15,12 +15,14 @@ gives the pairs that hold its likely classes together (to hubs, among hubs, and
 document and never all pairs of a large group; hubs of several chunks of one band value meet again. Each pair is
 verified by the exact weighted Jaccard similarity of the two whole texts. Classes are the connected components of
 the verified links, found by label propagation on tables. Then all pairs of different classes that share a large band
-value are compared, block against block, and those with LEAST equal samples verified too, so that what the chunks
-leave out parts no class.
+value are compared, block against block, and the possible ones verified too, so that what the chunks leave out parts
+no class. That step grows with the square of the different classes that share a band value; only pairs that both
+estimates place near the threshold become rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,8 +46,10 @@ CHUNK = 512
 ROUNDS = 4
 #: Estimated similarity from which a pair of a large chunk looks close, and bytes of the outline that estimates it.
 HINT, OUTLINE = 0.70, 256
-#: Equal samples from which a pair is verified: over four standard deviations under 0.8 of ROWS * BANDS.
-LEAST = 24
+#: A pair is verified if neither estimate lies SIGMAS standard deviations under what a pair at the threshold would show.
+SIGMAS = 3.0
+#: Equal samples that this asks for at a similarity of 0.8.
+LEAST = math.floor(0.8 * ROWS * BANDS - SIGMAS * math.sqrt(0.8 * 0.2 * ROWS * BANDS)) + 1
 #: Documents in a chunk up to which all its close pairs are verified.
 SMALL = 24
 
@@ -157,31 +161,50 @@ def outlines(g: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.where(full, (_mix(least) % np.uint64(255)).astype(np.uint8) + 1, 0).astype(np.uint8).reshape(-1, OUTLINE)
 
 
-def _alike(sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(estimated similarities, numbers of equal samples) of all rows of a chunk.
+def repetition(texts: list[str], counts: np.ndarray) -> np.ndarray:
+    """Of each text with shingles, which share of its shingles stood there before, in 255ths, rounded up."""
+    every = np.array([max(len(t.split()) - SHINGLE + 1, 1) for t in texts])[counts > 0]
+    return np.ceil(255 * np.maximum(0, 1 - counts[counts > 0] / np.maximum(every, 1))).astype(np.uint8)
+
+
+def possible(sketch: np.ndarray, k: int, others: np.ndarray, threshold: float = 0.8) -> np.ndarray:
+    """Those of `others` that, by both estimates, may reach the threshold with row k.
+
+    Of two sets with a weighted similarity t, shingles held once weighing 1 to 1 + IDF_SHARE, let r be the lesser share
+    of repeated shingles. Repetition can add (1 + IDF_SHARE) * r to the similarity at most, so without it there is
+    y = t - (1 + IDF_SHARE) * r, and the plain similarity is at least y / (y + (1 - y) * (1 + IDF_SHARE)).
+    """
+    samples = slice(OUTLINE, OUTLINE + ROWS * BANDS)
+    others = others[(sketch[others, samples] == sketch[k, samples]).sum(1) >= LEAST]
+    x, own = sketch[others, :OUTLINE], sketch[k, :OUTLINE]
+    plain = ((x == own) & (own > 0)).sum(1) / np.maximum(((x > 0) | (own > 0)).sum(1), 1)
+    y = np.maximum(threshold - (1 + IDF_SHARE) * np.minimum(sketch[others, -1], sketch[k, -1]) / 255, 0)
+    least = y / (y + (1 - y) * (1 + IDF_SHARE))
+    return others[plain >= least - SIGMAS * np.sqrt(least * (1 - least) / OUTLINE)]
+
+
+def _alike(sketch: np.ndarray) -> np.ndarray:
+    """Estimated similarities of all rows of a chunk.
 
     The estimate is the greater one of the plain similarity (outlines) and the weighted one (samples).
     """
-    outline, sample = sketch[:, :OUTLINE], sketch[:, OUTLINE:]
+    outline, sample = sketch[:, :OUTLINE], sketch[:, OUTLINE : OUTLINE + ROWS * BANDS]
     out = np.empty((len(sketch), len(sketch)), np.float32)
-    equal = np.empty((len(sketch), len(sketch)), np.int64)
     full = outline > 0
     for k, (x, f, y) in enumerate(zip(outline, full, sample, strict=True)):
-        equal[k] = (sample == y).sum(1)
-        out[k] = np.maximum(((outline == x) & f).sum(1) / np.maximum((full | f).sum(1), 1), equal[k] / (ROWS * BANDS))
+        out[k] = np.maximum(((outline == x) & f).sum(1) / np.maximum((full | f).sum(1), 1), (sample == y).sum(1) / (ROWS * BANDS))
     np.fill_diagonal(out, 0)
-    return out, equal
+    return out
 
 
 def _chunk_pairs(docs: np.ndarray, sketch: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
     """Pairs of a chunk to verify, and the rows that stand for it when chunks of one band value meet.
 
-    A small chunk gives all pairs with LEAST equal samples. In a larger one, hubs are chosen one by one, each for the most
+    A small chunk gives all possible pairs. In a larger one, hubs are chosen one by one, each for the most
     documents that look linked to it and have no hub yet; every document is paired with its hub, hubs with each
     other, and every document with its three most similar ones: what holds each class together, a few pairs a
     document, instead of the square of the group.
     """
-    near, equal = _alike(sketch)
     pairs: set[tuple[int, int]] = set()
     n = len(docs)
 
@@ -193,8 +216,9 @@ def _chunk_pairs(docs: np.ndarray, sketch: np.ndarray) -> tuple[list[tuple[int,
 
     if n <= SMALL:
         for k in range(n):
-            add(k, np.flatnonzero(equal[k, :k] >= LEAST))
+            add(k, possible(sketch, k, np.arange(k)))
         return sorted(pairs), np.arange(n)
+    near = _alike(sketch)
     linked = near >= 0.8
     alone = ~linked.any(1)
     waiting, hubs = ~alone, []
@@ -277,14 +301,14 @@ def candidate_pairs(signed: DataFrame) -> DataFrame:
 
 
 def crossing_pairs(signed: DataFrame, found: DataFrame) -> DataFrame:
-    """(a, b): all pairs of different classes that share a band value of more than SMALL documents and LEAST samples.
+    """(a, b): all possible pairs of different classes that share a band value of more than SMALL documents.
 
     The documents of a band value are dealt to blocks, a class of CHUNK or more to its own ones, and every two blocks
     meet but those of one class. A pair is compared in the first band that it shares. Smaller values have
     been compared whole by `candidate_pairs`.
     """
     spark = signed.sparkSession
-    known = signed.join(found, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.substring("sketch", OUTLINE + 1, ROWS * BANDS).alias("sample"), "bands")
+    known = signed.join(found, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), "sketch", "bands")
     entries = known.select("doc_id", "class_id", F.posexplode("bands").alias("band", "value"))
     sizes = entries.groupBy("band", "value", "class_id").agg(F.count("*").alias("n"))
     large = F.col("n") >= CHUNK
@@ -308,14 +332,13 @@ def crossing_pairs(signed: DataFrame, found: DataFrame) -> DataFrame:
         for whole in grouped(batches, "meet"):
             for _, b in whole.groupby("meet"):
                 docs, label, side = (b[c].to_numpy(np.int64) for c in ("doc_id", "class_id", "side"))
-                sample = np.frombuffer(b"".join(b["sample"]), np.uint8).reshape(len(b), -1)
+                sketch = np.frombuffer(b"".join(b["sketch"]), np.uint8).reshape(len(b), -1)
                 bands, band = np.stack(b["bands"].tolist()), int(b["band"].iloc[0])
                 left, right, out = np.flatnonzero(side == 0), np.flatnonzero(side == 1), []
                 for k in left:
                     j = right if len(right) else left[left > k]
                     j = j[label[j] != label[k]]
-                    j = j[(sample[j] == sample[k]).sum(1) >= LEAST]
-                    j = j[(bands[j] == bands[k]).argmax(1) == band]
+                    j = possible(sketch, k, j[(bands[j] == bands[k]).argmax(1) == band])
                     out.append(np.stack([np.minimum(docs[j], docs[k]), np.maximum(docs[j], docs[k])], 1))
                 yield pd.DataFrame(np.concatenate(out), columns=["a", "b"])
 
@@ -389,12 +412,13 @@ def class_table(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
             whole = whole.drop_duplicates("digest")
             for at in range(0, len(whole), 2000):
                 b = whole.iloc[at : at + 2000]
-                g, w, counts = shingles(b["text"].tolist(), shared.value)
+                part = b["text"].tolist()
+                g, w, counts = shingles(part, shared.value)
                 if not len(g):
                     continue
                 s = sketches(g, w, counts, ROWS * BANDS)
                 bands = np.stack([_mix(rolling_row(s[:, ROWS * k : ROWS * k + ROWS])) for k in range(BANDS)], 1).view(np.int64)
-                yield pd.DataFrame({"digest": b["digest"][counts > 0], "sketch": [x.tobytes() for x in np.hstack([outlines(g, counts), s.astype(np.uint8)])], "bands": list(bands)})
+                yield pd.DataFrame({"digest": b["digest"][counts > 0], "sketch": [x.tobytes() for x in np.hstack([outlines(g, counts), s.astype(np.uint8), repetition(part, counts)[:, None]])], "bands": list(bands)})
 
     signed = texts.select("digest", "text").mapInPandas(sign, "digest binary, sketch binary, bands array<long>")
     signed = signed.join(named, "digest").select(F.col("node").alias("doc_id"), "sketch", "bands").dropDuplicates(["doc_id"])
