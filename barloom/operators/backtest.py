@@ -31,22 +31,31 @@ def forward_returns(bars: DataFrame, symbols: DataFrame | None = None, start: st
 
 def scored_returns(ranking: DataFrame, bars: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """time, symbol, alpha_score and the clipped forward return, where both exist."""
-    f = forward_returns(bars, ranking, horizon=horizon)
+    f = forward_returns(bars, horizon=horizon)  # the join below leaves only what the ranking holds
     f = f.select("symbol", "time", (F.try_divide("close_20", "close") - 1).alias("_r"))
     d = ranking.join(f, ["time", "symbol"]).na.drop(subset=["alpha_score", "_r"])
     return d.select("time", "symbol", "alpha_score", clip(F.col("_r"), -LIMIT, LIMIT).alias("fwd_return_20d"))
 
 
-def average_rank(x: str, keys: list[str]) -> Column:
-    w = Window.partitionBy(*keys)
-    return F.rank().over(w.orderBy(x)) + (F.count("*").over(Window.partitionBy(*keys, x)) - 1) / 2
+def doubled_rank(x: str, keys: list[str]) -> Column:
+    """Twice the average rank: a whole number."""
+    return (2 * F.rank().over(Window.partitionBy(*keys).orderBy(x)) + F.count("*").over(Window.partitionBy(*keys, x)) - 1).cast("long")
 
 
 def spearman(d: DataFrame, keys: list[str], x: str, y: str, least: int = MIN_IC) -> DataFrame:
-    """ic and n for each group: Pearson's correlation of average ranks; NULL below `least` rows or without spread."""
-    d = d.withColumn("_x", average_rank(x, keys)).withColumn("_y", average_rank(y, keys))
-    d = d.groupBy(*keys).agg(F.count("*").alias("n"), F.covar_pop("_x", "_y").alias("_c"), F.stddev_pop("_x").alias("_sx"), F.stddev_pop("_y").alias("_sy"))
-    return d.select(*keys, F.when(F.col("n") >= least, F.try_divide("_c", F.col("_sx") * F.col("_sy"))).alias("ic"), "n")
+    """ic and n for each group: Pearson's correlation of average ranks; NULL below `least` rows or without spread.
+
+    Sums of whole numbers are exact, so a value of zero is zero in any engine and any order.
+    """
+    d = d.select(*keys, doubled_rank(x, keys).alias("_x"), doubled_rank(y, keys).alias("_y"))
+    a, b, n = F.col("_x"), F.col("_y"), F.count("*")
+    d = d.groupBy(*keys).agg(
+        n.alias("n"),
+        (n * F.sum(a * b) - F.sum(a) * F.sum(b)).cast("double").alias("_c"),
+        (n * F.sum(a * a) - F.sum(a) * F.sum(a)).cast("double").alias("_sx"),
+        (n * F.sum(b * b) - F.sum(b) * F.sum(b)).cast("double").alias("_sy"),
+    )
+    return d.select(*keys, F.when(F.col("n") >= least, F.try_divide("_c", F.sqrt("_sx") * F.sqrt("_sy"))).alias("ic"), "n")
 
 
 def ic_daily(scored: DataFrame) -> DataFrame:
@@ -65,13 +74,14 @@ def newey_west(series: DataFrame, value: str = "ic", lags: int = 20) -> DataFram
 
     The autocovariances come from one pass with `lags` look-backs: no self-join. One row a session, one partition.
     """
-    d = series.filter(F.col(value).isNotNull()).select("time", F.col(value).alias("_x"))
-    d = d.crossJoin(F.broadcast(d.agg(F.avg("_x").alias("_mean"), F.count("*").alias("_n"))))
     w = Window.orderBy("time")
-    e = d.select("_mean", "_n", "time", (F.col("_x") - F.col("_mean")).alias("_e"))
+    every = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    d = series.filter(F.col(value).isNotNull()).select("time", F.col(value).alias("_x"))
+    e = d.select("time", F.avg("_x").over(every).alias("_mean"), F.count("*").over(every).alias("_n"), "_x")
+    e = e.withColumn("_e", F.col("_x") - F.col("_mean"))
     e = e.select("_mean", "_n", "_e", *[(F.col("_e") * F.lag("_e", k).over(w)).alias(f"_e{k}") for k in range(1, lags + 1)])
-    sums = e.agg(F.first("_mean").alias("mean"), F.first("_n").alias("n"), F.sum(F.col("_e") * F.col("_e")).alias("g0"), *[F.coalesce(F.sum(f"_e{k}"), F.lit(0.0)).alias(f"g{k}") for k in range(1, lags + 1)])
-    s = sum(((2 * (1 - k / (lags + 1))) * F.col(f"g{k}") for k in range(1, lags + 1)), F.col("g0")) / F.col("n")
+    sums = e.agg(F.first("_mean").alias("mean"), F.coalesce(F.first("_n"), F.lit(0)).alias("n"), F.sum(F.col("_e") * F.col("_e")).alias("g0"), *[F.coalesce(F.sum(f"_e{k}"), F.lit(0.0)).alias(f"g{k}") for k in range(1, lags + 1)])
+    s = sum(((2 * (1 - k / (lags + 1))) * F.col(f"g{k}") for k in range(1, lags + 1)), F.col("g0")) / F.nullif("n", F.lit(0))
     return sums.select("mean", "n", F.try_divide(F.col("mean"), F.sqrt(F.when(s >= 0, s) / F.col("n"))).alias("tstat"))
 
 
@@ -130,8 +140,7 @@ def quintile_returns(scored: DataFrame) -> DataFrame:
 def factor_decay(ranking: DataFrame, bars: DataFrame, horizons: tuple[int, ...] = DECAY_HORIZONS) -> DataFrame:
     """Mean information coefficient at each horizon, over rows that have all of the returns."""
     w = by_symbol()
-    f = bars.join(ranking.select("symbol").distinct(), "symbol", "left_semi")
-    f = f.select("symbol", "time", *[(F.try_divide(F.lead("close", h).over(w), F.col("close")) - 1).alias(f"r{h}") for h in horizons])
+    f = bars.select("symbol", "time", *[(F.try_divide(F.lead("close", h).over(w), F.col("close")) - 1).alias(f"r{h}") for h in horizons])
     d = ranking.join(f, ["time", "symbol"]).na.drop(subset=["alpha_score", *[f"r{h}" for h in horizons]])
     long = d.select("time", "alpha_score", F.explode(F.array(*[F.struct(F.lit(h).cast("long").alias("horizon"), clip(F.col(f"r{h}"), -LIMIT, LIMIT).alias("r")) for h in horizons])).alias("x")).select("time", "alpha_score", "x.*")
     return spearman(long, ["time", "horizon"], "alpha_score", "r").groupBy("horizon").agg(F.avg("ic").alias("mean_ic"), F.count("ic").alias("n_days"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.functions.series import streak, truth
-from barloom.operators.indicators import index_drawdown, index_momentum, index_moving_average, index_volatility
+from barloom.functions.series import of_index, streak, truth
+from barloom.operators.indicators import log_return, regime_features
 
 #: Fixed values.
 REGIME = {"m_60d": 0.03, "drawdown_40d": -0.08, "vol_20d": 0.25}
@@ -15,11 +15,9 @@ MIN_VOLUME = 1_000_000
 
 
 def regime_input(index: DataFrame) -> DataFrame:
-    """The index with its four features, by joins on time."""
-    out = index.select("time", "close")
-    for table in (index_momentum(index).select("time", "m_60d"), index_moving_average(index), index_drawdown(index), index_volatility(index)):
-        out = out.join(table, "time")
-    return out
+    """The index with its four features: windows over one order of the sessions, no joins."""
+    d = index.select("time", "close", log_return(of_index()).alias("_r"))
+    return d.select("time", "close", *[x.alias(name) for name, x in regime_features().items()])
 
 
 def safe(f: dict[str, float] = REGIME) -> Column:

@@ -19,8 +19,7 @@ YEAR = 252
 TIE_DIGITS = 12
 
 
-
-def _log_return(w) -> Column:
+def log_return(w) -> Column:
     return F.ln(F.try_divide(F.col("close"), F.lag("close").over(w)))
 
 
@@ -85,7 +84,7 @@ def stock_volatility(bars: DataFrame) -> DataFrame:
         "symbol",
         "time",
         (F.row_number().over(w) - 1).alias("_i"),
-        _log_return(w).alias("_r"),
+        log_return(w).alias("_r"),
         true_range(w).alias("_tr"),
         F.pow(F.ln(F.try_divide(F.col("high"), F.col("low"))), 2).alias("_hl"),
     )
@@ -114,19 +113,29 @@ def index_momentum(index: DataFrame) -> DataFrame:
     return index.select("time", *[change(F.col("close"), n, w).alias(c) for c, n in INDEX_LAGS.items()])
 
 
+def regime_features() -> dict[str, Column]:
+    """The four features of the regime over an index with close and the log return _r, all in one order."""
+    w, close = of_index(), F.col("close")
+    top = roll(F.max, close, 40, w)
+    return {
+        "m_60d": change(close, INDEX_LAGS["m_60d"], w),
+        "sma_150": roll_before(F.avg, close, 150, w),
+        "drawdown_40d": F.try_divide(close - top, top),
+        "vol_20d": roll(F.stddev_samp, F.col("_r"), 20, w) * F.sqrt(F.lit(float(YEAR))),
+    }
+
+
 def index_moving_average(index: DataFrame) -> DataFrame:
-    return index.select("time", roll_before(F.avg, F.col("close"), 150, of_index()).alias("sma_150"))
+    return index.select("time", regime_features()["sma_150"].alias("sma_150"))
 
 
 def index_drawdown(index: DataFrame) -> DataFrame:
-    top = roll(F.max, F.col("close"), 40, of_index())
-    return index.select("time", F.try_divide(F.col("close") - top, top).alias("drawdown_40d"))
+    return index.select("time", regime_features()["drawdown_40d"].alias("drawdown_40d"))
 
 
 def index_volatility(index: DataFrame) -> DataFrame:
-    w = of_index()
-    d = index.select("time", _log_return(w).alias("_r"))
-    return d.select("time", (roll(F.stddev_samp, F.col("_r"), 20, w) * F.sqrt(F.lit(float(YEAR)))).alias("vol_20d"))
+    d = index.select("time", log_return(of_index()).alias("_r"))
+    return d.select("time", regime_features()["vol_20d"].alias("vol_20d"))
 
 
 def joined_features(bars: DataFrame, momentum: DataFrame, average: DataFrame, rsi: DataFrame, volatility: DataFrame, index: DataFrame | None = None, volume: DataFrame | None = None) -> DataFrame:
@@ -160,7 +169,7 @@ def features(bars: DataFrame, index_momentum_: DataFrame | None = None) -> DataF
         (F.row_number().over(w) - 1).alias("_i"),
         (F.col("close") - F.lag("close").over(w)).alias("_d"),
         true_range(w).alias("_tr"),
-        _log_return(w).alias("_r"),
+        log_return(w).alias("_r"),
         *[change(F.col("close"), STOCK_LAGS[c], w).alias(f"s{c}") for c in ("m_1", "m_3", "m_6")],
         *[roll_before(F.avg, F.col("close"), n, w).alias(f"sma_{n}") for n in (20, 50)],
         F.try_divide(roll_before(F.avg, v, 20, w), roll_before(F.avg, v, 60, w)).alias("volume_ratio"),

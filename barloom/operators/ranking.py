@@ -87,8 +87,15 @@ def rank(features: DataFrame, version: int, kind: str | None = None, universe: s
     return factors(in_universe(features, universe), version).select("time", "symbol", alpha(version, kind).alias("alpha_score"))
 
 
+def placed(ranking: DataFrame) -> DataFrame:
+    """Adds each symbol's place within its session: best score first, missing scores last, ties by symbol."""
+    w = Window.partitionBy("time").orderBy(F.col("alpha_score").desc_nulls_last(), "symbol")
+    return ranking.withColumn("place", F.row_number().over(w).cast("long"))
+
+
 def ordered(ranking: DataFrame) -> DataFrame:
-    return ranking.orderBy(F.col("time").desc(), F.col("alpha_score").desc_nulls_last(), "symbol")
+    """Newest session first, best score first."""
+    return placed(ranking).orderBy(F.col("time").desc(), "place").drop("place")
 
 
 def factor_correlation(scores: DataFrame, least: int = 2) -> DataFrame:

@@ -68,9 +68,10 @@ def trades(signalled: DataFrame, min_hold: int = MIN_HOLD) -> DataFrame:
     min_hold=1 is the older matcher: the first exit strictly after the entry. Several entries may share an exit.
     """
     w = by_symbol()
-    ahead = w.rowsBetween(min_hold, Window.unboundedFollowing)
+    # read backwards: a frame that grows by a row a step, where one that shrinks would be worked out anew for each row
+    back = Window.partitionBy("symbol").orderBy(c("time").desc()).rowsBetween(Window.unboundedPreceding, -min_hold)
     d = signalled.withColumn("_i", F.row_number().over(w))
-    out = F.first(F.when(c("down"), F.struct(c("_i").alias("i"), c("time").alias("time"), c("close").alias("close"))), ignorenulls=True).over(ahead)
+    out = F.last(F.when(c("down"), F.struct(c("_i").alias("i"), c("time").alias("time"), c("close").alias("close"))), ignorenulls=True).over(back)
     d = d.withColumn("_exit", out).filter(c("up") & c("_exit").isNotNull())
     return d.select(
         "symbol",

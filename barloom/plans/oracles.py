@@ -26,6 +26,8 @@ def _pct(n: int) -> str:
 
 
 YEAR = "sqrt(252e0)"
+#: Correlation of doubled ranks x and y by sums of whole numbers, which have no order.
+IC = "CASE WHEN count(*) >= 5 THEN (count(*) * sum(x * y) - sum(x) * sum(y))::DOUBLE / nullif(sqrt((count(*) * sum(x * x) - sum(x) * sum(x))::DOUBLE) * sqrt((count(*) * sum(y * y) - sum(y) * sum(y))::DOUBLE), 0) END"
 CTE = {
     "ohlcv": (fixtures.OHLCV_SQL, []),
     "vnindex": (fixtures.INDEX_SQL, []),
@@ -112,9 +114,9 @@ for _u in ("all", "possible_v1", "possible_v2", "possible_v3"):
         [f"rank_{_u}_3", "ohlcv"],
     )
     CTE[f"ic_{_u}"] = (
-        f"""SELECT time, CASE WHEN count(*) >= 5 THEN covar_pop(x, y) / nullif(stddev_pop(x) * stddev_pop(y), 0) END AS ic, count(*) AS n FROM (SELECT a.time, a.symbol,
-   (SELECT count(*) FILTER (b.alpha_score < a.alpha_score) + (count(*) FILTER (b.alpha_score = a.alpha_score) + 1) / 2e0 FROM sc_{_u} b WHERE b.time = a.time) AS x,
-   (SELECT count(*) FILTER (b.r < a.r) + (count(*) FILTER (b.r = a.r) + 1) / 2e0 FROM sc_{_u} b WHERE b.time = a.time) AS y FROM sc_{_u} a) z GROUP BY time""",
+        f"""SELECT time, {IC} AS ic, count(*) AS n FROM (SELECT a.time, a.symbol,
+   (SELECT 2 * count(*) FILTER (b.alpha_score < a.alpha_score) + count(*) FILTER (b.alpha_score = a.alpha_score) + 1 FROM sc_{_u} b WHERE b.time = a.time) AS x,
+   (SELECT 2 * count(*) FILTER (b.r < a.r) + count(*) FILTER (b.r = a.r) + 1 FROM sc_{_u} b WHERE b.time = a.time) AS y FROM sc_{_u} a) z GROUP BY time""",
         [f"sc_{_u}"],
     )
     CTE[f"sp_{_u}"] = (
@@ -232,8 +234,8 @@ ORACLES = {
         "ic_all",
     ).replace("\nSELECT round(m", ",\ne AS MATERIALIZED (SELECT ic, row_number() OVER (ORDER BY time) AS k, avg(ic) OVER () AS m, count(*) OVER () AS n FROM ic_all WHERE ic IS NOT NULL)\nSELECT round(m"),
     "factor_decay": sql(
-        f"""SELECT horizon::BIGINT AS horizon, round(avg(ic), 6) + 0e0 AS mean_ic, count(ic) AS n_days FROM (SELECT time, horizon, CASE WHEN count(*) >= 5 THEN covar_pop(x, y) / nullif(stddev_pop(x) * stddev_pop(y), 0) END AS ic FROM (
- SELECT time, horizon, rank() OVER (PARTITION BY time, horizon ORDER BY alpha_score) + (count(*) OVER (PARTITION BY time, horizon, alpha_score) - 1) / 2e0 AS x, rank() OVER (PARTITION BY time, horizon ORDER BY r) + (count(*) OVER (PARTITION BY time, horizon, r) - 1) / 2e0 AS y FROM (
+        f"""SELECT horizon::BIGINT AS horizon, round(avg(ic), 6) + 0e0 AS mean_ic, count(ic) AS n_days FROM (SELECT time, horizon, {IC} AS ic FROM (
+ SELECT time, horizon, 2 * rank() OVER (PARTITION BY time, horizon ORDER BY alpha_score) + count(*) OVER (PARTITION BY time, horizon, alpha_score) - 1 AS x, 2 * rank() OVER (PARTITION BY time, horizon ORDER BY r) + count(*) OVER (PARTITION BY time, horizon, r) - 1 AS y FROM (
   SELECT time, alpha_score, h AS horizon, greatest(least(list_extract([{', '.join(f'c{h}' for h in range(5, 65, 5))}], h // 5) / close - 1, 0.5e0), -0.5e0) AS r FROM rank_all_3
   JOIN (SELECT symbol, time, close, {', '.join(f'lead(close, {h}) OVER w AS c{h}' for h in range(5, 65, 5))} FROM ohlcv {W}) f USING (symbol, time) CROSS JOIN (SELECT unnest(range(5, 65, 5)) AS h) hs
   WHERE alpha_score IS NOT NULL AND {' AND '.join(f'c{h} IS NOT NULL' for h in range(5, 65, 5))}) a) b GROUP BY time, horizon) c GROUP BY horizon""",
@@ -259,6 +261,11 @@ ORACLES = {
     "rsi_step": sql(_latest("rsi", f"symbol, time, {r('rsi_14', 'average_gain_14', 'average_loss_14')}"), "rsi"),
     "atr_step": sql(_latest("(SELECT symbol, time, a AS atr_14_w FROM b LEFT JOIN atr_r USING (symbol, i)) y", f"symbol, time, {r('atr_14_w')}"), "atr_r"),
     "streak_step": sql(_latest("str_1", "symbol, time, suggestion, positive_streak"), "str_1"),
+    **{f"structural_step_v{v}": sql(_latest(f"str_{v}", "symbol, time, suggestion, positive_streak"), f"str_{v}") for v in (2, 3)},
+    **{f"incremental_rank_v{v}": sql(f"SELECT time, symbol, {r('alpha_score')} FROM rank_all_{v} WHERE time = '{DATE} 07:00:00'::TIMESTAMP", f"rank_all_{v}") for v in (1, 2)},
+    "ranking_order": sql("SELECT time, symbol, row_number() OVER (PARTITION BY time ORDER BY alpha_score DESC NULLS LAST, symbol) AS place FROM rank_all_3", "rank_all_3"),
+    "prices_between": sql(f"SELECT symbol, time, close FROM ohlcv WHERE symbol = '{SYMBOL}' AND time BETWEEN '{START}'::TIMESTAMP AND '{END}'::TIMESTAMP", "ohlcv"),
+    "vendor_bars": sql(f"SELECT 'X' AS symbol, time, open, high, low, close, volume FROM ohlcv WHERE symbol = '{SYMBOL}'", "ohlcv"),
     "incremental_regime": sql(_latest("reg", "time, suggestion, positive_streak", ""), "reg"),
     "last_n_window": sql(f"SELECT symbol, time, close FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY time DESC) AS k FROM ohlcv WHERE time < DATE '{DATE}' + INTERVAL 1 DAY) x WHERE k <= 21", "ohlcv"),
     "incremental_sma": sql(_latest("sma", f"symbol, time, {r('sma_20', 'sma_50', 'sma_200')}"), "sma"),

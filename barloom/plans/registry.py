@@ -289,6 +289,42 @@ def streak_step(s, d):
     return state.decision_step(decisions.structural(f, 1), state.latest(f, DATE), decisions.possible(1), "symbol", "POSSIBLE", "AVOID")
 
 
+def _structural_step(version: int):
+    def run(s, d):
+        f = indicators.features(bars(s, d))
+        return state.decision_step(decisions.structural(f, version), state.latest(f, DATE), decisions.possible(version), "symbol", "POSSIBLE", "AVOID")
+
+    return run
+
+
+def _incremental_rank(version: int):
+    return lambda s, d: rounded(ranking.rank(features(s, d).filter(F.col("time") == state.session(DATE)), version))
+
+
+for _v in (2, 3):
+    QUERIES[f"structural_step_v{_v}"] = _structural_step(_v)
+for _v in (1, 2):
+    QUERIES[f"incremental_rank_v{_v}"] = _incremental_rank(_v)
+
+
+@query
+def ranking_order(s, d):
+    """Each symbol's place within its session."""
+    return ranking.placed(ranking.rank(features(s, d), 3)).select("time", "symbol", "place")
+
+
+@query
+def prices_between(s, d):
+    return ingest.query(s, "SELECT symbol, time, close FROM {bars} WHERE symbol = :symbol AND time BETWEEN CAST(:start AS TIMESTAMP_NTZ) AND CAST(:end AS TIMESTAMP_NTZ)", {"bars": bars(s, d)}, symbol=SYMBOL, start=START, end=END)
+
+
+@query
+def vendor_bars(s, d):
+    """One symbol's bars as a vendor gives them: without the symbol, all of them text."""
+    raw = bars(s, d).filter(F.col("symbol") == SYMBOL).drop("symbol")
+    return ingest.vendor_bars(raw.select("time", *[F.col(x).cast("string").alias(x) for x in ("open", "high", "low", "close", "volume")]), "X")
+
+
 @query
 def incremental_regime(s, d):
     f = decisions.regime_input(index(s, d))

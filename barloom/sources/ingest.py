@@ -17,7 +17,7 @@ def read_index_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def trimmed(df: DataFrame) -> DataFrame:
     """All text columns without white space at their ends."""
-    return df.select(*[F.trim(f.name).alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in df.schema])
+    return df.select(*[F.regexp_replace(f.name, r"^[\s\u00A0]+|[\s\u00A0]+$", "").alias(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name) for f in df.schema])
 
 
 def magnitude(x: Column) -> Column:
@@ -61,6 +61,29 @@ def write_table(df: DataFrame, path: str, partition: str | None = None) -> None:
     writer.parquet(path)
 
 
-def query(spark: SparkSession, sql: str, **parameters) -> DataFrame:
-    """A parameterised query with named markers; errors are raised."""
-    return spark.sql(sql, args=parameters)
+def query(spark: SparkSession, sql: str, tables: dict[str, DataFrame] | None = None, **parameters) -> DataFrame:
+    """A parameterised query with named markers, over tables in braces; errors are raised."""
+    return spark.sql(sql, args=parameters, **(tables or {}))
+
+
+def replace_table(df: DataFrame, path: str) -> str:
+    """Commits `df` as the next version of the table at `path`, which `df` may have been read from, and returns the
+    version's folder. Readers see the old version until the new one is complete: the folder's name holds its number,
+    and a version without Spark's _SUCCESS mark does not count."""
+    version = f"{path}/version={_latest_version(df.sparkSession, path) + 1:09d}"
+    df.write.mode("overwrite").parquet(version)
+    return version
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The latest complete version of a table that `replace_table` wrote."""
+    latest = _latest_version(spark, path)
+    if latest < 0:
+        raise ValueError(f"no complete version of a table at {path}")
+    return spark.read.parquet(f"{path}/version={latest:09d}")
+
+
+def _latest_version(spark: SparkSession, path: str) -> int:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folder) or []
+    return max((int(f.getPath().getParent().getName().rpartition("=")[2]) for f in found), default=-1)
