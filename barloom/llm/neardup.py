@@ -15,9 +15,9 @@ gives the pairs that hold its likely classes together (to hubs, among hubs, and
 document and never all pairs of a large group; hubs of several chunks of one band value meet again. Each pair is
 verified by the exact weighted Jaccard similarity of the two whole texts. Classes are the connected components of
 the verified links, found by label propagation on tables. Then all pairs of different classes that share a large band
-value are compared, block against block, and the possible ones verified too, so that what the chunks leave out parts
-no class. That step grows with the square of the different classes that share a band value; only pairs that both
-estimates place near the threshold become rows.
+value are compared, block against block, and the possible ones verified where they meet, so that what the chunks leave
+out parts no class. That step grows with the square of the different classes that share a band value; only links
+become rows.
 """
 
 from __future__ import annotations
@@ -42,7 +42,9 @@ IDF_SHARE = 0.25
 IDF_WORDS = 1 << 18
 #: Documents of one band value that meet in a task.
 CHUNK = 512
-#: How often the hubs of the chunks of one band value meet again; what has not met by then does in `crossing_pairs`.
+#: Text that blocks of `crossing_links` hold beside that.
+CHUNK_BYTES = 16 << 20
+#: How often the hubs of the chunks of one band value meet again; what has not met by then does in `crossing_links`.
 ROUNDS = 4
 #: Estimated similarity from which a pair of a large chunk looks close, and bytes of the outline that estimates it.
 HINT, OUTLINE = 0.70, 256
@@ -300,23 +302,36 @@ def candidate_pairs(signed: DataFrame) -> DataFrame:
         members = again.drop("n").join(total, ["band", "value"]).select(F.col("a").alias("doc_id"), "sketch", "band", "value", "n")
 
 
-def crossing_pairs(signed: DataFrame, found: DataFrame) -> DataFrame:
-    """(a, b): all possible pairs of different classes that share a band value of more than SMALL documents.
+def similarities(own: tuple[np.ndarray, np.ndarray], others: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Weighted Jaccard similarity of a non-empty set to each of several non-empty ones."""
+    g, w = (np.concatenate([x[k] for x in others]) for k in (0, 1))
+    start = np.cumsum([0] + [len(x[0]) for x in others[:-1]])
+    at = np.minimum(np.searchsorted(own[0], g), len(own[0]) - 1)
+    both = np.add.reduceat(np.where(own[0][at] == g, np.minimum(w, own[1][at]), 0.0), start)
+    return both / (own[1].sum() + np.add.reduceat(w, start) - both)
+
+
+def crossing_links(signed: DataFrame, found: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
+    """(a, b, similarity): all links between different classes that share a band value of more than SMALL documents.
 
     The documents of a band value are dealt to blocks, a class of CHUNK or more to its own ones, and every two blocks
-    meet but those of one class. A pair is compared in the first band that it shares. Smaller values have
-    been compared whole by `candidate_pairs`.
+    meet but those of one class, with the texts of both: possible pairs are verified where they meet, so that no
+    pair becomes a row but a link, and a text is cut into shingles once a meeting. A block has about CHUNK documents
+    or CHUNK_BYTES of text at most. A pair is compared in the first band that it shares. Smaller values have been
+    compared whole by `candidate_pairs`. `signed` has digest and size beside the sketches, `texts` digest and text.
     """
     spark = signed.sparkSession
-    known = signed.join(found, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), "sketch", "bands")
-    entries = known.select("doc_id", "class_id", F.posexplode("bands").alias("band", "value"))
-    sizes = entries.groupBy("band", "value", "class_id").agg(F.count("*").alias("n"))
-    large = F.col("n") >= CHUNK
-    mixed = sizes.groupBy("band", "value").agg(F.sum(F.when(large, 0).otherwise(F.col("n"))).alias("rest"), F.sum("n").alias("total"), F.count("*").alias("several"))
+    shared = spark.sparkContext.broadcast(idf)
+    known = signed.join(found, "doc_id", "left").select("doc_id", "digest", "size", F.coalesce("class_id", "doc_id").alias("class_id"), "sketch", "bands")
+    entries = known.select("doc_id", "class_id", "size", F.posexplode("bands").alias("band", "value"))
+    sizes = entries.groupBy("band", "value", "class_id").agg(F.count("*").alias("n"), (F.count("*") / CHUNK + F.sum("size") / CHUNK_BYTES).alias("load"))
+    large = F.col("load") >= 1
+    mixed = sizes.groupBy("band", "value").agg(F.sum(F.when(large, 0).otherwise(F.col("load"))).alias("rest"), F.sum("n").alias("total"), F.count("*").alias("several"))
     mixed = mixed.filter((F.col("total") > SMALL) & (F.col("several") > 1)).drop("several", "total")
-    dealt = materialize(sizes.join(mixed, ["band", "value"]).select("band", "value", "class_id", large.alias("own"), F.greatest(F.lit(1), F.ceil(F.when(large, F.col("n")).otherwise(F.col("rest")) / CHUNK)).alias("parts")), "class-sizes")
+    parts = F.greatest(F.lit(1), F.ceil(F.when(large, F.col("load")).otherwise(F.col("rest"))))
+    dealt = materialize(sizes.join(mixed, ["band", "value"]).select("band", "value", "class_id", large.alias("own"), parts.alias("parts")), "class-sizes")
     if dealt.isEmpty():
-        return spark.createDataFrame([], "a long, b long")
+        return spark.createDataFrame([], "a long, b long, similarity double")
     block = F.struct("own", F.when(F.col("own"), F.col("class_id")).otherwise(F.lit(0)).alias("of"), F.pmod(F.xxhash64("doc_id", "band"), "parts").alias("part"))
     placed = entries.join(dealt, ["band", "value", "class_id"]).select("doc_id", "band", "value", block.alias("block"))
     placed = materialize(placed, "blocks")
@@ -325,7 +340,9 @@ def crossing_pairs(signed: DataFrame, found: DataFrame) -> DataFrame:
     meets = blocks.withColumnRenamed("block", "left").join(other, ["band", "value"]).filter("left <= right AND NOT (left.own AND right.own AND left.of = right.of)")
     meets = materialize(meets.select("band", "value", "left", "right", F.monotonically_increasing_id().alias("meet")), "meets")
     sides = meets.select("band", "value", F.col("left").alias("block"), "meet", F.lit(0).alias("side")).unionByName(meets.filter("left != right").select("band", "value", F.col("right").alias("block"), "meet", F.lit(1).alias("side")))
-    rows = placed.join(sides, ["band", "value", "block"]).select("doc_id", "band", "meet", "side").join(known, "doc_id")
+    spread = texts.groupBy("digest").agg(F.first("text").alias("text"))
+    present = known.join(placed.select("doc_id").distinct(), "doc_id").join(spread, "digest").drop("digest", "size")
+    rows = placed.join(sides, ["band", "value", "block"]).select("doc_id", "band", "meet", "side").join(present, "doc_id")
     rows = rows.repartition(width(spark), "meet").sortWithinPartitions("meet", "side")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -334,15 +351,24 @@ def crossing_pairs(signed: DataFrame, found: DataFrame) -> DataFrame:
                 docs, label, side = (b[c].to_numpy(np.int64) for c in ("doc_id", "class_id", "side"))
                 sketch = np.frombuffer(b"".join(b["sketch"]), np.uint8).reshape(len(b), -1)
                 bands, band = np.stack(b["bands"].tolist()), int(b["band"].iloc[0])
-                left, right, out = np.flatnonzero(side == 0), np.flatnonzero(side == 1), []
+                left, right, near = np.flatnonzero(side == 0), np.flatnonzero(side == 1), {}
                 for k in left:
                     j = right if len(right) else left[left > k]
                     j = j[label[j] != label[k]]
                     j = possible(sketch, k, j[(bands[j] == bands[k]).argmax(1) == band])
-                    out.append(np.stack([np.minimum(docs[j], docs[k]), np.maximum(docs[j], docs[k])], 1))
-                yield pd.DataFrame(np.concatenate(out), columns=["a", "b"])
+                    if len(j):
+                        near[k] = j
+                used = np.unique(np.concatenate([np.array(list(near), np.int64), *near.values()]))
+                g, w, counts = shingles(b["text"].iloc[used].tolist(), shared.value)
+                end = np.cumsum(counts)
+                sets = {k: (g[e - n : e], w[e - n : e]) for k, e, n in zip(used, end, counts, strict=True)}
+                links: list[tuple[int, int, float]] = []
+                for k, j in near.items():
+                    x = similarities(sets[k], [sets[i] for i in j])
+                    links += [(min(docs[k], docs[i]), max(docs[k], docs[i]), y) for i, y in zip(j, x, strict=True) if y >= threshold - 1e-9]
+                yield pd.DataFrame(links, columns=["a", "b", "similarity"]).astype({"a": "int64", "b": "int64", "similarity": "float64"})
 
-    return rows.mapInPandas(run, "a long, b long")
+    return rows.mapInPandas(run, "a long, b long, similarity double")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataFrame:
@@ -401,7 +427,7 @@ def class_table(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     text that stands for its class), keeper_id (the least doc_id of that text)."""
     spark = docs.sparkSession
     texts = whole_texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.md5("text")).alias("digest"), "text")
-    named = texts.groupBy("digest").agg(F.min("doc_id").alias("least"))
+    named = texts.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max(F.octet_length("text")).alias("size"))
     named = materialize(named.withColumn("node", F.monotonically_increasing_id()), "named-texts")
     n_docs = docs.count()
     idf = word_shares(texts, n_docs)
@@ -421,19 +447,16 @@ def class_table(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
                 yield pd.DataFrame({"digest": b["digest"][counts > 0], "sketch": [x.tobytes() for x in np.hstack([outlines(g, counts), s.astype(np.uint8), repetition(part, counts)[:, None]])], "bands": list(bands)})
 
     signed = texts.select("digest", "text").mapInPandas(sign, "digest binary, sketch binary, bands array<long>")
-    signed = signed.join(named, "digest").select(F.col("node").alias("doc_id"), "sketch", "bands").dropDuplicates(["doc_id"])
+    signed = signed.join(named, "digest").select(F.col("node").alias("doc_id"), "digest", "size", "sketch", "bands").dropDuplicates(["doc_id"])
     signed = materialize(signed, "sketches")
     ends = [named.select(F.col("node").alias(x), F.col("digest").alias(f"d{x}")) for x in "ab"]
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        return materialize(verified(pairs.join(ends[0], "a").join(ends[1], "b"), texts.select("digest", "text"), idf, threshold).dropDuplicates(["a", "b"]), "links")
-
     pairs = materialize(candidate_pairs(signed), "pairs")
-    links = linked(pairs)
+    links = materialize(verified(pairs.join(ends[0], "a").join(ends[1], "b"), texts.select("digest", "text"), idf, threshold).dropDuplicates(["a", "b"]), "links")
     found = components(links)
-    crossing = materialize(crossing_pairs(signed, found).join(pairs, ["a", "b"], "left_anti"), "crossing")
+    crossing = materialize(crossing_links(signed, found, texts.select("digest", "text"), idf, threshold), "crossing")
     if not crossing.isEmpty():
-        links = links.unionByName(linked(crossing))
+        links = links.unionByName(crossing)
         found = components(links)
     found = found.withColumnRenamed("doc_id", "node")
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n"))
