@@ -14,7 +14,7 @@ short outlines. A chunk
 gives the pairs that hold its likely classes together (to hubs, among hubs, and to the most similar ones), a few a
 document and never all pairs of a large group; hubs of several chunks of one band value meet again. Each pair is
 verified by the exact weighted Jaccard similarity of the two whole texts. Classes are the connected components of
-the verified links, found by label propagation on tables. Then all pairs of different classes that share a large band
+the verified links, found by contraction on tables. Then all pairs of different classes that share a large band
 value are compared, block against block, and the possible ones verified where they meet, so that what the chunks leave
 out parts no class. That step grows with the square of the different classes that share a band value; only links
 become rows.
@@ -407,19 +407,38 @@ def verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataF
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(doc_id, class_id): the least id of each connected component of a stored table of links (a, b)."""
-    edges = materialize(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = materialize(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")), "labels")
+    """(doc_id, class_id): for every document of a stored table of links (a, b) one document of its connected component.
+
+    In a round each document takes the one with the least digest among itself and its neighbours, and links become links
+    between the documents taken. Those within one vanish, so that what a round joins shrinks by a constant share, on long
+    chains as well. An order of digests serves two rounds: a star, whatever its size, is gone after these.
+    """
+    edges, labels, depth = links.select("a", "b").filter("a != b"), None, 0
     while True:
-        near = edges.join(labels.withColumnRenamed("a", "b"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        lower = labels.join(near, "a").select("a", "label", F.least("label", "near").alias("low"))
-        root = labels.select(F.col("a").alias("low"), F.col("label").alias("further"))
-        step = lower.join(root, "low", "left").select("a", F.least("low", F.coalesce("further", "low")).alias("label"), (F.least("low", F.coalesce("further", "low")) != F.col("label")).alias("moved"))
-        step = materialize(step, "labels")
-        moved = step.filter("moved").limit(1).count()
-        labels = step.select("a", "label")
-        if not moved:
-            return labels.select(F.col("a").alias("doc_id"), F.col("label").alias("class_id"))
+        rank = {x: F.struct(F.xxhash64(x, F.lit(depth // 2)).alias("digest"), F.col(x).alias("of")) for x in "ab"}
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        taken = both.groupBy("a").agg(F.min(rank["b"]).alias("near")).select("a", F.least(rank["a"], "near").alias("least")).select("a", F.col("least.of").alias("to"))
+        taken = materialize(taken, "taken")
+        if labels is None:
+            labels = taken.select(F.col("a").alias("doc_id"), F.col("to").alias("class_id"))
+        else:
+            further = taken.select(F.col("a").alias("class_id"), "to")
+            labels = materialize(labels.join(further, "class_id", "left").select("doc_id", F.coalesce("to", "class_id").alias("class_id")), "labels")
+        edges = edges.join(taken.withColumnRenamed("to", "x"), "a").join(taken.select(F.col("a").alias("b"), F.col("to").alias("y")), "b")
+        edges = materialize(edges.filter("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+        if edges.isEmpty():
+            return labels
+        depth += 1
+
+
+def joined_classes(found: DataFrame, crossing: DataFrame) -> DataFrame:
+    """`found` (doc_id, class_id) after the links (a, b) of a stored table between its classes, or documents without one."""
+    alone = crossing.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().join(found, "doc_id", "left_anti")
+    every = materialize(found.unionByName(alone.select("doc_id", F.col("doc_id").alias("class_id"))), "classes-before")
+    between = crossing.select("a", "b").join(every.select(F.col("doc_id").alias("a"), F.col("class_id").alias("x")), "a").join(every.select(F.col("doc_id").alias("b"), F.col("class_id").alias("y")), "b")
+    whole = components(materialize(between.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "class-links"))
+    whole = whole.select(F.col("doc_id").alias("class_id"), F.col("class_id").alias("whole"))
+    return every.join(whole, "class_id", "left").select("doc_id", F.coalesce("whole", "class_id").alias("class_id"))
 
 
 def class_table(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -457,7 +476,7 @@ def class_table(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     crossing = materialize(crossing_links(signed, found, texts.select("digest", "text"), idf, threshold), "crossing")
     if not crossing.isEmpty():
         links = links.unionByName(crossing)
-        found = components(links)
+        found = joined_classes(found, crossing)
     found = found.withColumnRenamed("doc_id", "node")
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n"))
     known = named.join(found, "node", "left").join(degree, "node", "left").select("digest", "least", F.coalesce("class_id", "node").alias("class"), F.coalesce("n", F.lit(0)).alias("n_links"))

@@ -352,6 +352,47 @@ def test_near_duplicates_across_hubs(spark):
     assert all(got[a] == got[b] for a, b in _links(df, len(texts)))
 
 
+def _groups(pairs):
+    """The connected components of links, by plain search."""
+    near, seen, out = defaultdict(set), set(), set()
+    for a, b in pairs:
+        near[a].add(b), near[b].add(a)
+    for k in near:
+        if k not in seen:
+            group, todo = set(), [k]
+            while todo:
+                x = todo.pop()
+                if x not in group:
+                    group.add(x)
+                    todo += near[x]
+            seen |= group
+            out.add(frozenset(group))
+    return out
+
+
+def _as_groups(table):
+    got = defaultdict(set)
+    for x in table.collect():
+        assert x["doc_id"] not in got[x["class_id"]]
+        got[x["class_id"]].add(x["doc_id"])
+    assert all(label in group for label, group in got.items())
+    return {frozenset(g) for g in got.values()}
+
+
+def test_components_of_chains_stars_and_random_links(spark):
+    r = np.random.default_rng(3)
+    chain = [(k, k + 1) for k in range(300)]
+    star = [(1000, 1001 + k) for k in range(300)]
+    loose = [(2000 + int(a), 2000 + int(b)) for a, b in r.integers(0, 400, (220, 2))]
+    clique = [(3000 + a, 3000 + b) for a in range(12) for b in range(a)]
+    links = [(min(x), max(x)) for x in [*chain, *star, *loose, *clique, (5, 6)] if x[0] != x[1]]
+    table = lambda x: spark.createDataFrame(x, "a long, b long")
+    assert _as_groups(neardup.components(table(links))) == _groups(links)
+    assert neardup.components(table([])).count() == 0
+    more = [(0, 1000), (299, 2000), (3003, 9000), (9000, 9001), (9002, 9003)]
+    assert _as_groups(neardup.joined_classes(neardup.components(table(links)), table(more))) == _groups(links + more)
+
+
 def test_classes_do_not_hang_on_the_pairs_of_chunks(spark, monkeypatch):
     base = words(300, 60)
     rows = [(k, " ".join([*base[: 5 * k], f"own{k}", *base[5 * k + 1 :]])) for k in range(40)]
