@@ -54,6 +54,8 @@ SIGMAS = 3.0
 LEAST = math.floor(0.8 * ROWS * BANDS - SIGMAS * math.sqrt(0.8 * 0.2 * ROWS * BANDS)) + 1
 #: Documents in a chunk up to which all its close pairs are verified.
 SMALL = 24
+#: Characters of text that are cut into shingles at a time, which bounds what a worker holds beside its batch.
+PART = 1 << 20
 
 _tables: list[np.ndarray] = []
 
@@ -99,6 +101,27 @@ def shingles(texts: list[str], idf: tuple[np.ndarray, np.ndarray]) -> tuple[np.n
     return g[first], tf * (1 + IDF_SHARE * m[first]), np.bincount(o[first], minlength=len(texts))
 
 
+def parts(texts: list[str]) -> Iterator[slice]:
+    """Slices of at most PART characters, or of one text."""
+    start, size = 0, 0
+    for k, t in enumerate(texts):
+        if size and size + len(t) > PART:
+            yield slice(start, k)
+            start, size = k, 0
+        size += len(t)
+    if len(texts):
+        yield slice(start, len(texts))
+
+
+def shingle_sets(texts: list[str], idf: tuple[np.ndarray, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(digests, weights) of each text."""
+    for cut in parts(texts):
+        g, w, counts = shingles(texts[cut], idf)
+        end = np.cumsum(counts)
+        for n, e in zip(counts, end, strict=True):
+            yield g[e - n : e], w[e - n : e]
+
+
 def sketches(g: np.ndarray, weight: np.ndarray, counts: np.ndarray, samples: int) -> np.ndarray:
     """One row of `samples` digests for each non-empty set."""
     r, inverse, log_c, beta = _random_tables()
@@ -132,14 +155,18 @@ def word_shares(texts: DataFrame, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            words, counts = word_digests([t.encode() for t in b["text"]])
-            owner = np.repeat(np.arange(len(b)), counts)
-            order = np.argsort(words, kind="stable")  # documents stay in order within a word
-            w, o = words[order], owner[order]
-            new = np.concatenate([[True], (w[1:] != w[:-1]) | (o[1:] != o[:-1])])[: len(w)]
-            w = w[new]
-            first = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]])[: len(w)])
-            yield pd.DataFrame({"word": w[first].view(np.int64), "df": np.diff(np.append(first, len(w)))})
+            texts, found = b["text"].tolist(), []
+            for cut in parts(texts):
+                words, counts = word_digests([t.encode() for t in texts[cut]])
+                owner = np.repeat(np.arange(len(counts)), counts)
+                order = np.argsort(words, kind="stable")  # documents stay in order within a word
+                w, o = words[order], owner[order]
+                w = w[np.concatenate([[True], (w[1:] != w[:-1]) | (o[1:] != o[:-1])])[: len(w)]]
+                found.append(np.unique(w, return_counts=True))
+            if found:
+                words, place = np.unique(np.concatenate([x[0] for x in found]), return_inverse=True)
+                df = np.bincount(place, np.concatenate([x[1] for x in found]), len(words)).astype(np.int64)
+                yield pd.DataFrame({"word": words.view(np.int64), "df": df})
 
     df = texts.select("text").mapInPandas(run, "word long, df long").groupBy("word").agg(F.sum("df").alias("df"))
     rows = df.filter(F.col("df") * IDF_FLOOR >= n_docs).orderBy(F.col("df").desc(), "word").limit(IDF_WORDS).collect()
@@ -359,9 +386,7 @@ def crossing_links(signed: DataFrame, found: DataFrame, texts: DataFrame, idf, t
                     if len(j):
                         near[k] = j
                 used = np.unique(np.concatenate([np.array(list(near), np.int64), *near.values()]))
-                g, w, counts = shingles(b["text"].iloc[used].tolist(), shared.value)
-                end = np.cumsum(counts)
-                sets = {k: (g[e - n : e], w[e - n : e]) for k, e, n in zip(used, end, counts, strict=True)}
+                sets = dict(zip(used, shingle_sets(b["text"].iloc[used].tolist(), shared.value), strict=True))
                 links: list[tuple[int, int, float]] = []
                 for k, j in near.items():
                     x = similarities(sets[k], [sets[i] for i in j])
@@ -388,20 +413,15 @@ def verified(pairs: DataFrame, texts: DataFrame, idf, threshold: float) -> DataF
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         leader, own = None, None
         for whole in batches:
-            for at in range(0, len(whole), 500):
-                b = whole.iloc[at : at + 500]
-                g, w, counts = shingles(b["text"].tolist(), shared.value)
-                end = np.cumsum(counts)
-                rows = []
-                for k, (a, role, doc) in enumerate(zip(b["a"], b["role"], b["doc_id"], strict=True)):
-                    s = slice(end[k] - counts[k], end[k])
-                    if role == 0:
-                        leader, own = a, (g[s], w[s])
-                    elif leader == a:
-                        x = similarity(own, (g[s], w[s]))
-                        if x >= threshold - 1e-9:
-                            rows.append((a, doc, x))
-                yield pd.DataFrame(rows, columns=["a", "b", "similarity"]).astype({"a": "int64", "b": "int64", "similarity": "float64"})
+            rows = []
+            for a, role, doc, found in zip(whole["a"], whole["role"], whole["doc_id"], shingle_sets(whole["text"].tolist(), shared.value), strict=True):
+                if role == 0:
+                    leader, own = a, tuple(x.copy() for x in found)
+                elif leader == a:
+                    x = similarity(own, found)
+                    if x >= threshold - 1e-9:
+                        rows.append((a, doc, x))
+            yield pd.DataFrame(rows, columns=["a", "b", "similarity"]).astype({"a": "int64", "b": "int64", "similarity": "float64"})
 
     return dealt.mapInPandas(run, "a long, b long, similarity double")
 
@@ -455,8 +475,8 @@ def class_table(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for whole in batches:
             whole = whole.drop_duplicates("digest")
-            for at in range(0, len(whole), 2000):
-                b = whole.iloc[at : at + 2000]
+            for cut in parts(whole["text"].tolist()):
+                b = whole.iloc[cut]
                 part = b["text"].tolist()
                 g, w, counts = shingles(part, shared.value)
                 if not len(g):
