@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm import byterepeats, decontaminate, neardup, packing, pii, quality, secrets, token_counts, toxicity, wordrepeats
+from barloom.llm import alignment, byterepeats, decontaminate, lexical, neardup, packing, pii, quality, secrets, simhash, token_counts, toxicity, wordrepeats
 from barloom.llm.common import load
 
 
@@ -51,6 +51,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), cache, limit=1024)
 
 
-QUERIES = {f.__name__: f for f in (op1_decontamination, op2_near_dedup, op3_secret_scan, op4_pii, op5_substring_dedup, op6_quality_rules, op7_best_fit_packing, op8_toxicity, op9_suffix_dedup, op10_token_counts)}
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), k=10)
 
-ORACLE_SQL: dict[str, str] = {"op3_secret_scan": secrets.ORACLE, "op6_quality_rules": quality.ORACLE}
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(load(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontamination, op2_near_dedup, op3_secret_scan, op4_pii, op5_substring_dedup, op6_quality_rules, op7_best_fit_packing, op8_toxicity, op9_suffix_dedup, op10_token_counts, op11_lexical_search, op12_token_alignment, op13_simhash_dedup)}
+
+ORACLE_SQL: dict[str, str] = {"op3_secret_scan": secrets.ORACLE, "op6_quality_rules": quality.ORACLE, "op11_lexical_search": lexical.ORACLE}
