@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from barloom.functions.series import by_symbol, change, ewm, of_index, percentile_rank, roll, roll_before
@@ -64,7 +64,11 @@ def stock_rsi(bars: DataFrame) -> DataFrame:
     weight = F.when(F.col("_i") == 1, 1.0).otherwise(1.0 / WILDER)
     gain = F.when(F.col("_d").isNotNull(), F.greatest("_d", F.lit(0.0))) * weight
     loss = F.when(F.col("_d").isNotNull(), F.greatest(-F.col("_d"), F.lit(0.0))) * weight
-    d = ewm(d, {"_g": gain, "_l": loss}, 1, DECAY, ["symbol"], "_i")
+    return relative_strength(ewm(d, {"_g": gain, "_l": loss}, 1, DECAY, ["symbol"], "_i"))
+
+
+def relative_strength(d: DataFrame) -> DataFrame:
+    """The strength from the averages _g of gains and _l of losses and the row _i."""
     g, loss_, ready = F.col("_g"), F.col("_l"), F.col("_i") >= WILDER
     rsi = F.when(loss_ > 0, 100 - 100 / (1 + F.try_divide(g, loss_))).when(g > 0, 100.0)
     return d.select("symbol", "time", F.when(ready, rsi).alias("rsi_14"), F.when(ready, g).alias("average_gain_14"), F.when(ready, loss_).alias("average_loss_14"))
@@ -108,14 +112,17 @@ def stock_atr_ewm(bars: DataFrame) -> DataFrame:
     return _with_wilder_atr(d, 0).select("symbol", "time", F.col("atr_14_w").alias("atr_14_e"))
 
 
+def index_lags(w: WindowSpec) -> dict[str, Column]:
+    return {c: change(F.col("close"), n, w) for c, n in INDEX_LAGS.items()}
+
+
 def index_momentum(index: DataFrame) -> DataFrame:
-    w = of_index()
-    return index.select("time", *[change(F.col("close"), n, w).alias(c) for c, n in INDEX_LAGS.items()])
+    return index.select("time", *[x.alias(c) for c, x in index_lags(of_index()).items()])
 
 
-def regime_features() -> dict[str, Column]:
+def regime_features(w: WindowSpec | None = None) -> dict[str, Column]:
     """The four features of the regime over an index with close and the log return _r, all in one order."""
-    w, close = of_index(), F.col("close")
+    w, close = w if w is not None else of_index(), F.col("close")
     top = roll(F.max, close, 40, w)
     return {
         "m_60d": change(close, INDEX_LAGS["m_60d"], w),

@@ -312,3 +312,7 @@ UNION ALL SELECT 0::BIGINT, {" || ' | ' || ".join(f"rpad('{c}', w_{c}, ' ')" for
     f"wd AS MATERIALIZED (SELECT {', '.join(f'greatest(coalesce(max(length(c_{c})), 0), {len(c)})::INT AS w_{c}' for c in _SHOWN)} FROM c)\nSELECT (k + 1)",
     1,
 )
+
+#: The same results by two-level scans.
+for _name, _plain in {"regime_by_blocks": "regime", "index_momentum_by_blocks": "index_momentum", "stock_rsi_by_blocks": "stock_rsi", "stock_volatility_by_blocks": "stock_volatility", "spread_equity_by_blocks": "spread_equity", "newey_west_by_blocks": "ic_newey_west"}.items():
+    ORACLES[_name] = ORACLES[_plain]

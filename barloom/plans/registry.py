@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators import backtest, decisions, indicators, ranking, serving, state, trades
+from barloom.operators import backtest, decisions, indicators, longseries, ranking, serving, state, trades
 from barloom.sources import fixtures, ingest
 
 #: The day up to which incremental steps look, and the range of forward returns and simulations.
@@ -392,3 +392,37 @@ def parse_index_csv(s, d):
 @query
 def date_sequence(s, d):
     return state.date_sequence(s, "2024-02-27", "2024-03-02")
+
+
+#: Rows of a block of the two-level scans, so that the index of the given tables has eight.
+BLOCK_ROWS = 320
+
+
+@query
+def regime_by_blocks(s, d):
+    return longseries.regime(index(s, d), BLOCK_ROWS)
+
+
+@query
+def index_momentum_by_blocks(s, d):
+    return rounded(longseries.index_momentum(index(s, d), BLOCK_ROWS))
+
+
+@query
+def stock_rsi_by_blocks(s, d):
+    return rounded(longseries.stock_rsi(bars(s, d), BLOCK_ROWS))
+
+
+@query
+def stock_volatility_by_blocks(s, d):
+    return rounded(longseries.stock_volatility(bars(s, d), BLOCK_ROWS).select("symbol", "time", "vol_20d", "vol_60d", "vol_126d", "vol_252d", "atr_14_r", "parkinson_20d"))
+
+
+@query
+def spread_equity_by_blocks(s, d):
+    return rounded(longseries.spread_equity(backtest.spread_daily(scored(s, d)), BLOCK_ROWS))
+
+
+@query
+def newey_west_by_blocks(s, d):
+    return rounded(longseries.newey_west(backtest.ic_daily(scored(s, d)), rows=BLOCK_ROWS))
