@@ -9,6 +9,8 @@ into one task:
 3. `running` and `affine`: scans that look back without bound. A block leaves one summary row (a total, a greatest value,
    an affine map); summaries are combined in order, and each block goes on from what the blocks before it add up to.
    Only summaries, one in `rows` rows, meet by key.
+
+Rows whose key is NULL belong to no series and are left out.
 """
 
 from __future__ import annotations
@@ -77,8 +79,9 @@ def streak(df: DataFrame, key: list[str], name: str, condition: Column) -> DataF
     return d.withColumn(name, (F.col("_i") - F.coalesce("_broken", F.lit(-1))).cast("long")).drop("_broken")
 
 
-def affine(df: DataFrame, key: list[str], name: str, x: Column, decay: float, rows: int, seed: int = 0) -> DataFrame:
-    """Adds y[i] = decay * y[i-1] + x[i] from row `seed` on (y of the seed and of rows before it: the sum of x so far).
+def affine(df: DataFrame, key: list[str], terms: dict[str, Column], decay: float, rows: int, seed: int = 0) -> DataFrame:
+    """Adds, for each name and column x of terms, y[i] = decay * y[i-1] + x[i] from row `seed` on (y of the seed and of rows
+    before it: the sum of x so far).
 
     Inside a block y is a running sum of x / decay**i. A block is the affine map y -> decay**rows * y + last, and
     the maps in order are such a recursion again, with one row a block.
@@ -86,11 +89,10 @@ def affine(df: DataFrame, key: list[str], name: str, x: Column, decay: float, ro
     if not 0 <= seed < rows or -rows * math.log10(decay) > 250:
         raise ValueError("blocks must hold the seed and keep powers of the decay within range")
     at = F.greatest(F.col("_i") - seed, F.lit(0)) - F.greatest(F.col("_block") * rows - seed, F.lit(0))
-    power = F.pow(F.lit(decay), at)
-    d = df.withColumn("_y", F.sum(x / power).over(_so_far(key)) * power)
-    last = d.groupBy(*key, "_block").agg(F.max_by("_y", "_i").alias("_last")).withColumnRenamed("_block", "time")
-    step = decay**rows
-    ends = ewm(last, {"_end": F.col("_last")}, 0, step, key, "time", max(1, int(-250 / math.log10(step))))
-    before = ends.select(*key, F.col("time").alias("_block"), F.lag("_end").over(by_key(key).orderBy("time")).alias("_before"))
+    power, step = F.pow(F.lit(decay), at), decay**rows
+    d = df.withColumns({name: F.sum(x / power).over(_so_far(key)) * power for name, x in terms.items()})
+    last = d.groupBy(*key, "_block").agg(*[F.max_by(name, "_i").alias(f"{name}_last") for name in terms]).withColumnRenamed("_block", "time")
+    ends = ewm(last, {f"{name}_end": F.col(f"{name}_last") for name in terms}, 0, step, key, "time", max(1, int(-250 / math.log10(step))))
+    before = ends.select(*key, F.col("time").alias("_block"), *[F.lag(f"{name}_end").over(by_key(key).orderBy("time")).alias(f"{name}_before") for name in terms])
     d = d.join(before, [*key, "_block"])
-    return d.withColumn(name, F.col("_y") + F.coalesce(F.col("_before") * power * decay, F.lit(0.0))).drop("_y", "_before")
+    return d.withColumns({name: F.col(name) + F.coalesce(F.col(f"{name}_before") * power * decay, F.lit(0.0)) for name in terms}).drop(*[f"{name}_before" for name in terms])

@@ -36,9 +36,8 @@ def stock_rsi(bars: DataFrame, rows: int = ROWS) -> DataFrame:
     """indicators.stock_rsi, with each symbol's series in blocks: a symbol with most of the rows is many tasks."""
     d = within_blocks(bars.select("symbol", "time", "close"), ["symbol"], rows, 1, lambda w: {"_d": F.col("close") - F.lag("close").over(w)})
     weight = F.when(F.col("_i") == 1, 1.0).otherwise(1.0 / WILDER)
-    for name, sign in (("_g", 1.0), ("_l", -1.0)):
-        d = affine(d, ["symbol"], name, F.when(F.col("_d").isNotNull(), F.greatest(sign * F.col("_d"), F.lit(0.0))) * weight, DECAY, rows, 1)
-    return relative_strength(d)
+    moves = {name: F.when(F.col("_d").isNotNull(), F.greatest(sign * F.col("_d"), F.lit(0.0))) * weight for name, sign in (("_g", 1.0), ("_l", -1.0))}
+    return relative_strength(affine(d, ["symbol"], moves, DECAY, rows, 1))
 
 
 def stock_volatility(bars: DataFrame, rows: int = ROWS) -> DataFrame:
@@ -56,7 +55,7 @@ def stock_volatility(bars: DataFrame, rows: int = ROWS) -> DataFrame:
         return {f"vol_20d_pct_{n}": percentile_rank(F.round("vol_20d", TIE_DIGITS), n, w) for n in (126, 252)}
 
     d = within_blocks(bars.select("symbol", "time", "high", "low", "close"), ["symbol"], rows, 1 + 20 + max(VOLATILITY_DAYS), first, second, third)
-    d = affine(d, ["symbol"], "_atr", F.col("_tr") / WILDER, DECAY, rows, WILDER - 1)
+    d = affine(d, ["symbol"], {"_atr": F.col("_tr") / WILDER}, DECAY, rows, WILDER - 1)
     ranks = [f"vol_20d_pct_{n}" for n in (126, 252)]
     return d.select("symbol", "time", *[f"vol_{n}d" for n in VOLATILITY_DAYS], "atr_14_r", F.when(F.col("_i") >= WILDER - 1, F.col("_atr")).alias("atr_14_w"), "parkinson_20d", *ranks)
 
