@@ -61,7 +61,7 @@ def test_no_task_reads_a_whole_series(spark, stored):
         assert below and all("HashAggregate" in x or "SortAggregate" in x for x in below)
     rsi = longseries.stock_rsi(stored[0], 320)._jdf.queryExecution().executedPlan().toString()
     lines = rsi.split("\n")
-    below = [lines[k + 1 : k + 8] for k, x in enumerate(lines) if re.search(r"Exchange hashpartitioning\(symbol#\d+, \d+\)", x)]
+    below = [lines[k + 1 : k + 10] for k, x in enumerate(lines) if re.search(r"Exchange hashpartitioning\(symbol#\d+, \d+\)", x)]
     assert below and all(any("Aggregate" in y for y in x) for x in below)
 
 
