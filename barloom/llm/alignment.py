@@ -259,14 +259,16 @@ def store_shards(counts: DataFrame, folder: str) -> DataFrame:
             store.move(f"{top}/.{name}", f"{top}/{name}")
             return pd.DataFrame({"first": pair[:1], "last": pair[-1:], "n": [len(pair)], "path": [f"{folder}/{name}"]})
 
-        for b in batches:
-            if not len(b):
-                continue
-            if held and (size + len(b) > SHARD_PAIRS or b["pair"].iloc[0] <= held[-1]["pair"].iloc[-1]):
-                yield write()
-                held, size = [], 0
-            held.append(b)
-            size += len(b)
+        for whole in batches:
+            falls = np.flatnonzero(np.diff(whole["pair"].to_numpy()) <= 0) + 1  # a batch may reach into the next file
+            for begin, end in zip([0, *falls], [*falls, len(whole)], strict=True):
+                b = whole[begin:end]
+                if held and (size + len(b) > SHARD_PAIRS or len(b) and b["pair"].iloc[0] <= held[-1]["pair"].iloc[-1]):
+                    yield write()
+                    held, size = [], 0
+                if len(b):
+                    held.append(b)
+                    size += len(b)
         if held:
             yield write()
 

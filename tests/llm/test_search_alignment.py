@@ -173,6 +173,17 @@ def test_parts_and_a_full_memo_change_nothing(monkeypatch):
     assert [memo.groups[k] for k in np.concatenate(memo.numbers(t)).tolist()] == whole
 
 
+def test_shards_of_files_in_any_order(spark, tmp_path):
+    pairs = np.array([*range(500, 900, 3), *range(0, 300, 2), *range(1000, 1100), 950])
+    counts = spark.createDataFrame([(int(p), int(p) + 7) for p in pairs], "pair long, n long").coalesce(1)
+    catalog = [tuple(r) for r in alignment.store_shards(counts, f"file://{tmp_path}/s").collect()]
+    assert len(catalog) == 4 - (pairs[-2] < pairs[-1])
+    asked = np.random.default_rng(1).permutation(np.repeat(pairs, 2))
+    assert (alignment.Shards(catalog).counts(asked) == asked + 7).all()
+    with pytest.raises(ValueError):
+        alignment.Shards(catalog).counts(np.array([1]))
+
+
 # --- 13
 
 
