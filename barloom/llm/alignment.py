@@ -15,11 +15,12 @@ before costs one dictionary lookup.
 from __future__ import annotations
 
 import hashlib
+import itertools
+import os
 import re
 import shutil
 import tempfile
 import uuid
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,10 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barloom.llm.common import fresh_path, materialize, numbered_texts, width, with_missing_ids
-from barloom.llm.wordmemo import _CHARS, _Memo
+from barloom.llm.wordmemo import _CHARS
 
 #: Segments kept by a worker before it starts anew: bounds memory, never changes a result.
-MEMO_SEGMENTS = 250_000
+MEMO_SEGMENTS = 500_000
 #: Pairs of a shard file.
 SHARD_PAIRS = 1 << 20
 #: Characters of a text that are cut into segments at once.
@@ -47,33 +48,21 @@ SEGMENT = re.compile(
     f"| ?[^{_SPACES}]++(?=[ \n]|\\Z)|[\\s\\S]+?(?<=[^{_SPACES}])(?=[ \n]|\\Z)|[\\s\\S]+"
 ).findall
 _BREAK = re.compile(f"(?<=[^{_SPACES}])[ \n]").search
-_PLAIN = re.compile(f" ?[{_LETTERS}]+\\Z|[{_MARKS}]+\\Z").match
-
-
-def groups_of(a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> list[tuple[list[int], list[int]]]:
-    """Ids of A and B between the places where tokens of both end; their bytes are the same when joined."""
-    found, i, j, p, q = [], 0, 0, 0, 0
-    left, right = [], []
-    while i < len(a) or j < len(b):
-        if p <= q:
-            left.append(a[i])
-            p, i = p + len(a_bytes[a[i]]), i + 1
-        else:
-            right.append(b[j])
-            q, j = q + len(b_bytes[b[j]]), j + 1
-        if p == q:
-            found.append((left, right))
-            left, right = [], []
-    return found
-
-
-class Segments(_Memo):
-    """Tokens, groups and links of the segments met so far, each by its number; -1 where the bytes differ from the text."""
-
-    def __init__(self, a_path: str, b_path: str):
+
+
+class Segments:
+    """Tokens, groups and links of the segments met so far, each by its number; -1 where the bytes differ from the text.
+
+    New segments are encoded many at once, and aligned at once: their bytes, end to end, are one axis for the tokens of both.
+    """
+
+    def __init__(self, a_path: str, b_path: str, named: bool = True):
+        self.named = named  # whether the ids of groups are kept
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
+        from tokenizers import Tokenizer
 
-        super().__init__(a_path)
+        self.tokenizer = Tokenizer.from_file(a_path)
         self.tokenizer.encode_special_tokens = True
         char_byte = {ord(c): k for k, c in enumerate(_CHARS)}
         self.a_bytes = [b""] * self.tokenizer.get_vocab_size()
@@ -85,88 +74,149 @@ class Segments(_Memo):
         pieces = [self.model.id_to_piece(k) for k in range(n) if not (self.model.is_byte(k) or self.model.is_control(k) or self.model.is_unknown(k))]
         if any(re.search(f"[^▁]▁|.\n|\n.|[{_LETTERS}][{_MARKS}]", p) for p in pieces) or not all(self.a_bytes) or not all(self.b_bytes):
             raise ValueError(f"{b_path}: a piece reaches across a space, a line end or the end of a word")
+        self.a_length, self.b_length = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.a_bytes, self.b_bytes))
         self.start()
 
     def start(self) -> None:
-        self.known.clear()
-        self.parts.clear()
+        self.known: dict[str, int] = {}
         self.groups: list[str] = []
-        self.n_a, self.n_b, self.n_groups, self.pairs, self.end = array("q"), array("q"), array("q"), array("q"), array("q", [0])
-
-    def _b_ids(self, segment: str) -> list[int]:
-        """A leading space is the one that B adds; before other segments a line end keeps it apart."""
-        if segment[0] == " " and segment[1:2] not in ("", " "):
-            return self.model.encode(segment[1:])
-        return self.model.encode("\n" + segment)[2:]
-
-    def _a_ids(self, segment: str) -> list[int]:
-        if _PLAIN(segment):
-            return np.frombuffer(self._part(segment), "<u4").tolist()
-        return self.tokenizer.encode(segment, add_special_tokens=False).ids
-
-    def _word(self, segment: str) -> int:
-        found = self._aligned(self._a_ids(segment), self._b_ids(segment), segment.encode())
-        if found is None:
-            return -1
-        n_a, n_b, groups, pairs = found
-        self.groups.append(groups[0])
-        for column, x in ((self.n_a, n_a), (self.n_b, n_b), (self.n_groups, groups[1])):
+        self.size = 0
+        self.n_a, self.n_b, self.n_groups, self.pairs = [], [], [], []
+
+    def columns(self) -> list[np.ndarray]:
+        """Numbers of tokens of A, of B and of groups of each segment, and the pairs of all, one after the other."""
+        for column in (self.n_a, self.n_b, self.n_groups, self.pairs):
+            column[:] = [np.concatenate(column) if column else np.zeros(0, np.int64)]
+        return [c[0] for c in (self.n_a, self.n_b, self.n_groups, self.pairs)]
+
+    def full(self, limit: int) -> bool:
+        return len(self.known) > limit
+
+    def _a_ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, new: list[str]) -> None:
+        """Numbers segments that are not known yet."""
+        if not new:
+            return
+        led = [w[0] == " " and w[1:2] not in ("", " ") for w in new]  # a leading space is the one that B adds
+        b = self.model.encode([w[1:] if x else "\n" + w for w, x in zip(new, led, strict=True)], num_threads=1)
+        good, found = self.aligned(new, self._a_ids(new), [ids if x else ids[2:] for ids, x in zip(b, led, strict=True)])
+        number = np.full(len(new), -1)
+        number[good] = self.size + np.arange(len(good))
+        self.known.update(zip(new, number.tolist(), strict=True))
+        self.size += len(good)
+        for column, x in zip((self.n_a, self.n_b, self.n_groups, self.pairs), found, strict=False):
             column.append(x)
-        self.pairs.extend(pairs)
-        self.end.append(len(self.pairs))
-        return len(self.groups) - 1
-
-    def _aligned(self, a: list[int], b: list[int], raw: bytes):
-        if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
-            return None
-        groups = groups_of(a, b, self.a_bytes, self.b_bytes)
-        named = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
-        return len(a), len(b), (named, len(groups)), [y[-1] << 32 | x[-1] for x, y in groups]
-
-    def numbers(self, text: str) -> list[np.ndarray] | None:
-        """The numbers of a text's segments, part by part; None where one of them has no tokens."""
-        spaced, at, parts = " " + text, 0, []
+        if self.named:
+            self.groups += found[4]
+
+    def aligned(self, texts: list[str], a: list[list[int]], b: list[list[int]]):
+        """The texts that the tokens of both sides give back, and of these (tokens of A, of B, groups, linked pairs one after
+        the other, the groups' ids)."""
+        raw = [t.encode() for t in texts]
+        good, size, whole = np.arange(len(raw)), np.fromiter(map(len, raw), np.int64, len(raw)), b"".join(raw)
+        sides = []
+        for side, by, length in ((a, self.a_bytes, self.a_length), (b, self.b_bytes, self.b_length)):
+            ids, n = list(itertools.chain.from_iterable(side)), np.fromiter(map(len, side), np.int64, len(side))
+            at = np.concatenate([[0], np.cumsum(length[np.array(ids, np.int64)])])
+            stop = np.cumsum(n)
+            if b"".join(map(by.__getitem__, ids)) != whole or (at[stop] - at[stop - n] != size).any():
+                good = np.array([k for k in good if b"".join([by[x] for x in side[k]]) == raw[k]], np.int64)
+            sides.append((ids, at[1:], n))
+        if len(good) < len(raw):
+            return good, self.aligned(*([side[k] for k in good] for side in (texts, a, b)))[1]
+        (a_ids, a_end, n_a), (b_ids, b_end, n_b) = sides
+        common = np.intersect1d(a_end, b_end, assume_unique=True)
+        x, y = np.searchsorted(a_end, common), np.searchsorted(b_end, common)
+        stop = np.searchsorted(common, np.cumsum(size)) + 1  # the end of a text is the end of a group
+        pairs = np.array(b_ids, np.int64)[y] << 32 | np.array(a_ids, np.int64)[x]
+        return good, (n_a, n_b, np.diff(stop, prepend=0), pairs, self._named(a_ids, b_ids, x, y, stop) if self.named else [])
+
+    @staticmethod
+    def _named(a_ids: list[int], b_ids: list[int], x: np.ndarray, y: np.ndarray, stop: np.ndarray) -> list[str]:
+        a_text, b_text, groups, p, q = list(map(str, a_ids)), list(map(str, b_ids)), [], 0, 0
+        for end_x, end_y in zip((x + 1).tolist(), (y + 1).tolist(), strict=True):
+            groups.append((a_text[p] if end_x - p == 1 else ",".join(a_text[p:end_x])) + "|" + (b_text[q] if end_y - q == 1 else ",".join(b_text[q:end_y])))
+            p, q = end_x, end_y
+        stop = stop.tolist()
+        return [";".join(groups[g:end]) for g, end in zip([0, *stop], stop, strict=False)]
+
+    def parts(self, text: str) -> Iterator[list[str]]:
+        """The segments of a text, by about PART characters at a time."""
+        spaced, at = " " + text, 0
         while at < len(spaced):
             cut = _BREAK(spaced, at + PART) if len(spaced) - at > PART else None
             end = cut.start() if cut else len(spaced)
-            found = SEGMENT(spaced[at:end] if at or cut else spaced)
-            parts.append(np.fromiter(map(self.known.__getitem__, found), np.int64, len(found)))
-            if len(parts[-1]) and parts[-1].min() < 0:
-                return None
+            yield SEGMENT(spaced[at:end])
             at = end
-        return parts
 
-    def whole(self, text: str):
-        """(n_a, n_b, (groups, number of groups), pairs) by both libraries on the whole text; None where bytes differ."""
+    def numbers(self, texts: list[str | None]) -> list[list[np.ndarray] | None]:
+        """The numbers of the segments of each text, part by part; None for no text, or where a segment has no tokens."""
+        out: list[list] = [[] for _ in texts]
+        held: list[tuple[int, list[str]]] = []
+
+        def settle() -> None:
+            known = self.known
+            self.learn([w for w in set(itertools.chain.from_iterable(x for _, x in held)) if w not in known])
+            for k, found in held:
+                out[k].append(np.fromiter(map(known.__getitem__, found), np.int64, len(found)))
+            held.clear()
+
+        size = 0
+        for k, text in enumerate(texts):
+            for found in self.parts(text) if text else ():
+                held.append((k, found))
+                size += len(found)
+                if size > PART // 8:
+                    settle()
+                    size = 0
+        settle()
+        return [None if not x or any(len(part) and part.min() < 0 for part in x) else x for x in out]
+
+    def whole(self, text: str) -> tuple[int, int, int, np.ndarray, str] | None:
+        """Tokens of A, of B, groups, pairs and the groups' ids of one text, by both libraries on the whole of it."""
         spaced = " " + text
-        return self._aligned(self.tokenizer.encode(spaced, add_special_tokens=False).ids, self.model.encode(text), spaced.encode())
-
-    def full(self, limit: int) -> bool:
-        return len(self.groups) > limit or len(self.parts) > limit
+        good, (n_a, n_b, n, pairs, named) = self.aligned([spaced], self._a_ids([spaced]), [self.model.encode(text)])
+        return (int(n_a[0]), int(n_b[0]), int(n[0]), pairs, "".join(named)) if len(good) else None
 
     def links(self, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row of `used`, pair) of all links of the segments numbered `used`."""
-        end = np.array(self.end, np.int64)
-        n = end[used + 1] - end[used]
+        *_, every, pairs = self.columns()
+        end, n = np.cumsum(every), every[used]
         row = np.repeat(np.arange(len(used)), n)
-        place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(end[used], n)
-        return row, np.array(self.pairs, np.int64)[place]
+        place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + np.repeat((end - every)[used], n)
+        return row, pairs[place]
 
 
-_made: dict[tuple[str, str], Segments] = {}
+def slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about 4 * PART characters, or of one longer text."""
+    begin = size = 0
+    for k, text in enumerate(texts):
+        size += len(text or "")
+        if size > 4 * PART:
+            yield begin, k + 1
+            begin, size = k + 1, 0
+    if begin < len(texts):
+        yield begin, len(texts)
 
 
-def _segments(a_path: str, b_path: str) -> Segments:
-    if (a_path, b_path) not in _made:
-        _made[a_path, b_path] = Segments(a_path, b_path)
-    return _made[a_path, b_path]
+_made: dict[tuple[str, str, bool], Segments] = {}
+
+
+def _segments(a_path: str, b_path: str, named: bool = True) -> Segments:
+    """The one memo of a worker process."""
+    if (a_path, b_path, named) not in _made:
+        _made.clear()
+        _made[a_path, b_path, named] = Segments(a_path, b_path, named)
+    return _made[a_path, b_path, named]
 
 
 def partial_counts(docs: DataFrame, a_path: str, b_path: str, memo_segments: int = MEMO_SEGMENTS) -> DataFrame:
     """(pair, n): links of each pair, added up within a task (or within a memo, where that starts anew)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo, held, times = _segments(a_path, b_path), [], np.zeros(0, np.int64)
+        memo, held, times = _segments(a_path, b_path, named=False), [], np.zeros(0, np.int64)
 
         def unique(pair: np.ndarray, n: np.ndarray) -> pd.DataFrame:
             values, place = np.unique(pair, return_inverse=True)
@@ -191,18 +241,17 @@ def partial_counts(docs: DataFrame, a_path: str, b_path: str, memo_segments: int
             return out
 
         for b in batches:
-            for text in b["text"]:
-                if not text:
-                    continue
+            texts = b["text"].tolist()
+            for begin, end in slices(texts):
                 if memo.full(memo_segments):
                     yield flush()
                     memo.start()
-                parts = memo.numbers(text)
-                if parts is not None:
-                    held += parts
-                elif (found := memo.whole(text)) is not None:
-                    yield unique(np.array(found[3], np.int64), np.ones(len(found[3]), np.int64))
-            add()
+                for text, parts in zip(texts[begin:end], memo.numbers(texts[begin:end]), strict=True):
+                    if parts is not None:
+                        held += parts
+                    elif text and (found := memo.whole(text)) is not None:
+                        yield unique(found[3], np.ones(len(found[3]), np.int64))
+                add()
         yield flush()
 
     return docs.select("text").mapInPandas(run, "pair long, n long")
@@ -343,8 +392,8 @@ def align(docs: DataFrame, a_path: str, b_path: str, memo_segments: int = MEMO_S
 
         def look(numbers: np.ndarray) -> None:
             nonlocal looked
-            if looked.shape[1] < len(memo.groups):
-                looked = np.pad(looked, ((0, 0), (0, len(memo.groups) - looked.shape[1])))
+            if looked.shape[1] < memo.size:
+                looked = np.pad(looked, ((0, 0), (0, memo.size - looked.shape[1])))
             new = np.unique(numbers[looked[0, numbers] == 0])
             if len(new):
                 looked[0, new] = 1
@@ -355,7 +404,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, memo_segments: int = MEMO_S
             given = [np.concatenate(x) for x in found if isinstance(x, list)]
             if given:
                 look(np.concatenate(given))
-            columns = [np.array(x, np.int64) for x in (memo.n_a, memo.n_b, memo.n_groups)]
+            columns = memo.columns()[:3]
             out = []
             for x in found:
                 if isinstance(x, list):
@@ -375,20 +424,18 @@ def align(docs: DataFrame, a_path: str, b_path: str, memo_segments: int = MEMO_S
             return frame
 
         for b in batches:
-            found, at = [], 0
-            for k, text in enumerate(b["text"]):
+            texts = b["text"].tolist()
+            for begin, end in slices(texts):
                 if memo.full(memo_segments):
-                    yield rows(b[at:k], found)
-                    found, at = [], k
                     memo.start()
                     looked = np.zeros((3, 0), np.int64)
-                parts = memo.numbers(text) if text else None
-                if text and parts is None and (got := memo.whole(text)) is not None:
-                    n_a, n_b, (named, n), pairs = got
-                    total, top = scored(np.zeros(len(pairs), np.int64), np.array(pairs, np.int64), 1)[:, 0].tolist()
-                    parts = (n_a, n_b, n, len(pairs), top, total, hashlib.sha256(named.encode()).hexdigest())
-                found.append(parts)
-            yield rows(b[at:], found)
+                found = memo.numbers(texts[begin:end])
+                for k, text in enumerate(texts[begin:end]):
+                    if text and found[k] is None and (got := memo.whole(text)) is not None:
+                        n_a, n_b, n, pairs, named = got
+                        total, top = scored(np.zeros(len(pairs), np.int64), pairs, 1)[:, 0].tolist()
+                        found[k] = (n_a, n_b, n, len(pairs), top, total, hashlib.sha256(named.encode()).hexdigest())
+                yield rows(b[begin:end], found)
 
     schema = "doc_id long, no_id boolean, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
     return with_missing_ids(texts.mapInPandas(run, schema))
