@@ -84,12 +84,16 @@ def decision_step(state: DataFrame, row: DataFrame, condition: Column, key: str
     return d.select(*keys, F.when(truth(condition), good).otherwise(bad).alias("suggestion"), streak_step(F.col("prev_positive_streak"), condition).alias("positive_streak"))
 
 
+def checked_keys(new: DataFrame, keys: list[str]) -> DataFrame:
+    """`new`, which raises an error when it is read if it holds a key twice."""
+    checked = new.withColumn("_n", F.count("*").over(Window.partitionBy(*keys)))
+    message = F.lit("duplicate key in the incoming batch")
+    return checked.withColumn("_n", F.when(F.col("_n") > 1, F.raise_error(message).cast("long")).otherwise(F.col("_n"))).filter(F.col("_n") == 1).drop("_n")
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of `new`, and those of `old` whose key is not among them. A key twice in `new` is an error."""
-    w = Window.partitionBy(*keys)
-    checked = new.withColumn("_n", F.count("*").over(w))
-    message = F.lit("duplicate key in the incoming batch")
-    checked = checked.withColumn("_n", F.when(F.col("_n") > 1, F.raise_error(message).cast("long")).otherwise(F.col("_n"))).filter(F.col("_n") == 1).drop("_n")
+    checked = checked_keys(new, keys)
     return old.join(new.select(*keys), keys, "left_anti").select(*old.columns).unionByName(checked.select(*old.columns))
 
 
