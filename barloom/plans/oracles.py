@@ -316,3 +316,8 @@ UNION ALL SELECT 0::BIGINT, {" || ' | ' || ".join(f"rpad('{c}', w_{c}, ' ')" for
 #: The same results by two-level scans.
 for _name, _plain in {"regime_by_blocks": "regime", "index_momentum_by_blocks": "index_momentum", "stock_rsi_by_blocks": "stock_rsi", "stock_volatility_by_blocks": "stock_volatility", "spread_equity_by_blocks": "spread_equity", "newey_west_by_blocks": "ic_newey_west"}.items():
     ORACLES[_name] = ORACLES[_plain]
+
+for _name, _plain, _columns in (("momentum_pipeline", "stock_momentum", "*"), ("rsi_pipeline", "stock_rsi", "*"), ("decision_pipeline", "structural_v1", "symbol, time, suggestion, positive_streak")):
+    ORACLES[_name] = f"SELECT {_columns} FROM ({ORACLES[_plain]}) y WHERE time < '{END}'::TIMESTAMP + INTERVAL 1 DAY"
+ORACLES["missing_symbols_pipeline"] = f"SELECT * FROM ({ORACLES['ohlcv_view']}) y WHERE symbol < 'Brand#3' OR symbol IN (SELECT symbol FROM ({fixtures.EXCHANGE_SQL}) x WHERE exchange = 'HSX')"
+ORACLES["committed_scope"] = f"SELECT * REPLACE (volume + (symbol = '{SYMBOL}' AND year(time) = 1995)::BIGINT AS volume) FROM ({ORACLES['ohlcv_view']}) y"

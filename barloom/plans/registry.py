@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators import backtest, decisions, indicators, longseries, ranking, serving, state, trades
-from barloom.sources import fixtures, ingest
+from barloom.operators import backtest, decisions, indicators, longseries, pipelines, ranking, serving, state, trades
+from barloom.sources import fixtures, ingest, storage
+from barloom.sources.commits import CommittedTable
 
 #: The day up to which incremental steps look, and the range of forward returns and simulations.
 DATE, START, END = "1997-06-30", "1994-01-01", "1997-12-31"
@@ -426,3 +427,45 @@ def spread_equity_by_blocks(s, d):
 @query
 def newey_west_by_blocks(s, d):
     return rounded(longseries.newey_west(backtest.ic_daily(scored(s, d)), rows=BLOCK_ROWS))
+
+
+def _table(s: SparkSession, name: str) -> CommittedTable:
+    return CommittedTable(s, storage.fresh_path(s, name))
+
+
+def _stored(pipeline: pipelines.Pipeline, given, columns: tuple[str, ...] = ()):
+    """Backfill up to START, two steps of many sessions, one that finds nothing new, and what is then stored."""
+
+    def run(s, d):
+        table = _table(s, "pipeline")
+        pipelines.run(pipeline, given(s, d), table, "backfill", START)
+        for day in (DATE, END, END):
+            pipelines.run(pipeline, given(s, d), table, "incremental", day)
+        out = table.read()
+        return rounded(out.select(*columns) if columns else out)
+
+    return run
+
+
+QUERIES["momentum_pipeline"] = _stored(pipelines.MOMENTUM, bars)
+QUERIES["rsi_pipeline"] = _stored(pipelines.RSI, bars)
+QUERIES["decision_pipeline"] = _stored(pipelines.structural(1), lambda s, d: indicators.features(bars(s, d)), ("symbol", "time", "suggestion", "positive_streak"))
+
+
+@query
+def missing_symbols_pipeline(s, d):
+    """The universe's symbols that a stored table lacks, taken from the vendor's bars."""
+    table, b = _table(s, "prices"), bars(s, d)
+    table.replace(b.filter(F.col("symbol") < "Brand#3"))
+    pipelines.ingest_missing(fixtures.symbol_by_exchange(s, d).filter("exchange = 'HSX'"), b, table)
+    return table.read()
+
+
+@query
+def committed_scope(s, d):
+    """A scoped delete and append in one commit, over a table of months."""
+    table, b = _table(s, "prices"), bars(s, d)
+    table.replace(b)
+    scope = (F.col("symbol") == SYMBOL) & (F.year("time") == 1995)
+    table.replace_scope(b.filter(scope).withColumn("volume", F.col("volume") + 1), scope)
+    return table.read()
