@@ -29,11 +29,10 @@ def forward_returns(bars: DataFrame, symbols: DataFrame | None = None, start: st
     return d
 
 
-def scored_returns(ranking: DataFrame, bars: DataFrame, horizon: int = HORIZON) -> DataFrame:
-    """time, symbol, alpha_score and the clipped forward return, where both exist."""
-    f = forward_returns(bars, horizon=horizon)  # the join below leaves only what the ranking holds
-    f = f.select("symbol", "time", (F.try_divide("close_20", "close") - 1).alias("_r"))
-    d = ranking.join(f, ["time", "symbol"]).na.drop(subset=["alpha_score", "_r"])
+def scored_returns(ranking: DataFrame, horizon: int = HORIZON) -> DataFrame:
+    """time, symbol, alpha_score and the clipped forward return, where both exist, of a ranking that has kept close and
+    close_ahead_<horizon> of its features: the bars are not read again."""
+    d = ranking.withColumn("_r", F.try_divide(f"close_ahead_{horizon}", "close") - 1).na.drop(subset=["alpha_score", "_r"])
     return d.select("time", "symbol", "alpha_score", clip(F.col("_r"), -LIMIT, LIMIT).alias("fwd_return_20d"))
 
 
@@ -137,10 +136,10 @@ def quintile_returns(scored: DataFrame) -> DataFrame:
     return daily.groupBy("quintile").agg(F.avg("r").alias("mean_return"), F.count("*").alias("n_days"))
 
 
-def factor_decay(ranking: DataFrame, bars: DataFrame, horizons: tuple[int, ...] = DECAY_HORIZONS) -> DataFrame:
-    """Mean information coefficient at each horizon, over rows that have all of the returns."""
-    w = by_symbol()
-    f = bars.select("symbol", "time", *[(F.try_divide(F.lead("close", h).over(w), F.col("close")) - 1).alias(f"r{h}") for h in horizons])
-    d = ranking.join(f, ["time", "symbol"]).na.drop(subset=["alpha_score", *[f"r{h}" for h in horizons]])
+def factor_decay(ranking: DataFrame, horizons: tuple[int, ...] = DECAY_HORIZONS) -> DataFrame:
+    """Mean information coefficient at each horizon, over rows that have all of the returns; the ranking has kept close and
+    close_ahead_<horizon> for each of them."""
+    d = ranking.select("time", "alpha_score", *[(F.try_divide(f"close_ahead_{h}", "close") - 1).alias(f"r{h}") for h in horizons])
+    d = d.na.drop(subset=["alpha_score", *[f"r{h}" for h in horizons]])
     long = d.select("time", "alpha_score", F.explode(F.array(*[F.struct(F.lit(h).cast("long").alias("horizon"), clip(F.col(f"r{h}"), -LIMIT, LIMIT).alias("r")) for h in horizons])).alias("x")).select("time", "alpha_score", "x.*")
     return spearman(long, ["time", "horizon"], "alpha_score", "r").groupBy("horizon").agg(F.avg("ic").alias("mean_ic"), F.count("ic").alias("n_days"))

@@ -164,8 +164,9 @@ def joined_features(bars: DataFrame, momentum: DataFrame, average: DataFrame, rs
     return out
 
 
-def features(bars: DataFrame, index_momentum_: DataFrame | None = None) -> DataFrame:
-    """What `joined_features` gives, computed from the bars in one pass over each symbol instead of by joins."""
+def features(bars: DataFrame, index_momentum_: DataFrame | None = None, ahead: tuple[int, ...] = ()) -> DataFrame:
+    """What `joined_features` gives, computed from the bars in one pass over each symbol instead of by joins; and close_ahead_n,
+    the close n sessions on, for each n of `ahead`."""
     w = by_symbol()
     v = F.col("volume").cast("double")
     d = bars.select(
@@ -180,6 +181,7 @@ def features(bars: DataFrame, index_momentum_: DataFrame | None = None) -> DataF
         *[change(F.col("close"), STOCK_LAGS[c], w).alias(f"s{c}") for c in ("m_1", "m_3", "m_6")],
         *[roll_before(F.avg, F.col("close"), n, w).alias(f"sma_{n}") for n in (20, 50)],
         F.try_divide(roll_before(F.avg, v, 20, w), roll_before(F.avg, v, 60, w)).alias("volume_ratio"),
+        *[F.lead("close", n).over(w).alias(f"close_ahead_{n}") for n in ahead],
     )
     d = d.withColumn("_vol", F.round(roll(F.stddev_samp, F.col("_r"), 20, w) * F.sqrt(F.lit(float(YEAR))), TIE_DIGITS))
     d = d.withColumn("vol_20d_pct_126", percentile_rank(F.col("_vol"), 126, w))
@@ -191,7 +193,7 @@ def features(bars: DataFrame, index_momentum_: DataFrame | None = None) -> DataF
     rsi = F.when(F.col("_l") > 0, 100 - 100 / (1 + F.try_divide("_g", "_l"))).when(F.col("_g") > 0, 100.0)
     d = d.withColumn("rsi_14", F.when(F.col("_i") >= WILDER, rsi))
     columns = ["symbol", "time", "close", "volume", "sma_20", "sma_50", "sm_1", "sm_3", "sm_6", "rsi_14", "vol_20d_pct_126", "atr_14_w", "volume_ratio"]
-    d = d.select(*columns)
+    d = d.select(*columns, *[f"close_ahead_{n}" for n in ahead])
     if index_momentum_ is not None:
         d = d.join(index_momentum_.select("time", F.col("m_21d").alias("vnim_1"), F.col("m_60d").alias("vnim_3"), F.col("m_126d").alias("vnim_6")), "time")
     return d

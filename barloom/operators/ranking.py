@@ -41,8 +41,8 @@ def in_universe(features: DataFrame, universe: str) -> DataFrame:
     return features if universe == "all" else features.filter(possible(int(universe[-1])))
 
 
-def factors(features: DataFrame, version: int) -> DataFrame:
-    """The four factor scores of each row; `features` with the index momentum."""
+def factors(features: DataFrame, version: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The four factor scores of each row, and the columns to keep; `features` with the index momentum."""
     c = F.col
     d = z_scores(
         features,
@@ -66,6 +66,7 @@ def factors(features: DataFrame, version: int) -> DataFrame:
         (0.6 * c("close_sma50_z") + 0.4 * c("sma20_sma50_z")).alias("trend_score"),
         (-0.5 * c("atr14_close_z") - 0.5 * c("vol_pct_z")).alias("volatility_score"),
         "rsi_14_z",
+        *keep,
     )
 
 
@@ -82,9 +83,9 @@ def alpha(version: int, kind: str | None = None) -> Column:
     return sum((w * x for w, x in zip(ALPHA[version, kind][1:], (t, v, r), strict=True)), ALPHA[version, kind][0] * m)
 
 
-def rank(features: DataFrame, version: int, kind: str | None = None, universe: str = "all") -> DataFrame:
-    """time, symbol, alpha_score of the universe's rows, best first within each session only when sorted on output."""
-    return factors(in_universe(features, universe), version).select("time", "symbol", alpha(version, kind).alias("alpha_score"))
+def rank(features: DataFrame, version: int, kind: str | None = None, universe: str = "all", keep: tuple[str, ...] = ()) -> DataFrame:
+    """time, symbol, alpha_score and the columns to keep of the universe's rows, best first only when sorted on output."""
+    return factors(in_universe(features, universe), version, keep).select("time", "symbol", alpha(version, kind).alias("alpha_score"), *keep)
 
 
 def placed(ranking: DataFrame) -> DataFrame:

@@ -321,3 +321,6 @@ for _name, _plain, _columns in (("momentum_pipeline", "stock_momentum", "*"), ("
     ORACLES[_name] = f"SELECT {_columns} FROM ({ORACLES[_plain]}) y WHERE time < '{END}'::TIMESTAMP + INTERVAL 1 DAY"
 ORACLES["missing_symbols_pipeline"] = f"SELECT * FROM ({ORACLES['ohlcv_view']}) y WHERE symbol < 'Brand#3' OR symbol IN (SELECT symbol FROM ({fixtures.EXCHANGE_SQL}) x WHERE exchange = 'HSX')"
 ORACLES["committed_scope"] = f"SELECT * REPLACE (volume + (symbol = '{SYMBOL}' AND year(time) = 1995)::BIGINT AS volume) FROM ({ORACLES['ohlcv_view']}) y"
+ORACLES["bars_source_whole"] = ORACLES["bars_source_stream"] = ORACLES["ohlcv_view"]
+ORACLES["bars_source_filtered"] = f"SELECT symbol, time, close FROM ({ORACLES['ohlcv_view']}) y WHERE symbol IN ('Brand#11', 'Brand#22') AND time BETWEEN '{START}'::TIMESTAMP AND '{END}'::TIMESTAMP"
+ORACLES["feature_join_stored"] = ORACLES["feature_join"]

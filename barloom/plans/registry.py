@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.operators import backtest, decisions, indicators, longseries, pipelines, ranking, serving, state, trades
-from barloom.sources import fixtures, ingest, storage
+from barloom.sources import bars_source, fixtures, ingest, layout, storage
 from barloom.sources.commits import CommittedTable
 
 #: The day up to which incremental steps look, and the range of forward returns and simulations.
@@ -33,8 +33,8 @@ def index(s: SparkSession, d: str) -> DataFrame:
     return fixtures.vnindex_history(s, d)
 
 
-def features(s: SparkSession, d: str) -> DataFrame:
-    return indicators.features(bars(s, d), indicators.index_momentum(index(s, d)))
+def features(s: SparkSession, d: str, ahead: tuple[int, ...] = ()) -> DataFrame:
+    return indicators.features(bars(s, d), indicators.index_momentum(index(s, d)), ahead)
 
 
 @query
@@ -194,8 +194,13 @@ def forward_returns(s, d):
     return backtest.forward_returns(bars(s, d), some, START, END)
 
 
-def scored(s: SparkSession, d: str, universe: str = "all", version: int = 3) -> DataFrame:
-    return backtest.scored_returns(ranking.rank(features(s, d), version, None, universe), bars(s, d))
+def ranked_ahead(s: SparkSession, d: str, horizons: tuple[int, ...], universe: str = "all", version: int = 3) -> DataFrame:
+    """A ranking beside the closes that its returns need: one pass over the bars for both."""
+    return ranking.rank(features(s, d, horizons), version, None, universe, ("close", *[f"close_ahead_{h}" for h in horizons]))
+
+
+def scored(s: SparkSession, d: str, universe: str = "all") -> DataFrame:
+    return backtest.scored_returns(ranked_ahead(s, d, (backtest.HORIZON,), universe))
 
 
 @query
@@ -220,7 +225,7 @@ def ic_newey_west(s, d):
 
 @query
 def factor_decay(s, d):
-    return rounded(backtest.factor_decay(ranking.rank(features(s, d), 3), bars(s, d)))
+    return rounded(backtest.factor_decay(ranked_ahead(s, d, backtest.DECAY_HORIZONS)))
 
 
 @query
@@ -469,3 +474,45 @@ def committed_scope(s, d):
     scope = (F.col("symbol") == SYMBOL) & (F.year("time") == 1995)
     table.replace_scope(b.filter(scope).withColumn("volume", F.col("volume") + 1), scope)
     return table.read()
+
+
+@query
+def bars_source_whole(s, d):
+    """All bars through the data source."""
+    folder = storage.fresh_path(s, "published")
+    bars_source.publish(bars(s, d), folder)
+    return bars_source.published(s, folder)
+
+
+@query
+def bars_source_filtered(s, d):
+    """Some symbols and sessions, left out by the reader."""
+    folder = storage.fresh_path(s, "published")
+    bars_source.publish(bars(s, d), folder)
+    return bars_source.published(s, folder, ["Brand#11", "Brand#22"], START, END).select("symbol", "time", "close")
+
+
+@query
+def bars_source_stream(s, d):
+    """Sessions published in two batches, taken by a streaming query that stops in between and goes on from its offset."""
+    folder, out = storage.fresh_path(s, "published"), storage.fresh_path(s, "streamed")
+    b = bars(s, d)
+    early = F.col("time") <= F.lit(END).cast("timestamp_ntz")
+    for part in (b.filter(early), b.filter(~early)):
+        bars_source.publish(part, folder)
+        bars_source.stream(s, folder).writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/offsets").trigger(availableNow=True).start().awaitTermination()
+    return s.read.schema(bars_source.SCHEMA).parquet(f"{out}/rows")
+
+
+@query
+def feature_join_stored(s, d):
+    """The feature join from tables stored by symbol: no rows are exchanged, the small index table is broadcast."""
+    b, stored = bars(s, d), layout.co_located(s)
+    name, path = f"barloom_{storage.fresh_path(s, 'x').rpartition('-')[2]}", storage.fresh_path(s, "stored")
+    tables = {"bars": b, "momentum": indicators.stock_momentum(b), "average": indicators.stock_moving_average(b), "rsi": indicators.stock_rsi(b), "volatility": indicators.stock_volatility(b), "volume": indicators.stock_volume(b)}
+    for t, df in tables.items():
+        layout.write_bucketed(df, f"{name}_{t}", f"{path}/{t}", 8)
+    indicators.index_momentum(index(s, d)).write.parquet(f"{path}/index")
+    read = {t: stored.table(f"{name}_{t}") for t in tables}
+    out = indicators.joined_features(read["bars"], read["momentum"], read["average"], read["rsi"], read["volatility"], stored.read.parquet(f"{path}/index"), read["volume"])
+    return rounded(out.select("symbol", "time", "close", "volume", "sma_20", "sma_50", "sm_1", "sm_3", "sm_6", "rsi_14", "vol_20d_pct_126", "atr_14_w", "volume_ratio", "vnim_1", "vnim_3", "vnim_6"))

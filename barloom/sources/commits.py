@@ -73,7 +73,7 @@ class CommittedTable:
         in `df` are an error, for they would be lost or doubled."""
         out = f"{self.path}/data/{uuid.uuid4().hex}"
         df.withColumn("_part", self.part()).write.partitionBy("_part").parquet(out)
-        new = {n.removeprefix("_part="): f"{out}/{n}" for n in storage.names(self.spark, f"{out}/_part=*")}
+        new = {storage.part_value(n): f"{out}/{n}" for n in storage.names(self.spark, f"{out}/_part=*")}
         if parts is not None and not set(new) <= parts:
             storage.remove(self.spark, out)
             raise ValueError(f"rows outside of the parts to be replaced: {sorted(set(new) - parts)[:5]}")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
 
@@ -76,3 +77,9 @@ def claim(spark: SparkSession, path: str, text: str) -> bool:
 def remove(spark: SparkSession, path: str) -> None:
     store, at = _file_system(spark, path)
     store.delete(at, True)
+
+
+def part_value(folder: str) -> str | None:
+    """The value in the name column=value of a folder that Spark wrote."""
+    value = unquote(folder.partition("=")[2])
+    return None if value == "__HIVE_DEFAULT_PARTITION__" else value
