@@ -8,10 +8,12 @@ before the new ones; one that is a recursion goes on from the stored averages, f
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.series import by_symbol, ewm, truth
@@ -138,3 +140,30 @@ def ingest_missing(universe: DataFrame, bars: DataFrame, table: CommittedTable)
     """Takes from `bars` the symbols of the universe that the table does not hold yet, and commits their bars."""
     missing = difference(universe.select("symbol").distinct(), table.read().select("symbol").distinct(), "symbol")
     return table.append_steps(lambda stored: bars.join(missing, "symbol", "left_semi"), ["symbol", "time"])
+
+
+def run_all(spark: SparkSession, tasks: dict[str, Callable[[], object]], at_once: int = 5) -> dict[str, object]:
+    """Runs several pipelines at once and returns what each gave. Each runs in a scheduler pool of its own name, so that, with
+    spark.scheduler.mode=FAIR, none waits for all jobs of another. When one fails, the jobs of the others are cancelled,
+    those that have not begun do not begin, and its error is raised.
+    """
+    tag, context = f"run-{uuid.uuid4().hex}", spark.sparkContext
+
+    def one(name: str) -> object:
+        context.addJobTag(tag)  # tags and pools belong to the thread, which ends with this call of run_all
+        context.setInterruptOnCancel(True)
+        context.setLocalProperty("spark.scheduler.pool", name)
+        return tasks[name]()
+
+    with ThreadPoolExecutor(at_once) as threads:
+        begun = {name: threads.submit(one, name) for name in tasks}
+        done, rest = wait(begun.values(), return_when=FIRST_EXCEPTION)
+        failed = next((f for f in done if f.exception()), None)
+        if failed is not None:
+            for f in rest:
+                f.cancel()
+            while not all(f.done() for f in rest):  # a pipeline may begin its next job just after the others were cancelled
+                context.cancelJobsWithTag(tag)
+                wait(rest, timeout=0.2)
+            raise failed.exception()
+        return {name: f.result() for name, f in begun.items()}

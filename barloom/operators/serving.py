@@ -47,3 +47,9 @@ def as_json(features: DataFrame) -> DataFrame:
 def build_prompt(instructions: str, table: str) -> str:
     """Instructions and the text table, as one text for a model; calling one is not part of this library."""
     return f"{instructions.rstrip()}\n{table}"
+
+
+def prompt(lines: DataFrame, instructions: str) -> DataFrame:
+    """One row with the prompt over the lines of `render_table`, in order: what is served for one symbol, not a whole table."""
+    whole = lines.agg(F.sort_array(F.collect_list(F.struct("line_no", "line"))).alias("_l"))
+    return whole.select(F.concat(F.lit(build_prompt(instructions, "")), F.array_join(F.transform("_l", lambda x: x.line), "\n")).alias("prompt"))

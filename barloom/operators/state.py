@@ -112,10 +112,11 @@ def session(date: str) -> Column:
     return F.to_date(F.lit(date)).cast("timestamp_ntz") + F.expr("INTERVAL 7 HOURS")
 
 
-def date_sequence(spark, start: str, end: str) -> DataFrame:
-    """The sessions of all days between two, both included."""
-    days = F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)), F.expr("INTERVAL 1 DAY"))
-    return spark.range(1).select(F.explode(days).alias("_d")).select((F.col("_d").cast("timestamp_ntz") + F.expr("INTERVAL 7 HOURS")).alias("time"))
+def date_sequence(df: DataFrame) -> DataFrame:
+    """The sessions of all days from the first to the last session of a table, both included."""
+    ends = df.agg(F.to_date(F.min("time")).alias("a"), F.to_date(F.max("time")).alias("b"))
+    days = F.sequence("a", "b", F.expr("INTERVAL 1 DAY"))
+    return ends.select(F.explode(days).alias("_d")).select((F.col("_d").cast("timestamp_ntz") + F.expr("INTERVAL 7 HOURS")).alias("time"))
 
 
 def difference(a: DataFrame, b: DataFrame, on: str) -> DataFrame:

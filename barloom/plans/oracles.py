@@ -284,8 +284,8 @@ ORACLES = {
     "scoped_replace": sql(f"SELECT symbol, time, round(m_1 * CASE WHEN symbol = '{SYMBOL}' AND time >= '{START}'::TIMESTAMP THEN 2e0 ELSE 1e0 END, 6) + 0e0 AS m_1, {r('m_3', 'm_6', 'm_12')} FROM mom", "mom"),
     "range_replace": sql("SELECT time, symbol, CASE WHEN time BETWEEN '1995-03-01 07:00:00'::TIMESTAMP AND '1995-03-31 07:00:00'::TIMESTAMP THEN 0.5e0 ELSE round(alpha_score, 6) + 0e0 END AS alpha_score FROM rank_all_1", "rank_all_1"),
     "parse_index_csv": f"""SELECT strptime(trim(time), '%d/%m/%Y') + INTERVAL 7 HOURS AS time, replace(trim(open), ',', '')::DOUBLE AS open, replace(trim(high), ',', '')::DOUBLE AS high, replace(trim(low), ',', '')::DOUBLE AS low, replace(trim(close), ',', '')::DOUBLE AS close,
- round_even(nullif(regexp_extract(upper(volume), '([\\d.]+)([KMB])', 1), '')::DOUBLE * CASE regexp_extract(upper(volume), '([\\d.]+)([KMB])', 2) WHEN 'K' THEN 1e3 WHEN 'M' THEN 1e6 WHEN 'B' THEN 1e9 END, 0)::DOUBLE AS volume, replace(trim(change_percentage), '%', '')::DOUBLE AS change_percentage FROM ({fixtures.RAW_CSV_SQL}) y""",
-    "date_sequence": "SELECT unnest(generate_series(TIMESTAMP '2024-02-27 07:00:00', TIMESTAMP '2024-03-02 07:00:00', INTERVAL 1 DAY)) AS time",
+ round_even(nullif(regexp_extract(upper(volume), '([\\d.]+)([KMB])', 1), '')::DOUBLE * CASE regexp_extract(upper(volume), '([\\d.]+)([KMB])', 2) WHEN 'K' THEN 1e3 WHEN 'M' THEN 1e6 WHEN 'B' THEN 1e9 END, 0)::DOUBLE AS volume, replace(trim(change_percentage), '%', '')::DOUBLE AS change_percentage FROM ({fixtures.RAW_INDEX_SQL}) y""",
+    "date_sequence": sql("SELECT unnest(generate_series((SELECT min(time) FROM ohlcv), (SELECT max(time) FROM ohlcv), INTERVAL 1 DAY)) AS time", "ohlcv"),
 }
 
 _PAIRS = [(a, b) for k, a in enumerate(["momentum_adjusted", "trend_score", "volatility_score", "rsi_14_z"]) for b in ["momentum_adjusted", "trend_score", "volatility_score", "rsi_14_z"][k + 1 :]]
@@ -324,3 +324,8 @@ ORACLES["committed_scope"] = f"SELECT * REPLACE (volume + (symbol = '{SYMBOL}' A
 ORACLES["bars_source_whole"] = ORACLES["bars_source_stream"] = ORACLES["ohlcv_view"]
 ORACLES["bars_source_filtered"] = f"SELECT symbol, time, close FROM ({ORACLES['ohlcv_view']}) y WHERE symbol IN ('Brand#11', 'Brand#22') AND time BETWEEN '{START}'::TIMESTAMP AND '{END}'::TIMESTAMP"
 ORACLES["feature_join_stored"] = ORACLES["feature_join"]
+ORACLES["agent_json"] = ORACLES["agent_features"]
+ORACLES["agent_prompt"] = f"SELECT 'Judge these rows.' || chr(10) || string_agg(line, chr(10) ORDER BY line_no) AS prompt FROM ({ORACLES['agent_table']}) y"
+ORACLES["trades_csv"] = ORACLES["trades_bsr_v2"]
+ORACLES["parallel_pipelines"] = f"""SELECT symbol, time, m_3, sma_50, volume_ratio FROM ({ORACLES['stock_momentum']}) m JOIN ({ORACLES['stock_sma']}) a USING (symbol, time) JOIN ({ORACLES['stock_volume']}) v USING (symbol, time)
+WHERE time < '{END}'::TIMESTAMP + INTERVAL 1 DAY"""

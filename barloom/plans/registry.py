@@ -391,13 +391,16 @@ def range_replace(s, d):
 
 @query
 def parse_index_csv(s, d):
-    parsed = ingest.parse_index_csv(fixtures.raw_index_csv(s))
+    """The index written as its text file, read and parsed again."""
+    path = storage.fresh_path(s, "index-file")
+    fixtures.index_file(s, d).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    parsed = ingest.parse_index_csv(ingest.read_index_csv(s, path))
     return parsed.withColumn("volume", F.col("volume").cast("double"))  # NULL compares alike in any client
 
 
 @query
 def date_sequence(s, d):
-    return state.date_sequence(s, "2024-02-27", "2024-03-02")
+    return state.date_sequence(bars(s, d))
 
 
 #: Rows of a block of the two-level scans, so that the index of the given tables has eight.
@@ -516,3 +519,39 @@ def feature_join_stored(s, d):
     read = {t: stored.table(f"{name}_{t}") for t in tables}
     out = indicators.joined_features(read["bars"], read["momentum"], read["average"], read["rsi"], read["volatility"], stored.read.parquet(f"{path}/index"), read["volume"])
     return rounded(out.select("symbol", "time", "close", "volume", "sma_20", "sma_50", "sm_1", "sm_3", "sm_6", "rsi_14", "vol_20d_pct_126", "atr_14_w", "volume_ratio", "vnim_1", "vnim_3", "vnim_6"))
+
+
+@query
+def agent_json(s, d):
+    """The rows that are served as JSON, read back from it."""
+    given = serving.agent_features(features(s, d), START, SYMBOL)
+    text = serving.as_json(rounded(given))
+    kinds = ", ".join(f"{c} {'string' if c == 'time' else t}" for c, t in given.dtypes)
+    back = text.select(F.from_json("json", kinds).alias("j")).select("j.*")
+    return back.withColumn("time", F.to_timestamp_ntz("time", F.lit("yyyy-MM-dd'T'HH:mm:ss")))
+
+
+@query
+def agent_prompt(s, d):
+    return serving.prompt(serving.render_table(serving.agent_features(features(s, d), "1998-01-01", SYMBOL)), "Judge these rows.")
+
+
+@query
+def trades_csv(s, d):
+    """Simulated trades, written as CSV by symbol and read back."""
+    made = rounded(trades.trades(trades.signals(features(s, d), "bsr", START), trades.MIN_HOLD))
+    path = storage.fresh_path(s, "trades")
+    ingest.write_csv_by_symbol(made, path)
+    schema = ", ".join(f"{c} {t}" for c, t in sorted(made.dtypes, key=lambda x: x[0] == "symbol"))
+    return s.read.schema(schema).option("header", True).csv(path).select(*made.columns)
+
+
+@query
+def parallel_pipelines(s, d):
+    """Three pipelines over one universe at once, and their tables joined."""
+    b = bars(s, d)
+    made = {"momentum": pipelines.MOMENTUM, "average": pipelines.MOVING_AVERAGE, "volume": pipelines.VOLUME}
+    tables = {name: _table(s, name) for name in made}
+    pipelines.run_all(s, {name: lambda p=p, name=name: pipelines.run(p, b, tables[name], "backfill", END) for name, p in made.items()})
+    m, a, v = (tables[name].read() for name in made)
+    return rounded(m.join(a, ["symbol", "time"]).join(v, ["symbol", "time"]).select("symbol", "time", "m_3", "sma_50", "volume_ratio"))

@@ -50,6 +50,31 @@ RAW_CSV_SQL = """select * from (values
 ) as t(time, open, high, low, close, volume, change_percentage)"""
 
 
+
+def _padded(x: str, n: int) -> str:
+    return f"lpad(cast({x} as varchar(20)),{n},'0')"
+
+
+def _grouped(x: str) -> str:
+    """A price in text: two decimals, a comma after the thousands."""
+    whole, cents = f"cast(floor({x}) as bigint)", f"cast(round({x}*100e0) as bigint)%100"
+    return f"concat(case when {x}>=1000e0 then concat(cast(cast(floor({x}/1000e0) as bigint) as varchar(20)),',',{_padded(f'{whole}%1000', 3)}) else cast({whole} as varchar(20)) end,'.',{_padded(cents, 2)})"
+
+
+_VOLUME = f"""case day(time)%4
+  when 0 then concat(cast(cast(floor(volume/1e3) as bigint) as varchar(20)),'k')
+  when 1 then concat(cast(cast(floor(volume/1e6) as bigint) as varchar(20)),'.',{_padded('cast(floor(volume%1000000/1e3) as bigint)', 3)},'M')
+  when 2 then concat(' 0.',{_padded('cast(floor(volume/1e6) as bigint)', 3)},'B ') else '-' end"""
+_PERCENT = f"concat(case when change_percentage<0e0 then '-' else '' end,cast(cast(floor(abs(change_percentage)) as bigint) as varchar(20)),'.',{_padded('cast(floor(abs(change_percentage)*100e0) as bigint)%100', 2)},'%')"
+
+#: The index as the text that its file holds: days, grouped prices, magnitudes with a suffix, shares in percent.
+RAW_INDEX_SQL = f"""
+select concat({_padded('day(time)', 2)},'/',{_padded('month(time)', 2)},'/',cast(year(time) as varchar(20))) as time,
+ {_grouped('open')} as open, concat(' ',{_grouped('high')},' ') as high, {_grouped('low')} as low, {_grouped('close')} as close,
+ {_VOLUME} as volume, {_PERCENT} as change_percentage
+from ({INDEX_SQL}) i"""
+
+
 def _tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
 
@@ -81,3 +106,8 @@ def symbol_by_industry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_index_csv(spark: SparkSession) -> DataFrame:
     return spark.sql(RAW_CSV_SQL)
+
+
+def index_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived index as text, like the rows of its file."""
+    return spark.sql(_bound(RAW_INDEX_SQL, "lineitem"), **_tables(spark, sf_dir, "lineitem"))

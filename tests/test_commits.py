@@ -153,3 +153,23 @@ def test_a_cluster_needs_a_shared_folder(spark):
     with pytest.raises(ValueError, match="checkpoint"):
         storage.shared_dir(Session())
     assert storage.shared_dir(spark)
+
+
+def test_one_failure_cancels_the_rest(spark):
+    import time
+
+    begun = time.time()
+
+    def slow():
+        spark.range(0, 10**13, 1, 4).filter("id % 1000000007 = 3 AND id % 11 = 5").count()  # minutes
+
+    def fails():
+        time.sleep(2)
+        raise RuntimeError("no such universe")
+
+    ran = []
+    with pytest.raises(RuntimeError, match="no such universe"):
+        pipelines.run_all(spark, {"slow": slow, "fails": fails, "later": lambda: ran.append(1)}, at_once=2)
+    assert time.time() - begun < 40
+    found = pipelines.run_all(spark, {str(k): lambda k=k: spark.range(k).count() for k in range(4)})
+    assert found == {"0": 0, "1": 1, "2": 2, "3": 3}
