@@ -76,8 +76,14 @@ def _entity(s: Column) -> Column:
     return F.concat(s["kind"].cast("string"), F.lit(":"), F.when(s["kind"] >= 1, F.regexp_replace(s["value"], "[^0-9.]", "")).otherwise(F.lower(s["value"])))
 
 
+def _folded(word: Column) -> Column:
+    """A word in lower case, letter by letter: of the one letter whose lower case is two code points, the first of them."""
+    return F.lower(F.translate(word, "\u0130", "i"))
+
+
 def _terms(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), rf"[^{LETTERS}]+"), lambda w: F.length(w) >= TERM_LETTERS)
+    """The terms of a text. Words are cut before letters change their case, as in `contexts`."""
+    return F.transform(F.filter(F.split(text, rf"[^{LETTERS}]+"), lambda w: F.length(w) >= TERM_LETTERS), _folded)
 
 
 def contexts(found: DataFrame) -> DataFrame:
@@ -95,7 +101,7 @@ def contexts(found: DataFrame) -> DataFrame:
         def near(x: Column, k: Column) -> Column:
             n, before = x["i"] - k, x["side"] == "start"
             first, size = F.when(before, F.greatest(n - CONTEXT, F.lit(0))).otherwise(n), F.when(before, F.least(n, F.lit(CONTEXT))).otherwise(CONTEXT)
-            return F.transform(F.slice(terms, first + 1, size), lambda t: F.concat(x["entity"], F.lit("\n"), F.lower(t["value"])))
+            return F.transform(F.slice(terms, first + 1, size), lambda t: F.concat(x["entity"], F.lit("\n"), _folded(t["value"])))
 
         return F.flatten(F.transform(F.filter(order, lambda x: x["term"] == 0), near))
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 SPAN_TYPE = "array<struct<start:int,kind:int,end:int,value:string>>"
 GROUP = 256
+#: Code points of the blocks that a text is cut into, first into large ones and these into small ones.
+LARGE, BLOCK = 1 << 18, 1 << 12
 PLACED = "array<struct<at:int,parts:array<struct<gap:string,m:string,v:string>>>>"
 
 
@@ -20,6 +22,12 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def grouped(p: Column) -> Column:
+    """An array cut into arrays of at most GROUP elements."""
+    several = F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / GROUP).cast("int")), lambda k: F.slice(p, k * GROUP + 1, GROUP))
+    return F.when(F.size(p) <= GROUP, F.array(p)).otherwise(several)
+
+
 def no_spans() -> Column:
     return F.array().cast(SPAN_TYPE)
 
@@ -36,10 +44,6 @@ def find(text: Column, pattern: Column | str, kind: int, accept=None, group: int
     judged = F.regexp_extract_all(text, pattern, F.lit(group)) if group else whole
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("m"), judged.alias("v"))
 
-    def grouped(p: Column) -> Column:
-        several = F.transform(F.sequence(F.lit(0), F.floor((F.size(p) - 1) / GROUP).cast("int")), lambda k: F.slice(p, k * GROUP + 1, GROUP))
-        return F.when(F.size(p) <= GROUP, F.array(p)).otherwise(several)
-
     groups = let(parts, grouped)
 
     def step(a: Column, p: Column) -> Column:
@@ -70,24 +74,54 @@ def count_of(spans: Column, kind: int) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+def _blocks(text: Column) -> Column:
+    """The text in pieces of BLOCK code points. Finding a place in a string takes a walk from its start, so a long text is cut
+    in two steps, and a place in it costs one walk through a block."""
+
+    def cut(x: Column, n: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.greatest(F.length(x), F.lit(1)) - 1) / n).cast("int")), lambda k: F.substring(x, k * n + 1, F.lit(n)))
+
+    return F.flatten(F.transform(cut(text, LARGE), lambda x: cut(x, BLOCK)))
+
+
+def _between(blocks: Column, a: Column, b: Column) -> Column:
+    """The code points from place a up to place b."""
+    i, j, inside = F.floor(a / BLOCK).cast("int"), F.floor((b - 1) / BLOCK).cast("int"), (a % BLOCK + 1).cast("int")
+    first = F.get(blocks, i)
+    several = F.concat(F.substring(first, inside, F.lit(BLOCK)), F.array_join(F.slice(blocks, i + 2, j - i - 1), ""), F.substring(F.get(blocks, j), F.lit(1), b - j * BLOCK))
+    return F.when(a >= b, "").when(i == j, F.substring(first, inside, b - a)).otherwise(several)
+
+
 def replace(text: Column, spans: Column, by) -> Column:
-    """`text` with each span replaced by `by(span)`; of overlapping spans the one that starts first stands, to the greatest end."""
-    merged = F.aggregate(
-        spans,
-        no_spans(),
-        lambda a, s: F.when(
-            (F.size(a) > 0) & (s["start"] < F.element_at(a, F.greatest(F.size(a), F.lit(1)) * 0 - 1)["end"]),
-            F.concat(
-                F.slice(a, 1, F.size(a) - 1),
-                F.array(F.element_at(a, -1).withField("end", F.greatest(F.element_at(a, -1)["end"], s["end"]))),
-            ),
-        ).otherwise(F.array_append(a, s)),
-    )
-    def pieces(m: Column) -> Column:
+    """`text` with each span of a sorted array replaced by `by(span)`; of overlapping spans the one that starts first stands, to
+    the greatest end.
+
+    A span stands if it starts at or after the greatest end before it. These ends are carried over groups of GROUP spans, then
+    through each group, so that the work grows with the number of spans and the length of the text.
+    """
+
+    def reach(groups: Column) -> Column:
+        """The greatest end before each group."""
+        last = F.transform(groups, lambda g: F.array_max(F.transform(g, lambda s: s["end"])))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(last, start, lambda a, t: F.struct(F.greatest(a["at"], t).alias("at"), F.array_append(a["out"], a["at"]).alias("out")), lambda a: F.array_append(a["out"], a["at"]))
+
+    standing = SPAN_TYPE.replace("struct<", "struct<before:int,")
+
+    def through(g: Column, at: Column) -> Column:
+        def step(a: Column, s: Column) -> Column:
+            found = F.struct(a["at"].alias("before"), s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["value"].alias("value"))
+            return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(s["start"] >= a["at"], F.array_append(a["out"], found)).otherwise(a["out"]).alias("out"))
+
+        return F.aggregate(g, F.struct(at.alias("at"), F.array().cast(standing).alias("out")), step, lambda a: a["out"])
+
+    def whole(groups: Column) -> Column:
+        return let(reach(groups), lambda ends: let(F.flatten(F.transform(groups, lambda g, i: through(g, F.get(ends, i)))), lambda kept: let(_blocks(text), lambda blocks: joined(kept, blocks, F.element_at(ends, -1)))))
+
+    def joined(kept: Column, blocks: Column, end: Column) -> Column:
         def piece(s: Column, i: Column) -> Column:
-            at = F.coalesce(F.get(m, i - 1)["end"], F.lit(0))
-            return F.concat(F.substring(text, at + 1, s["start"] - at), by(s))
+            return F.concat(_between(blocks, s["before"], s["start"]), by(s.withField("end", F.coalesce(F.get(kept, i + 1)["before"], end))))
 
-        return F.concat(F.array_join(F.transform(m, piece), ""), F.substring(text, F.element_at(m, -1)["end"] + 1, F.length(text)))
+        return F.concat(F.array_join(F.transform(kept, piece), ""), _between(blocks, end, F.length(text)))
 
-    return F.when(F.size(spans) == 0, text).otherwise(let(merged, pieces))
+    return F.when(F.size(spans) == 0, text).otherwise(let(grouped(spans), whole))
