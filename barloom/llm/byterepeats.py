@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import materialize, whole_texts, width
+from barloom.llm.common import materialize, whole_texts, width, with_missing_ids
 from barloom.llm.runindex import RunIndex
 
 GRAM = 32
@@ -339,21 +339,25 @@ def remove_repeats(docs: DataFrame, window: int = 100) -> DataFrame:
     """doc_id, n_bytes, spans (array of start, end in bytes), kept (binary: what is left), one row for each row of `docs`.
 
     NULL and empty texts have no bytes; texts shorter than `window` stay whole; an empty table gives no rows; other
-    columns are not read. A NULL doc_id orders before all others.
+    columns are not read. A NULL doc_id orders before all others: it counts as one less than the least (where that is -2**63,
+    a row of that id and one without an id count as one document if their texts are equal). Rows that repeat a doc_id
+    and its text have the result of one document. A text of any length is cut whole.
     """
     spark = docs.sparkSession
-    texts = whole_texts(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))).alias("doc_id"), F.xxhash64("text").alias("text_id"), "text")
-    verdicts = materialize(first_segments(segments(texts, window)), "segment-verdicts")
+    least = docs.agg(F.min(F.col("doc_id").cast("long"))).first()[0]
+    before = max(-(1 << 63), (0 if least is None else least) - 1)
+    texts = whole_texts(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(before).cast("long")).alias("doc_id"), F.col("doc_id").isNull().alias("no_id"), F.xxhash64("text").alias("text_id"), "text")
+    verdicts = materialize(first_segments(segments(texts.drop("no_id"), window)), "segment-verdicts")
     n_hot = verdicts.filter("what = 2").count()
     spread = texts.repartition(width(spark), "doc_id", "text_id")
     look = verdicts.filter("what > 0")
-    later = merge_windows(examine(look, spread, window, max(width(spark), -(-n_hot // 16_384))))
+    later = merge_windows(examine(look, spread.drop("no_id"), window, max(width(spark), -(-n_hot // 16_384))))
     gone = verdicts.filter("what = 0").select("doc_id", "text_id", "place").unionByName(later).groupBy("doc_id", "text_id").agg(F.collect_list("place").alias("places"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
-            for doc, text, places in zip(b["doc_id"], b["text"], b["places"], strict=True):
+            for doc, none, text, places in zip(b["doc_id"], b["no_id"], b["text"], b["places"], strict=True):
                 data = text.encode()
                 p = np.array([] if places is None else places, np.int64)
                 runs = [(s, min(e, len(data))) for s, e in byte_runs(*unpack_place(p)[:2], window) if s < len(data)]
@@ -361,11 +365,11 @@ def remove_repeats(docs: DataFrame, window: int = 100) -> DataFrame:
                 for s, e in runs:
                     kept.append(data[at:s])
                     at = e
-                rows.append((doc, len(data), [{"start": s, "end": e} for s, e in runs], b"".join([*kept, data[at:]])))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "spans", "kept"])
+                rows.append((doc, none, len(data), [{"start": s, "end": e} for s, e in runs], b"".join([*kept, data[at:]])))
+            yield pd.DataFrame(rows, columns=["doc_id", "no_id", "n_bytes", "spans", "kept"])
 
-    out = spread.join(gone, ["doc_id", "text_id"], "left").mapInPandas(cut, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
-    return out.withColumn("doc_id", F.nullif("doc_id", F.lit(-(1 << 62))))
+    out = spread.join(gone, ["doc_id", "text_id"], "left").mapInPandas(cut, "doc_id long, no_id boolean, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    return with_missing_ids(out)
 
 
 def digest(removed: DataFrame) -> DataFrame:

@@ -2,37 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.sources.storage import fresh_path
+
 #: Words are runs of anything but space and the controls TAB..CR.
 WORD = r"[^\x20\x09-\x0D]+"
 
-_local_fallback: dict[str, str] = {}
-
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: spark.checkpoint.dir; a temporary one only where it is unset (tests)."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if path:
-        return path.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _local_fallback:
-        _local_fallback[app] = tempfile.mkdtemp(prefix="barloom-")
-    return "file://" + _local_fallback[app]
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/barloom/{name}-{uuid.uuid4().hex}"
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back: cuts lineage and survives lost executors."""
     spark = df.sparkSession
