@@ -3,8 +3,9 @@
 A configuration is a multiset of piece lengths that fits one sequence. The covering linear program over the
 length histogram (at most `capacity` numbers, so it fits the driver whatever the corpus) is solved by
 multiplicative weights: each round prices configurations with an unbounded-knapsack dynamic program, lowers the
-weights of what they cover and ends where the dual bound proves the plan near enough. The fractional plan is rounded
-down and what is left is packed best fit, again on the histogram. The plan maps (length, rank among pieces of that
+weights of what they cover. Configurations are then taken in whole numbers, most used first, as often as the plan uses
+them and the pieces left allow; the program is solved again on what is left, and the last rest is packed best fit, all on
+the histogram. The plan maps (length, rank among pieces of that
 length) to (sequence, offset), so assigning is one pass over the pieces; only their (length, bucket) ranks need a shuffle,
 of a few bytes a piece.
 """
@@ -25,6 +26,10 @@ from barloom.llm.wordmemo import LowerWordIds, memo
 
 PIECES = "doc_id long, no_id boolean, piece int, start long, length long, ids_crc32 long"
 COLUMNS = ["doc_id", "no_id", "piece", "start", "length", "ids_crc32"]
+#: How often the program is solved again on what its whole configurations leave, and the rounds of each of these.
+AGAIN, AGAIN_ROUNDS = 6, 10
+#: At how many places the list of whole configurations is tried to end before best fit takes over.
+CUTS = 24
 #: Pieces of one length that are ranked in one group.
 BUCKET_ROWS = 50_000
 
@@ -82,11 +87,12 @@ def _filled(pick: np.ndarray, first: int, room: int) -> tuple[tuple[int, int], .
 
 
 def fractional(need: np.ndarray, capacity: int, rounds: int, eps: float = 0.1, gap: float = 0.002) -> dict[tuple[tuple[int, int], ...], float]:
-    """Configurations and how often each is used in a fractional plan that covers `need`, within `gap` of the bound or after `rounds`.
+    """Configurations and how often each is used in a fractional plan as large as `need`, counted in tokens.
 
     Each round prices every length by its weight, takes for each length the best configuration that holds it and, of
     these, those nearly as good as the best; the weights of what they cover fall. The weights over the price of
-    the best configuration are a dual solution, so their value bounds every plan from below: rounds end there.
+    the best configuration are a dual solution, so their value bounds every plan from below: rounds end there, or after
+    `rounds`. Short lengths, which fill gaps everywhere, are covered several times over; rounding leaves the excess out.
     """
     lengths = np.flatnonzero(need)
     weight = np.zeros(capacity + 1)
@@ -110,10 +116,30 @@ def fractional(need: np.ndarray, capacity: int, rounds: int, eps: float = 0.1, g
         least = float((covered[lengths] / need[lengths]).min())
         if least > 0 and spent / least <= (1 + gap) * bound:
             break
-    scale = max(1e-9, float((covered[lengths] / need[lengths]).max()))
+    scale = float(covered[lengths] @ lengths) / float(need[lengths] @ lengths)
     return {config: x / scale for config, x in used.items()}
 
 
+def rounded(need: np.ndarray, capacity: int, rounds: int) -> tuple[list[tuple[dict[int, int], int]], np.ndarray]:
+    """Whole configurations that `need` holds, least waste first, and the pieces beside them.
+
+    A configuration is taken as often as the plan uses it, at least once, if the pieces left allow it.
+    """
+    left, plan = need.copy(), []
+    for k in range(1 + AGAIN):
+        before = int(left.sum())
+        for config, x in sorted(fractional(left, capacity, AGAIN_ROUNDS if k else rounds).items(), key=lambda kv: (-kv[1], kv[0])):
+            times = min(max(1, int(x)), *(int(left[length]) // n for length, n in config))
+            if times:
+                for length, n in config:
+                    left[length] -= times * n
+                plan.append((dict(config), times))
+        if not left.any() or left.sum() == before:
+            break
+    plan.sort(key=lambda c: capacity - sum(length * n for length, n in c[0].items()))
+    return plan, left
+
+
 def best_fit(histogram: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
     """Best fit decreasing, all pieces of a length at once: (configuration, times) pairs.
 
@@ -156,27 +182,27 @@ def best_fit(histogram: np.ndarray, capacity: int) -> list[tuple[dict[int, int],
 def solve(histogram: np.ndarray, capacity: int, rounds: int = 40) -> list[tuple[np.ndarray, int]]:
     """(counts by length, times) whose sum is the histogram; histogram[l] is the number of pieces of length l.
 
-    The fractional plan is rounded down, what it leaves is packed best fit. Where best fit alone needs fewer
-    sequences, its plan is taken.
+    The program's whole configurations, then best fit. Its most wasteful ones are left to best fit where that needs
+    fewer sequences: of CUTS + 1 places to end the list, the one with the fewest sequences is taken, of these the last. None of
+    the list is one of them, so the plan is never longer than best fit alone.
     """
-    plain = best_fit(histogram, capacity)
     need = histogram.astype(np.int64).copy()
     need[capacity] = 0  # a full piece is a sequence by itself
     plan: list[tuple[dict[int, int], int]] = []
-    least = -(-int(histogram @ np.arange(capacity + 1)) // capacity)
     if need.any():
-        left = need.copy()
-        for config, x in sorted(fractional(need, capacity, rounds).items(), key=lambda kv: -kv[1]):
-            ls, cs = np.array(config).T
-            times = int(min(x, (left[ls] // cs).min()))
-            if times > 0:
-                left[ls] -= times * cs
-                plan.append((dict(config), times))
-        plan += best_fit(left, capacity)
+        whole, left = rounded(need, capacity, rounds)
+        end, fewest = len(whole), None
+        for at in sorted({len(whole) * k // CUTS for k in range(CUTS + 1)}, reverse=True):
+            for config, times in whole[at:end]:
+                for length, n in config.items():
+                    left[length] += n * times
+            end = at
+            tried = best_fit(left, capacity)
+            total = sum(t for _, t in whole[:at]) + sum(t for _, t in tried)
+            if fewest is None or total < fewest:
+                plan, fewest = whole[:at] + tried, total
     if histogram[capacity]:
         plan.append(({capacity: 1}, int(histogram[capacity])))
-    if sum(t for _, t in plan) > max(least, sum(t for _, t in plain)):
-        plan = plain
     out = []
     for config, times in plan:
         counts = np.zeros(capacity + 1, np.int64)
@@ -203,9 +229,9 @@ def slots(plan: list[tuple[np.ndarray, int]], capacity: int) -> dict[str, np.nda
 def pack(pieces: DataFrame, capacity: int = 2048, rounds: int = 40) -> DataFrame:
     """Adds sequence_id and offset to a table of pieces with a `length` from 1 to `capacity`.
 
-    `pieces` is read twice and must be stored. Ties in length are broken by bucket and doc_id. An empty table
-    gives no rows. Pieces of one length are ranked in buckets of about BUCKET_ROWS by a hash of doc_id, so no task
-    holds a length that many pieces share.
+    `pieces` is read twice and must be stored, with a number `row` of its own for each piece. Ties in length are broken
+    by bucket, doc_id and row. An empty table gives no rows. Pieces of one length are ranked in buckets of about
+    BUCKET_ROWS by a hash of row, so no task holds a length, or a doc_id, that many pieces share.
     """
     spark = pieces.sparkSession
     histogram = np.zeros(capacity + 1, np.int64)
@@ -213,12 +239,12 @@ def pack(pieces: DataFrame, capacity: int = 2048, rounds: int = 40) -> DataFrame
         histogram[r["length"]] = r["count"]
     plan = spark.sparkContext.broadcast(slots(solve(histogram, capacity, rounds), capacity))
     parts = spark.createDataFrame([(int(n), -(-int(histogram[n]) // BUCKET_ROWS)) for n in np.flatnonzero(histogram)], "length long, _parts long")
-    bucketed = pieces.join(F.broadcast(parts), "length").withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), "_parts"))
+    bucketed = pieces.join(F.broadcast(parts), "length").withColumn("_bucket", F.pmod(F.xxhash64("row"), "_parts"))
     sizes = bucketed.groupBy("length", "_bucket").agg(F.count("*").alias("_n"))
     before = sizes.select(
         "length", "_bucket", (F.sum("_n").over(Window.partitionBy("length").orderBy("_bucket")) - F.col("_n")).alias("_before")
     )
-    ranked = bucketed.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("doc_id", "no_id", "piece")) - 1)
+    ranked = bucketed.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("doc_id", "no_id", "piece", "row")) - 1)
     ranked = ranked.join(before, ["length", "_bucket"]).withColumn("_rank", F.col("_rank") + F.col("_before"))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -245,4 +271,5 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 2048) -
     are ignored, an empty table gives no rows, a NULL doc_id is kept as it is. Documents beyond `capacity`, however
     long, are cut into full pieces and a last one; all others stay whole. Ties in length are broken by bucket and doc_id.
     """
-    return pack(materialize(tokenize_pieces(docs, tokenizer_path, capacity), "pieces"), capacity)
+    pieces = tokenize_pieces(docs, tokenizer_path, capacity).withColumn("row", F.monotonically_increasing_id())
+    return pack(materialize(pieces, "pieces"), capacity)

@@ -158,6 +158,34 @@ def test_plan_is_no_worse_than_best_fit():
     assert won
 
 
+@pytest.mark.parametrize("times", [1, 100])
+def test_most_sequences_come_from_the_program(times):
+    r, cap = np.random.default_rng(2), 1024
+    h = np.bincount(np.clip(r.normal(400, 120, 6_000).astype(int), 1, cap), minlength=cap + 1) * times
+    whole, left = packing.rounded(h.copy(), cap, 40)
+    taken = np.zeros(cap + 1, np.int64)
+    for config, n in whole:
+        assert n > 0 and sum(length * k for length, k in config.items()) <= cap
+        for length, k in config.items():
+            taken[length] += n * k
+    assert (taken + left == h).all()
+    known = {tuple(sorted(c.items())) for c, _ in whole}
+    plan = packing.solve(h, cap)
+    total = sum(n for _, n in plan)
+    program = sum(n for c, n in plan if tuple((int(x), int(c[x])) for x in np.flatnonzero(c)) in known)
+    plain = sum(n for _, n in packing.best_fit(h, cap))
+    assert program > total / 2 and total <= plain
+
+
+def test_packing_spreads_rows_without_an_id(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BUCKET_ROWS", 100)
+    df = spark.range(2000).select(F.when(F.col("id") % 3 == 0, F.col("id")).alias("doc_id"), F.lit("a b c").alias("text"))
+    rows = packing.pack_documents(df, LOWER, 64).collect()
+    n = rows[0]["length"]
+    assert len(rows) == 2000 and len({(r["sequence_id"], r["offset"]) for r in rows}) == 2000
+    assert sum(r["doc_id"] is None for r in rows) == 1333 and len({r["sequence_id"] for r in rows}) == -(-2000 // (64 // n))
+
+
 def test_packing_keeps_ids(spark):
     big = (1 << 60) + 7
     df = spark.createDataFrame([(big, "a b"), (None, "c"), (None, None), (big, "other text under one id"), (0, "d")], "doc_id long, text string").coalesce(1)
