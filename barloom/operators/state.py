@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.series import truth
+from barloom.operators.asof import as_of
 from barloom.operators.indicators import WILDER
 
 MODES = ("backfill", "incremental")
@@ -39,10 +40,9 @@ def incremental(compute, df: DataFrame, rows: int, date: str, key: str | None =
 
 
 def state_before(state: DataFrame, bars: DataFrame, key: str = "symbol") -> DataFrame:
-    """The stored row strictly before each series' new bar, so that a second run of a step gives the same result."""
-    s = state.select(F.col(key), F.struct(*[F.col(x) for x in state.columns if x != key]).alias("_s"))
-    met = s.join(bars.select(key, F.col("time").alias("_new")), key).filter(F.col("_s.time") < F.col("_new"))
-    return met.groupBy(key).agg(F.max_by("_s", "_s.time").alias("_s")).select(key, *[F.col(f"_s.{x}").alias(f"prev_{x}") for x in state.columns if x != key])
+    """For each new bar its key, time and the stored row strictly before it as prev_<column>, so that a second run of a step
+    gives the same result. A batch may hold several bars of a series; bars with no stored row before them are left out."""
+    return as_of(bars.select(key, "time"), state, key).filter(F.col("prev_time").isNotNull())
 
 
 def _last_two(bars: DataFrame, date: str) -> DataFrame:
@@ -53,7 +53,7 @@ def _last_two(bars: DataFrame, date: str) -> DataFrame:
 def rsi_step(state: DataFrame, bars: DataFrame, date: str) -> DataFrame:
     """One Wilder step of the averages of gains and losses; state: symbol, time, average_gain_14, average_loss_14."""
     new = _last_two(bars, date).select("symbol", "time", (F.col("close") - F.col("prev_close")).alias("_d"))
-    d = new.join(state_before(state.select("symbol", "time", "average_gain_14", "average_loss_14"), new), "symbol")
+    d = new.join(state_before(state.select("symbol", "time", "average_gain_14", "average_loss_14"), new), ["symbol", "time"])
 
     def step(before: str, x: Column) -> Column:
         return (F.col(before) * (WILDER - 1) + F.when(F.col("_d").isNotNull(), F.greatest(x, F.lit(0.0)))) / WILDER
@@ -67,7 +67,7 @@ def atr_step(state: DataFrame, bars: DataFrame, date: str) -> DataFrame:
     """One Wilder step of the true range; state: symbol, time, atr_14_w."""
     tr = F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - F.col("prev_close")), F.abs(F.col("low") - F.col("prev_close")))
     new = _last_two(bars, date).select("symbol", "time", tr.alias("_tr"))
-    d = new.join(state_before(state.select("symbol", "time", "atr_14_w"), new), "symbol")
+    d = new.join(state_before(state.select("symbol", "time", "atr_14_w"), new), ["symbol", "time"])
     return d.select("symbol", "time", ((F.col("prev_atr_14_w") * (WILDER - 1) + F.col("_tr")) / WILDER).alias("atr_14_w"))
 
 
@@ -79,7 +79,7 @@ def decision_step(state: DataFrame, row: DataFrame, condition: Column, key: str
     """The decision on the newest row and its streak, from the stored streak strictly before it."""
     k = key or "_one"
     row, state = (d if key else d.withColumn("_one", F.lit(1)) for d in (row, state))
-    d = row.join(state_before(state.select(k, "time", "positive_streak"), row, k), k, "left")
+    d = row.join(state_before(state.select(k, "time", "positive_streak"), row, k), [k, "time"], "left")
     keys = [key, "time"] if key else ["time"]
     return d.select(*keys, F.when(truth(condition), good).otherwise(bad).alias("suggestion"), streak_step(F.col("prev_positive_streak"), condition).alias("positive_streak"))
 

@@ -329,3 +329,9 @@ ORACLES["agent_prompt"] = f"SELECT 'Judge these rows.' || chr(10) || string_agg(
 ORACLES["trades_csv"] = ORACLES["trades_bsr_v2"]
 ORACLES["parallel_pipelines"] = f"""SELECT symbol, time, m_3, sma_50, volume_ratio FROM ({ORACLES['stock_momentum']}) m JOIN ({ORACLES['stock_sma']}) a USING (symbol, time) JOIN ({ORACLES['stock_volume']}) v USING (symbol, time)
 WHERE time < '{END}'::TIMESTAMP + INTERVAL 1 DAY"""
+ORACLES["rolling_stream"] = sql(f"SELECT symbol, time, {r(*M, 'sma_20', 'sma_50', 'sma_200', 'vol_20d', 'vol_60d', 'volume_ratio', 'volume_spike')} FROM mom JOIN sma USING (symbol, time) JOIN volume USING (symbol, time) WHERE time < (SELECT max(time) FROM ohlcv) - INTERVAL 30 DAY", "mom", "sma", "volume")
+ORACLES["asof_month_close"] = sql(
+    """SELECT o.symbol, o.time, o.close, m.time AS since, round(o.close / m.close - 1, 6) + 0e0 AS moved
+ FROM ohlcv o ASOF LEFT JOIN (SELECT symbol, max(time) AS time, arg_max(close, time) AS close FROM ohlcv GROUP BY symbol, date_trunc('month', time)) m ON o.symbol = m.symbol AND o.time > m.time""",
+    "ohlcv",
+)

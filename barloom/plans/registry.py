@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators import backtest, decisions, indicators, longseries, pipelines, ranking, serving, state, trades
+from barloom.operators import asof, backtest, decisions, indicators, longseries, pipelines, ranking, serving, state, trades
 from barloom.sources import bars_source, fixtures, ingest, layout, storage
 from barloom.sources.commits import CommittedTable
+from barloom.streaming import windows
 
 #: The day up to which incremental steps look, and the range of forward returns and simulations.
 DATE, START, END = "1997-06-30", "1994-01-01", "1997-12-31"
@@ -507,6 +508,29 @@ def bars_source_stream(s, d):
     return s.read.schema(bars_source.SCHEMA).parquet(f"{out}/rows")
 
 
+@query
+def rolling_stream(s, d):
+    """Momentum, averages and volumes of a stream of stored bars that come in two batches, the second with sessions that are
+    late; the streaming query stops in between and goes on from its state."""
+    folder, out = storage.fresh_path(s, "arriving"), storage.fresh_path(s, "rolled")
+    b, end = bars(s, d), F.lit(END).cast("timestamp_ntz")
+    late = (F.col("time") > end) | ((F.col("time") > end - F.expr("INTERVAL 20 DAYS")) & (F.dayofmonth("time") % 3 == 0))
+    for part in (b.filter(~late), b.filter(late)):
+        part.write.mode("append").parquet(folder)
+        rows = windows.rolling_stream(s.readStream.schema(b.schema).parquet(folder), delay_days=30)
+        rows.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/state").trigger(availableNow=True).start().awaitTermination()
+    return rounded(s.read.schema(windows.OUTPUT).parquet(f"{out}/rows"))
+
+
+@query
+def asof_month_close(s, d):
+    """Each bar beside the last close of an earlier month of its symbol, or of its own month's end, strictly before it."""
+    b = bars(s, d)
+    ends = b.groupBy("symbol", F.date_trunc("month", "time").alias("_m")).agg(F.max("time").alias("time"), F.max_by("close", "time").alias("close")).drop("_m")
+    met = asof.as_of(b.select("symbol", "time", "close"), ends)
+    return rounded(met.select("symbol", "time", "close", F.col("prev_time").alias("since"), (F.try_divide("close", "prev_close") - 1).alias("moved")), keep=("close",))
+
+
 @query
 def feature_join_stored(s, d):
     """The feature join from tables stored by symbol: no rows are exchanged, the small index table is broadcast."""

@@ -6,9 +6,10 @@ from datetime import datetime, timedelta
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from barloom.functions.series import ewm, streak
-from barloom.operators import backtest, decisions, indicators, ranking, state, trades
+from barloom.operators import asof, backtest, decisions, indicators, ranking, state, trades
 from barloom.schemas import OHLCV
 
 
@@ -249,3 +250,32 @@ def test_scoped_replace_keeps_null_scopes(spark):
     old = spark.createDataFrame([("A", 1), (None, 2), ("B", 3)], "symbol string, time int")
     got = state.scoped_replace(old, old.limit(0), F.col("symbol") == "A").collect()
     assert sorted(map(tuple, got), key=str) == [("B", 3), (None, 2)]
+
+
+@pytest.mark.parametrize("strict", [True, False])
+def test_as_of_against_a_loop(spark, strict):
+    r = np.random.default_rng(5)
+    day = datetime(2024, 1, 1)
+    rows = [(["A", "B", None][int(r.integers(3))], day + timedelta(days=int(r.integers(40))), k % 50) for k in range(300)]
+    rows += [("A", None, 1), ("only here", day, 2)]
+    states = [(s, day + timedelta(days=d), float(d), None if d % 4 else "x") for s in ("A", "B", "hot", None) for d in range(0, 40, 3)] + [("A", None, 9.0, "y")]
+    left = spark.createDataFrame(rows, "symbol string, time timestamp_ntz, n int")
+    right = spark.createDataFrame(states, "symbol string, time timestamp_ntz, n double, note string")
+    want = []
+    for s, t, n in rows:
+        met = [x for x in states if s and t and x[0] == s and x[1] and (x[1] < t if strict else x[1] <= t)]
+        want.append((s, t, n, *(max(met, key=lambda x: x[1])[1:] if met else (None, None, None))))
+    got = [tuple(x) for x in asof.as_of(left, right, strict=strict).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert asof.as_of(left, right.limit(0)).filter("prev_time IS NULL").count() == len(rows)
+    assert asof.as_of(left.limit(0), right).count() == 0
+
+
+def test_several_new_bars_of_a_symbol_take_the_stored_row_before_each(spark):
+    bars = frame(spark, walk(40))
+    day = F.dayofyear("time")
+    stored = bars.select("symbol", "time", F.col("close").alias("average")).filter(day <= 30)
+    new = bars.filter(day > 25)
+    got = {x["time"].timetuple().tm_yday: x["prev_time"].timetuple().tm_yday for x in state.state_before(stored, new).collect()}
+    assert got == {d: min(d - 1, 30) for d in range(26, 41)}
+    assert "Join" not in state.state_before(stored, new)._jdf.queryExecution().executedPlan().toString()
