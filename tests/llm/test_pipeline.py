@@ -92,7 +92,8 @@ def test_stages_keep_the_columns(spark):
 
 def test_oracles(spark):
     db = duckdb.connect()
-    db.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    for table in ("documents", "benchmark"):
+        db.execute(f"create view {table} as select * from '{SF}/{table}.parquet'")
     for name, sql in queries.ORACLE_SQL.items():
         got = queries.QUERIES[name](spark, SF)
         names = sorted(got.columns)
