@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,10 +43,11 @@ def in_universe(features: DataFrame, universe: str) -> DataFrame:
     return features if universe == "all" else features.filter(possible(int(universe[-1])))
 
 
-def factors(features: DataFrame, version: int, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The four factor scores of each row, and the columns to keep; `features` with the index momentum."""
+def factors(features: DataFrame, version: int, keep: tuple[str, ...] = (), scores: Callable[[DataFrame, dict[str, Column], bool], DataFrame] = z_scores) -> DataFrame:
+    """The four factor scores of each row, and the columns to keep; `features` with the index momentum. `scores` standardises:
+    by windows, or as `crosssection.z_scores` does where a session is too large for a task."""
     c = F.col
-    d = z_scores(
+    d = scores(
         features,
         {
             "m1_z": c("sm_1") - c("vnim_1"),
@@ -57,7 +60,7 @@ def factors(features: DataFrame, version: int, keep: tuple[str, ...] = ()) -> Da
         },
         True,
     )
-    d = z_scores(d, {"rsi_14_z": -F.abs(c("rsi_14") - 55)}, False)
+    d = scores(d, {"rsi_14_z": -F.abs(c("rsi_14") - 55)}, False)
     w3, w6, w1 = MOMENTUM[version]
     return d.select(
         "symbol",
@@ -83,9 +86,9 @@ def alpha(version: int, kind: str | None = None) -> Column:
     return sum((w * x for w, x in zip(ALPHA[version, kind][1:], (t, v, r), strict=True)), ALPHA[version, kind][0] * m)
 
 
-def rank(features: DataFrame, version: int, kind: str | None = None, universe: str = "all", keep: tuple[str, ...] = ()) -> DataFrame:
+def rank(features: DataFrame, version: int, kind: str | None = None, universe: str = "all", keep: tuple[str, ...] = (), scores: Callable[[DataFrame, dict[str, Column], bool], DataFrame] = z_scores) -> DataFrame:
     """time, symbol, alpha_score and the columns to keep of the universe's rows, best first only when sorted on output."""
-    return factors(in_universe(features, universe), version, keep).select("time", "symbol", alpha(version, kind).alias("alpha_score"), *keep)
+    return factors(in_universe(features, universe), version, keep, scores).select("time", "symbol", alpha(version, kind).alias("alpha_score"), *keep)
 
 
 def placed(ranking: DataFrame) -> DataFrame:

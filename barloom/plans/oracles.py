@@ -335,3 +335,15 @@ ORACLES["asof_month_close"] = sql(
  FROM ohlcv o ASOF LEFT JOIN (SELECT symbol, max(time) AS time, arg_max(close, time) AS close FROM ohlcv GROUP BY symbol, date_trunc('month', time)) m ON o.symbol = m.symbol AND o.time > m.time""",
     "ohlcv",
 )
+for _v in (1, 2, 3):
+    ORACLES[f"rank_v{_v}_by_parts"] = ORACLES[f"rank_v{_v}"]
+ORACLES["rank_v2_possible_by_parts"] = ORACLES["rank_v2_possible"]
+_EDGES = {"m1": "m1", "trend": "cs", "atr": "ax", "vol": "vp"}
+ORACLES["session_quantiles"] = sql(
+    " UNION ALL ".join(f"SELECT time, '{f}' AS factor, {p}e0 AS p, count({x}) AS n, round(quantile_cont({x}, {p}), 6) + 0e0 AS quantile FROM u_all GROUP BY time HAVING count({x}) > 0" for f, x in _EDGES.items() for p in (0.05, 0.95)),
+    "u_all",
+)
+_LINES = {"value": "l_extendedprice::DOUBLE", "price": "l_extendedprice::DOUBLE / nullif(l_quantity::DOUBLE, 0)"}
+ORACLES["trade_quantiles"] = " UNION ALL ".join(
+    f"SELECT l_returnflag AS flag, '{f}' AS factor, {p}e0 AS p, count({x}) AS n, round(quantile_cont({x}, {p}), 6) + 0e0 AS quantile FROM lineitem GROUP BY l_returnflag" for f, x in _LINES.items() for p in (0.01, 0.25, 0.5, 0.75, 0.99)
+)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators import asof, backtest, decisions, indicators, longseries, pipelines, ranking, serving, state, trades
+from barloom.operators import asof, backtest, crosssection, decisions, indicators, longseries, pipelines, ranking, serving, state, trades
 from barloom.sources import bars_source, fixtures, ingest, layout, storage
 from barloom.sources.commits import CommittedTable
 from barloom.streaming import windows
@@ -579,3 +579,34 @@ def parallel_pipelines(s, d):
     pipelines.run_all(s, {name: lambda p=p, name=name: pipelines.run(p, b, tables[name], "backfill", END) for name, p in made.items()})
     m, a, v = (tables[name].read() for name in made)
     return rounded(m.join(a, ["symbol", "time"]).join(v, ["symbol", "time"]).select("symbol", "time", "m_3", "sma_50", "volume_ratio"))
+
+
+#: Rows that a part of a session may hold in the queries by parts, so that sessions of the given tables are narrowed.
+PART_ROWS = 4
+
+
+def _rank_by_parts(version: int, universe: str = "all"):
+    return lambda s, d: rounded(ranking.rank(features(s, d), version, None, universe, scores=lambda df, columns, winsorise: crosssection.z_scores(df, columns, winsorise, PART_ROWS)))
+
+
+for _v in (1, 2, 3):
+    QUERIES[f"rank_v{_v}_by_parts"] = _rank_by_parts(_v)
+QUERIES["rank_v2_possible_by_parts"] = _rank_by_parts(2, "possible_v2")
+
+
+@query
+def session_quantiles(s, d):
+    """The edges that a ranking clips its factors to, session by session."""
+    f = features(s, d)
+    values = {"m1": F.col("sm_1") - F.col("vnim_1"), "trend": F.try_divide("close", "sma_50"), "atr": F.try_divide("atr_14_w", "close"), "vol": F.col("vol_20d_pct_126")}
+    long = storage.stored(s, crosssection.long_form(f, ["time"], values), "factors")
+    return rounded(crosssection.quantiles(long, ["time", "factor"], "x", (0.05, 0.95), PART_ROWS), keep=("p",))
+
+
+@query
+def trade_quantiles(s, d):
+    """Quantiles of the traded prices and values behind the bars, by flag: few groups that hold all rows."""
+    lines = s.read.parquet(f"{d}/lineitem.parquet")
+    values = {"value": F.col("l_extendedprice"), "price": F.try_divide(F.col("l_extendedprice").cast("double"), F.col("l_quantity").cast("double"))}
+    long = crosssection.long_form(lines.select(F.col("l_returnflag").alias("flag"), *values.values()).toDF("flag", *values), ["flag"], {c: F.col(c) for c in values})
+    return rounded(crosssection.quantiles(long, ["flag", "factor"], "x", (0.01, 0.25, 0.5, 0.75, 0.99), 1000), keep=("p",))

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from urllib.parse import unquote
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local: dict[str, str] = {}
 
@@ -30,6 +30,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/barloom/{name}-{uuid.uuid4().hex}"
 
 
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """The rows, written to the shared folder and read again: computed once, of known size, and there when executors are lost."""
+    path = fresh_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _file_system(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at

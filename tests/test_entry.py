@@ -29,7 +29,7 @@ def normal(frame):
     return sorted(tuple("NULL" if pd.isna(v) else repr(round(float(v), 6)) if isinstance(v, float) else str(v) for v in r) for r in frame.astype(object).itertuples(index=False))
 
 
-@pytest.mark.parametrize("name", ["ohlcv_view", "index_view", "stock_rsi", "stock_volatility", "regime", "structural_v2", "rank_v1", "ic_daily", "ic_summary", "ic_newey_west", "factor_decay", "spread_daily", "trades_pvd_v1", "trades_bsr_v2", "structural_step_v2", "incremental_rank_v1", "ranking_order", "prices_between", "vendor_bars", "incremental_volatility", "upsert_prices", "parse_index_csv", "date_sequence", "agent_table", "universe_industry_exchange", "regime_by_blocks", "stock_rsi_by_blocks", "newey_west_by_blocks", "spread_equity_by_blocks", "rsi_pipeline", "decision_pipeline", "missing_symbols_pipeline", "committed_scope", "bars_source_whole", "bars_source_filtered", "bars_source_stream", "feature_join_stored", "ic_daily_possible", "quintile_returns", "agent_json", "agent_prompt", "trades_csv", "parallel_pipelines", "rolling_stream", "asof_month_close", "rsi_step"])
+@pytest.mark.parametrize("name", ["ohlcv_view", "index_view", "stock_rsi", "stock_volatility", "regime", "structural_v2", "rank_v1", "ic_daily", "ic_summary", "ic_newey_west", "factor_decay", "spread_daily", "trades_pvd_v1", "trades_bsr_v2", "structural_step_v2", "incremental_rank_v1", "ranking_order", "prices_between", "vendor_bars", "incremental_volatility", "upsert_prices", "parse_index_csv", "date_sequence", "agent_table", "universe_industry_exchange", "regime_by_blocks", "stock_rsi_by_blocks", "newey_west_by_blocks", "spread_equity_by_blocks", "rsi_pipeline", "decision_pipeline", "missing_symbols_pipeline", "committed_scope", "bars_source_whole", "bars_source_filtered", "bars_source_stream", "feature_join_stored", "ic_daily_possible", "quintile_returns", "agent_json", "agent_prompt", "trades_csv", "parallel_pipelines", "rolling_stream", "asof_month_close", "rsi_step", "rank_v3_by_parts", "rank_v2_possible_by_parts", "session_quantiles", "trade_quantiles"])
 def test_against_duckdb(spark, name):
     db = duckdb.connect()
     for t in TABLES:
