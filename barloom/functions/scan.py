@@ -44,14 +44,20 @@ def numbered(df: DataFrame, key: list[str]) -> DataFrame:
     return d.withColumn("_i", inside.cast("long") - 1).join(before, [*key, "_month"]).withColumn("_i", F.col("_i") + F.col("_before")).drop("_month", "_before")
 
 
+def blocks(df: DataFrame, key: list[str], rows: int, tail: int) -> DataFrame:
+    """Rows with their number _i and each _block that needs them: their own, and the next for the last `tail` of a block."""
+    if not 0 <= tail < rows:
+        raise ValueError("windows reach back further than one block")
+    own = F.floor(F.col("_i") / rows)
+    needed = F.when(F.col("_i") % rows >= rows - tail, F.array(own, own + 1)).otherwise(F.array(own))
+    return numbered(df, key).withColumn("_block", F.explode(needed))
+
+
 def within_blocks(df: DataFrame, key: list[str], rows: int, tail: int, *stages: Stage) -> DataFrame:
     """Adds the columns of each stage, computed over the window that it is given: a block of `rows` rows behind the last
     `tail` rows of the block before. All stages together look back at most `tail` rows. Leaves _i and _block."""
-    if not 0 <= tail < rows:
-        raise ValueError("windows reach back further than one block")
+    d = blocks(df, key, rows, tail)
     own = F.floor(F.col("_i") / rows)
-    d = numbered(df, key)
-    d = d.withColumn("_block", F.explode(F.when(F.col("_i") % rows >= rows - tail, F.array(own, own + 1)).otherwise(F.array(own))))
     w = Window.partitionBy(*key, "_block").orderBy("_i")
     for stage in stages:
         d = d.withColumns(stage(w))

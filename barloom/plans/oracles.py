@@ -347,3 +347,4 @@ _LINES = {"value": "l_extendedprice::DOUBLE", "price": "l_extendedprice::DOUBLE
 ORACLES["trade_quantiles"] = " UNION ALL ".join(
     f"SELECT l_returnflag AS flag, '{f}' AS factor, {p}e0 AS p, count({x}) AS n, round(quantile_cont({x}, {p}), 6) + 0e0 AS quantile FROM lineitem GROUP BY l_returnflag" for f, x in _LINES.items() for p in (0.01, 0.25, 0.5, 0.75, 0.99)
 )
+ORACLES["vol_percentile_by_blocks"] = ORACLES["vol_percentile"]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.functions import slidingrank
 from barloom.operators import asof, backtest, crosssection, decisions, indicators, longseries, pipelines, ranking, serving, state, trades
 from barloom.sources import bars_source, fixtures, ingest, layout, storage
 from barloom.sources.commits import CommittedTable
@@ -610,3 +611,9 @@ def trade_quantiles(s, d):
     values = {"value": F.col("l_extendedprice"), "price": F.try_divide(F.col("l_extendedprice").cast("double"), F.col("l_quantity").cast("double"))}
     long = crosssection.long_form(lines.select(F.col("l_returnflag").alias("flag"), *values.values()).toDF("flag", *values), ["flag"], {c: F.col(c) for c in values})
     return rounded(crosssection.quantiles(long, ["flag", "factor"], "x", (0.01, 0.25, 0.5, 0.75, 0.99), 1000), keep=("p",))
+
+
+@query
+def vol_percentile_by_blocks(s, d):
+    v = indicators.stock_volatility(bars(s, d))
+    return rounded(slidingrank.percentile_ranks(v, ["symbol"], F.round("vol_20d", indicators.TIE_DIGITS), {"vol_20d_pct_126": 126, "vol_20d_pct_252": 252}, BLOCK_ROWS))
