@@ -13,8 +13,9 @@ import re
 from codecs import charmap_decode
 from struct import pack
 
-#: Entries kept by a worker before it starts anew: bounds memory, never changes a result.
-MEMO_ENTRIES = 700_000
+#: Entries kept by a worker before it starts anew, and characters of the longest word that is kept: bound memory, never change
+#: a result.
+MEMO_ENTRIES, MEMO_CHARS = 200_000, 64
 
 #: Letters that are one code point under NFC and whose lower case is one code point, and marks that may follow them.
 _LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+\Z").match
@@ -43,14 +44,16 @@ def file_version(path: str) -> str:
 
 
 class _Known(dict):
-    """What each word stands for; a word that is not there is worked out once."""
+    """What each word stands for; a word that is not there is worked out, and kept if it is not long."""
 
     def __init__(self, find):
         super().__init__()
         self.find = find
 
     def __missing__(self, word: str):
-        got = self[word] = self.find(word)
+        got = self.find(word)
+        if len(word) <= MEMO_CHARS:
+            self[word] = got
         return got
 
 
@@ -76,7 +79,9 @@ class _Memo:
                 self.parts.clear()
             chars = pretoken if pretoken.isascii() and " " not in pretoken else charmap_decode(pretoken.encode(), "strict", _CHARS)[0]
             ids = [t.id for t in self.merge(chars)]
-            got = self.parts[pretoken] = pack(f"<{len(ids)}I", *ids)
+            got = pack(f"<{len(ids)}I", *ids)
+            if len(pretoken) <= MEMO_CHARS:
+                self.parts[pretoken] = got
         return got
 
 
