@@ -1,7 +1,8 @@
 """Column expressions over ordered series.
 
 A series is the rows of one key in order of time; the unit is the row (a trading session). NULL stands for a missing
-value everywhere and a rolling value needs a full window of non-NULL inputs.
+value everywhere and a rolling value needs a full window of non-NULL inputs. Prices of 0 make changes infinite or NaN, which
+are values: NaN is the greatest.
 """
 
 from __future__ import annotations
@@ -39,8 +40,18 @@ def roll_before(agg, x: Column, n: int, w: WindowSpec) -> Column:
     return F.when(F.count(x).over(frame) == n, agg(x).over(frame))
 
 
+def divided(x: Column, y: Column) -> Column:
+    """A quotient of prices, which may be 0: infinite by 0, NaN for 0 by 0, NULL only where one is missing."""
+    return F.when(y == 0, x * F.lit(float("inf"))).otherwise(F.try_divide(x, y))
+
+
+def log(x: Column) -> Column:
+    """The logarithm, minus infinity at 0."""
+    return F.when(x == 0, F.lit(float("-inf"))).otherwise(F.ln(x))
+
+
 def change(x: Column, n: int, w: WindowSpec) -> Column:
-    return F.try_divide(x, F.lag(x, n).over(w)) - 1
+    return divided(x, F.lag(x, n).over(w)) - 1
 
 
 def crosses_above(x: Column, level: Column, w: WindowSpec) -> Column:

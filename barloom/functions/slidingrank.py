@@ -44,7 +44,7 @@ def ranks(x: np.ndarray, n: int) -> np.ndarray:
 def percentile_ranks(df: DataFrame, key: list[str], value: Column, names: dict[str, int], rows: int = ROWS) -> DataFrame:
     """key, time and, for each name and n, `series.percentile_rank` of the value over n rows.
 
-    NULL where the window is not full or holds a NULL (a NaN counts as one). Rows without a key belong to no series.
+    NULL where the window is not full or holds a NULL. A NaN is the greatest value. Rows without a key belong to no series.
     """
     tail = max(names.values()) - 1
     times = df.schema["time"].dataType
@@ -55,6 +55,9 @@ def percentile_ranks(df: DataFrame, key: list[str], value: Column, names: dict[s
         given = given.sort_by("_i")
         at, block = given["_i"].to_numpy(), given["_block"][0].as_py()
         x = given["_x"].to_numpy(zero_copy_only=False).astype(float)
+        missing = given["_x"].is_null().to_numpy()
+        if (np.isnan(x) & ~missing).any():  # places in the order of the values, in which NaN comes last
+            x = np.where(missing, np.nan, np.unique(x, return_inverse=True)[1])
         mine = pa.array(at // rows == block)
         found = {c: pa.array(ranks(x, n), from_pandas=True) for c, n in names.items()}
         return pa.table({**{k: given[k] for k in (*key, "time")}, **found}).filter(mine)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from barloom.functions.series import by_symbol, change, ewm, of_index, percentile_rank, roll, roll_before
+from barloom.functions.series import by_symbol, change, divided, ewm, log, of_index, percentile_rank, roll, roll_before
 
 #: Sessions of 1, 3, 6 and 12 months, for symbols and for the index.
 STOCK_LAGS = {"m_1": 21, "m_3": 63, "m_6": 126, "m_12": 252}
@@ -20,7 +20,7 @@ TIE_DIGITS = 12
 
 
 def log_return(w) -> Column:
-    return F.ln(F.try_divide(F.col("close"), F.lag("close").over(w)))
+    return log(divided(F.col("close"), F.lag("close").over(w)))
 
 
 def true_range(w) -> Column:
@@ -90,7 +90,7 @@ def stock_volatility(bars: DataFrame) -> DataFrame:
         (F.row_number().over(w) - 1).alias("_i"),
         log_return(w).alias("_r"),
         true_range(w).alias("_tr"),
-        F.pow(F.ln(F.try_divide(F.col("high"), F.col("low"))), 2).alias("_hl"),
+        F.pow(log(divided(F.col("high"), F.col("low"))), 2).alias("_hl"),
     )
     d = _with_wilder_atr(d, WILDER - 1)
     d = d.select(

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from barloom.functions.scan import ROWS, affine, running, streak, within_blocks
-from barloom.functions.series import percentile_rank, roll
+from barloom.functions.series import divided, log, percentile_rank, roll
 from barloom.operators.decisions import REGIME, safe
 from barloom.operators.indicators import DECAY, INDEX_LAGS, TIE_DIGITS, VOLATILITY_DAYS, WILDER, YEAR, index_lags, log_return, regime_features, relative_strength, true_range
 
@@ -44,7 +44,7 @@ def stock_volatility(bars: DataFrame, rows: int = ROWS) -> DataFrame:
     """indicators.stock_volatility in blocks: windows, percentile ranks and Wilder's average."""
 
     def first(w: WindowSpec) -> dict[str, Column]:
-        return {"_r": log_return(w), "_tr": true_range(w), "_hl": F.pow(F.ln(F.try_divide(F.col("high"), F.col("low"))), 2)}
+        return {"_r": log_return(w), "_tr": true_range(w), "_hl": F.pow(log(divided(F.col("high"), F.col("low"))), 2)}
 
     def second(w: WindowSpec) -> dict[str, Column]:
         year = F.sqrt(F.lit(float(YEAR)))

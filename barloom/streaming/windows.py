@@ -44,8 +44,9 @@ def _divided(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def values(close: np.ndarray, volume: np.ndarray) -> dict[str, np.ndarray]:
-    """The values of each row of a series in order of time; NaN is a missing one."""
-    out = {c: _divided(close, _lagged(close, n)) - 1 for c, n in STOCK_LAGS.items()}
+    """The values of each row of a series in order of time; NaN is a missing one, or a change from 0 to 0."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        out = {c: close / _lagged(close, n) - 1 for c, n in STOCK_LAGS.items()}
     out |= {f"sma_{n}": _mean_before(close, n) for n in SMA_DAYS}
     short, long = (_mean_before(volume, n) for n in VOLUME_DAYS)
     return out | {"vol_20d": short, "vol_60d": long, "volume_ratio": _divided(short, long), "volume_spike": _divided(volume, short)}
