@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from barloom.functions import slidingrank
-from barloom.operators import indicators, trades
+from barloom.operators import indicators, ranking, trades
 from barloom.streaming import windows
 from tests.test_indicators import frame, pandas_of, walk
 
@@ -68,3 +68,13 @@ def test_range_from_a_low_of_zero(spark):
     bars = frame(spark, walk(60)).withColumn("low", F.when(F.dayofyear("time") == 30, 0.0).otherwise(F.col("low")))
     v = pandas_of(indicators.stock_volatility(bars))
     assert np.isinf(v["parkinson_20d"][29:49]).all() and np.isfinite(v["parkinson_20d"][49:]).all()
+
+
+def test_ranking_after_a_price_of_zero(spark):
+    x = {s: walk(420, seed) for s, seed in (("A", 1), ("B", 2), ("C", 3), ("D", 4))}
+    x["B"][300] = 0.0
+    bars = [frame(spark, closes, s, 2_000_000) for s, closes in x.items()]
+    both = bars[0].unionByName(bars[1]).unionByName(bars[2]).unionByName(bars[3])
+    f = indicators.features(both).withColumns({c: F.lit(0.1) for c in ("vnim_1", "vnim_3", "vnim_6")})
+    got = ranking.rank(f, 3, None, "possible_v3").filter("symbol = 'B' AND time >= '2024-10-28'").join(ranking.in_universe(f, "possible_v3").groupBy("time").count().filter("count > 1"), "time").collect()
+    assert got and all(r["alpha_score"] is not None for r in got)
